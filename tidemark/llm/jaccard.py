@@ -9,13 +9,17 @@ for empty ones; a set with too many empty partitions signs again under the next
 seed, so no pair is lost by skipping them.
 
 Equal sets share a 64-bit fingerprint (their class) and sign once in a task.
-Candidates meet in two rounds, both exact:
+Candidates meet in three rounds:
 
 * each member of a bucket against the bucket's first class;
-* then members that are still in different components against each other.
-  A bucket is split into blocks, and a sketch (additive one-byte sums over
-  hashed features) gives a lower bound of the difference, which rejects nearly
-  all unlinked pairs before any row is made.
+* then, of members still in different components, the closest pairs that would
+  join them, at most one for each member;
+* then all members that are still in different components against each other,
+  which makes the join exact.
+
+The later rounds split a bucket into blocks. A sketch (additive one-byte sums
+over hashed features) gives a lower bound of the difference, which rejects
+nearly all unlinked pairs before any row is made.
 
 Only classes that share a signature have their sets compared; sets are 64-bit
 hashes of word n-grams.
@@ -197,15 +201,16 @@ def _near(threshold: int):
     return run
 
 
-def _across(threshold: int):
-    """Pairs of one bucket (or of two of its blocks) from different components that may be linked."""
+def _across(threshold: int, forest: bool):
+    """Pairs of one bucket (or of two of its blocks) from different components that may be linked; with ``forest`` only as many as could join the components."""
 
     def run(key, rows):
         i, j = key[1].as_py(), key[2].as_py()
         cls, comp, n, side = (rows.column(x).to_numpy() for x in ("cls", "comp", "n", "block"))
         cells = rows.column("sketch").to_pylist()
         widths = np.array([len(c) for c in cells])
-        out_a, out_b = [], []
+        found: list[tuple[int, int]] = []
+        comp = comp.copy()
         for width in np.unique(widths):
             own = np.flatnonzero(widths == width)
             rest = np.flatnonzero((widths == width) | (widths == 2 * width))
@@ -215,10 +220,17 @@ def _across(threshold: int):
                 may = (comp[rest] != comp[x]) & ((widths[rest] > width) | (rest > x)) & ((i == j) | (side[rest] != side[x]))
                 at = np.flatnonzero(may)
                 if len(at):
-                    at = at[least_different(b[at], a[row]) <= (100 - threshold) * (n[rest[at]] + n[x]) // (100 + threshold)]
-                    out_a += [cls[x]] * len(at)
-                    out_b += cls[rest[at]].tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+                    bound = least_different(b[at], a[row])
+                    near = bound <= (100 - threshold) * (n[rest[at]] + n[x]) // (100 + threshold)
+                    at, bound = rest[at[near]], bound[near]
+                    while forest and len(at):  # the closest one, and its whole component counts as joined
+                        y = at[bound.argmin()]
+                        found.append((x, y))
+                        comp[comp == comp[y]] = comp[x]
+                        apart = comp[at] != comp[x]
+                        at, bound = at[apart], bound[apart]
+                    found += [(x, y) for y in at]
+        return pa.table({"a": pa.array([cls[x] for x, _ in found], pa.int64()), "b": pa.array([cls[y] for _, y in found], pa.int64())})
 
     return run
 
@@ -263,6 +275,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return counted.filter((100 + threshold) * F.col("common") >= threshold * F.col("total")).select("a", "b")
 
 
+def _still_apart(shared: DataFrame, labels: DataFrame, known: DataFrame, threshold: int, forest: bool) -> DataFrame:
+    """Candidates (a, b) among the members of each bucket, its first class aside, that are in different components."""
+    rest = shared.filter("cls <> first").join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", F.coalesce("label", "cls").alias("comp"))
+    mixed = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")).filter("low <> high")
+    blocks = F.ceil(F.col("members") / BUCKET_BLOCK).cast("int")
+    dealt = (
+        rest.join(mixed.select("sig", blocks.alias("blocks")), "sig")
+        .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "comp")
+        .join(known, "cls")
+    )
+    found = dealt.groupBy("sig", "i", "j").applyInArrow(_across(threshold, forest), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _text_bytes(col: str) -> Column:
     return F.col(col).cast("binary")
 
@@ -290,20 +318,9 @@ def similar_documents(docs: DataFrame, n: int = 4, threshold: int = 85, id_col:
     links = cut(_verified(near, sets, threshold), "links")
     labels = connected_components(links)
 
-    rest = shared.filter("cls <> first").join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", F.coalesce("label", "cls").alias("comp"))
-    mixed = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")).filter("low <> high")
-    blocks = F.ceil(F.col("members") / BUCKET_BLOCK).cast("int")
-    dealt = (
-        rest.join(mixed.select("sig", blocks.alias("blocks")), "sig")
-        .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "comp")
-        .join(known, "cls")
-    )
-    across = dealt.groupBy("sig", "i", "j").applyInArrow(_across(threshold), "a long, b long")
-    pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = cut(_verified(pairs, sets, threshold), "links")
-    labels = connected_components(links.unionByName(more))
+    for forest in (True, False):
+        links = links.unionByName(cut(_verified(_still_apart(shared, labels, known, threshold, forest), sets, threshold), "links"))
+        labels = connected_components(links)
 
     named = first_ids.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "first_id", F.coalesce("label", "cls").alias("label"))
     lowest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
