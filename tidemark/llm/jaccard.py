@@ -12,8 +12,8 @@ Equal sets share a 64-bit fingerprint (their class) and sign once in a task.
 Candidates meet in three rounds:
 
 * each member of a bucket against the bucket's first class;
-* then, of members still in different components, the closest pairs that would
-  join them, at most one for each member;
+* then, in large buckets, the closest pairs that would join members still in
+  different components, at most one for each member;
 * then all members that are still in different components against each other,
   which makes the join exact.
 
@@ -48,6 +48,8 @@ ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 BAND_RATIO = 1.4
 #: Members of a bucket that one task compares with as many others.
 BUCKET_BLOCK = 1500
+#: Buckets of at least so many members first join components by their closest pairs; the exact round sees every bucket.
+LARGE_BUCKET = 32
 #: Words and classes that a task remembers.
 MEMORY = 300_000
 
@@ -278,7 +280,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def _still_apart(shared: DataFrame, labels: DataFrame, known: DataFrame, threshold: int, forest: bool) -> DataFrame:
     """Candidates (a, b) among the members of each bucket, its first class aside, that are in different components."""
     rest = shared.filter("cls <> first").join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", F.coalesce("label", "cls").alias("comp"))
-    mixed = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")).filter("low <> high")
+    mixed = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")).filter("low <> high").filter(F.col("members") >= (LARGE_BUCKET if forest else 2))
     blocks = F.ceil(F.col("members") / BUCKET_BLOCK).cast("int")
     dealt = (
         rest.join(mixed.select("sig", blocks.alias("blocks")), "sig")
