@@ -26,7 +26,7 @@ def library():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@pytest.mark.parametrize("block_chars", [500, 12_000_000])
+@pytest.mark.parametrize("block_chars", [500, 32_000_000])
 def test_encoding_equals_the_library_and_decodes(spark, docs, block_chars):
     ranks = bpe.read_ranks(RANKS)
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, block_chars=block_chars)
@@ -60,7 +60,7 @@ def test_repeated_and_missing_rows(spark):
     assert tokencount.count_tokens(docs.limit(0), JSON).count() == 0
 
 
-@pytest.mark.parametrize("block_chars", [500, 12_000_000])
+@pytest.mark.parametrize("block_chars", [500, 32_000_000])
 def test_counts_equal_the_library(docs, block_chars):
     t = Tokenizer.from_file(JSON)
     got = {r.doc_id: r for r in tokencount.count_tokens(docs, JSON, block_chars=block_chars).collect()}

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import cut
 
 BLOCK = "block long, doc_id array<long>, n_bytes array<long>, size array<int>, codes binary, freqs binary, words array<binary>"
-BLOCK_CHARS = 12_000_000
-WORD_BUCKETS = 4096
+BLOCK_CHARS = 32_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 256, 65_536
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -93,19 +93,31 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], l
     return cut(chosen.mapInArrow(_blocks(split, bag, block_chars, arrow), BLOCK), "blocks")
 
 
+def pack_words(words: list[bytes]) -> bytes:
+    lengths = pack(np.fromiter(map(len, words), np.uint32, len(words)))
+    return len(lengths).to_bytes(4, "little") + lengths + zstandard.ZstdCompressor(level=3).compress(b"".join(words))
+
+
+def unpack_words(data: bytes) -> list[bytes]:
+    at = 4 + int.from_bytes(data[:4], "little")
+    ends = np.cumsum(unpack(data[4:at])).tolist()
+    raw = zstandard.ZstdDecompressor().decompress(data[at:])
+    return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def _requests(buckets: int):
     def run(batches):
         for batch in batches:
             for block, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = words.values
+                words = np.array(words.values.to_pylist(), object)
                 if not len(words):
                     continue
-                bucket = np.fromiter((zlib.crc32(w) % buckets for w in words.to_pylist()), np.int32, len(words))
-                order = np.argsort(bucket, kind="stable").astype(np.int32)
+                bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
+                order = np.argsort(bucket, kind="stable")
                 names, starts = np.unique(bucket[order], return_index=True)
-                offsets = pa.array(np.append(starts, len(order)), pa.int32())
+                parts = np.split(order, starts[1:])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int32()), pa.array(np.full(len(names), block, np.int64)), pa.ListArray.from_arrays(offsets, pa.array(order)), pa.ListArray.from_arrays(offsets, words.take(pa.array(order)))],
+                    [pa.array(names, pa.int32()), pa.array(np.full(len(names), block, np.int64)), pa.array([pack(np.diff(p, prepend=0)) for p in parts], pa.binary()), pa.array([pack_words(words[p].tolist()) for p in parts], pa.binary())],
                     names=["bucket", "block", "pos", "words"],
                 )
 
@@ -116,39 +128,40 @@ def _answers(make: Callable[[], Callable[[bytes], list[int]]]):
     def run(batches):
         encode, memo, current = make(), {}, None
         for batch in batches:
-            words = batch.column(3)
-            ids: list[int] = []
-            lens: list[int] = []
-            offsets = [0]
-            for i, bucket in enumerate(batch.column(0).to_pylist()):
+            all_lens, all_ids = [], []
+            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(3), strict=True):
                 if bucket != current:  # every copy of a word is in one bucket, and buckets come in order
                     memo, current = {}, bucket
-                for w in words[i].values.to_pylist():
+                ids: list[int] = []
+                lens: list[int] = []
+                for w in unpack_words(data.as_py()):
                     found = memo.get(w)
                     if found is None:
                         found = memo[w] = encode(w)
                     ids += found
                     lens.append(len(found))
-                offsets.append(len(ids))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(batch.column(2).offsets.to_numpy() - batch.column(2).offsets[0].as_py(), pa.int32()), pa.array(lens, pa.int32())), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))],
-                names=["block", "pos", "lens", "ids"],
-            )
+                all_lens.append(pack(np.array(lens, np.uint32)))
+                all_ids.append(pack(np.array(ids, np.uint32)))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(all_lens, pa.binary()), pa.array(all_ids, pa.binary())], names=["block", "pos", "lens", "ids"])
 
     return run
 
 
-def resolve(found: DataFrame, make: Callable[[], Callable[[bytes], list[int]]], buckets: int = WORD_BUCKETS) -> DataFrame:
-    """For each block, the encodings of its distinct words: rows (block, pos[], lens[], ids[]).
+def resolve(found: DataFrame, make: Callable[[], Callable[[bytes], list[int]]]) -> DataFrame:
+    """For each block, the encodings of its distinct words: rows (block, pos, lens, ids), packed.
 
-    ``make()`` runs once in a task and returns the encoder of one word.
+    ``make()`` runs once in a task and returns the encoder of one word. The
+    number of word buckets follows the number of blocks, so that what a task
+    remembers of one bucket stays small.
     """
-    asked = found.select("block", "words").mapInArrow(_requests(buckets), "bucket int, block long, pos array<int>, words array<binary>")
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 4 * found.count()))
+    asked = found.select("block", "words").mapInArrow(_requests(buckets), "bucket int, block long, pos binary, words binary")
     grouped = asked.repartition("bucket").sortWithinPartitions("bucket")
-    return grouped.mapInArrow(_answers(make), "block long, pos array<int>, lens array<int>, ids array<int>")
+    return grouped.mapInArrow(_answers(make), "block long, pos binary, lens binary, ids binary")
 
 
 def flat(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers, lengths and ids of one block's answers, flattened."""
-    column = lambda name: np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in answers.column(name).chunks] or [np.empty(0, np.int32)])
-    return column("pos"), column("lens"), column("ids")
+    column = lambda name, f: np.concatenate([f(unpack(x)) for x in answers.column(name).to_pylist()] or [np.empty(0, np.int64)]).astype(np.int64)
+    same = lambda x: x
+    return column("pos", np.cumsum), column("lens", same), column("ids", same).astype(np.int32)
