@@ -39,6 +39,8 @@ MIN_SUPPORT, MIN_G2 = 4, 18.0
 NEIGHBOURS = 15
 #: Examples in a block of the index.
 BLOCK = 128
+#: Blocks that are scored together at first; each later group is twice as large.
+GROUP = 4
 #: Weight of the base rate among the votes.
 PRIOR_WEIGHT = 0.35
 FOLDS = 5
@@ -93,7 +95,9 @@ class Model:
     idf: np.ndarray
     ids: np.ndarray  # of examples with a vector
     toxic: np.ndarray
-    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]]  # by term: block -> example numbers, weights
+    starts: np.ndarray  # terms x (blocks + 1): where a term's postings of a block begin
+    rows: np.ndarray  # postings by term, then example number
+    weights: np.ndarray
     block_max: np.ndarray  # terms x blocks
     base: float
 
@@ -105,19 +109,31 @@ class Model:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int | None, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k examples of largest cosine as (cosine, example number); equal cosines go by id."""
         bounds = weights @ self.block_max[terms]
-        best: list[tuple[float, int, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < -best[-1][0] - 1e-9:
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        cosines, found, at, step = np.empty(0), np.empty(0, np.int64), 0, GROUP
+        while at < len(order):
+            group = order[at : at + step]
+            if len(found) == k:
+                group = group[bounds[group] >= cosines[-1] - 1e-9]
+            if not len(group):
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                if (entry := self.postings[t].get(block)) is not None:
-                    scores[entry[0]] += w * entry[1]
-            hit = np.flatnonzero(scores > 0)
-            rows = block * BLOCK + hit
-            best += [(-round(float(s), 9), int(self.ids[r]), int(r)) for s, r in zip(scores[hit], rows, strict=True) if without is None or self.ids[r] != without]
-            best = sorted(best)[:k]
-        return [(-s, r) for s, _, r in best]
+            scores = self._scores(terms, weights, group)
+            hit = np.flatnonzero(scores)
+            if without is not None:
+                hit = hit[self.ids[hit] != without]
+            cosines, found = np.concatenate([cosines, np.round(scores[hit], 9)]), np.concatenate([found, hit])
+            first = np.lexsort((self.ids[found], -cosines))[:k]
+            cosines, found = cosines[first], found[first]
+            at, step = at + step, 2 * step
+        return list(zip(cosines.tolist(), found.tolist(), strict=True))
+
+    def _scores(self, terms: np.ndarray, weights: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Cosines of all examples in the blocks of ``group``; 0 elsewhere."""
+        begin = self.starts[terms[:, None], group].ravel()
+        n = self.starts[terms[:, None], group + 1].ravel() - begin
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.rows[at], np.repeat(np.repeat(weights, len(group)), n) * self.weights[at], len(self.ids))
 
     def judge(self, text: str | None, known: Memo, without: int | None) -> tuple[float, list[tuple[int, float, int]]]:
         counts = term_counts(text, known)
@@ -201,7 +217,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         df[r["term"]] = r["df"]
     idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
 
-    rows = sorted(examples.mapInArrow(_example_vectors(vocabulary), "doc_id long, toxic int, terms array<int>, tf array<int>").dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    # examples of one heaviest term stand together, so that a block's bound is tight for other terms
+    heaviest = lambda r: max(zip(r["terms"], r["tf"], strict=True), key=lambda x: ((1 + math.log(x[1])) * idf[x[0]], -x[0]), default=(-1, 0))[0]
+    rows = sorted(examples.mapInArrow(_example_vectors(vocabulary), "doc_id long, toxic int, terms array<int>, tf array<int>").dropDuplicates(["doc_id"]).collect(), key=lambda r: (heaviest(r), r["doc_id"]))
     return _index(vocabulary, idf, rows)
 
 
@@ -209,19 +227,20 @@ def _index(vocabulary: dict[str, int], idf: np.ndarray, rows: list) -> Model:
     held = [r for r in rows if r["terms"]]
     bare = [r["toxic"] for r in rows if not r["terms"]]
     base = (sum(bare) + 0.5) / (len(bare) + 10)
-    postings: list[dict] = [{} for _ in vocabulary]
-    block_max = np.zeros((len(vocabulary), max(1, math.ceil(len(held) / BLOCK))))
-    model = Model(vocabulary, idf, np.array([r["doc_id"] for r in held], np.int64), np.array([r["toxic"] for r in held], np.int8), postings, block_max, base)
-    lists: dict[tuple[int, int], tuple[list, list]] = {}
-    for row, r in enumerate(held):
-        terms, weights = model.vector(dict(zip(r["terms"], r["tf"], strict=True)))
-        for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-            numbers, ws = lists.setdefault((t, row // BLOCK), ([], []))
-            numbers.append(row % BLOCK)
-            ws.append(w)
-            block_max[t, row // BLOCK] = max(block_max[t, row // BLOCK], w)
-    for (t, block), (numbers, ws) in lists.items():
-        postings[t][block] = (np.array(numbers), np.array(ws))
+    n_blocks = max(1, math.ceil(len(held) / BLOCK))
+    block_max = np.zeros((len(vocabulary), n_blocks))
+    model = Model(vocabulary, idf, np.array([r["doc_id"] for r in held], np.int64), np.array([r["toxic"] for r in held], np.int8), np.zeros((len(vocabulary), n_blocks + 1), np.int64), np.empty(0, np.int64), np.empty(0), block_max, base)
+    vectors = [model.vector(dict(zip(r["terms"], r["tf"], strict=True))) for r in held]
+    if vectors:
+        term, weight = (np.concatenate(x) for x in zip(*vectors, strict=True))
+        row = np.repeat(np.arange(len(held)), [len(t) for t, _ in vectors])
+        order = np.lexsort((row, term))
+        term, model.rows, model.weights = term[order], row[order], weight[order]
+        np.maximum.at(block_max, (term, model.rows // BLOCK), model.weights)
+        cells = np.bincount(term * n_blocks + model.rows // BLOCK, minlength=block_max.size)
+        ends = np.cumsum(cells).reshape(block_max.shape)
+        model.starts[:, 1:] = ends
+        model.starts[:, 0] = ends[:, 0] - cells.reshape(block_max.shape)[:, 0]
     return model
 
 
