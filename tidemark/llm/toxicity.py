@@ -5,8 +5,8 @@
 frequencies over all documents, and builds a block-max inverted index of the
 sample's TF-IDF vectors: postings in blocks of example numbers, with each
 term's largest weight in each block. ``score`` looks up the nearest examples of
-every text: blocks are visited in order of their upper bound until no block can
-hold a nearer example, so the neighbours are exact. Votes weigh by cosine and
+every text: the blocks of the highest upper bounds give a cosine to beat, then all
+blocks whose bound reaches it are scored, so the neighbours are exact. Votes weigh by cosine and
 are smoothed by the rate of toxic examples that hold no feature.
 
 Bounds (documented parameters): ``MAX_EXAMPLES`` labelled rows, chosen by a
@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import cut
+
 MAX_EXAMPLES = 20_000
 MAX_FEATURES = 4096
 #: Lengths of word beginnings that are features beside the word.
@@ -39,8 +41,10 @@ MIN_SUPPORT, MIN_G2 = 4, 18.0
 NEIGHBOURS = 15
 #: Examples in a block of the index.
 BLOCK = 128
-#: Blocks that are scored together at first; each later group is twice as large.
+#: Blocks that are scored first, to know which others may hold a nearer example.
 GROUP = 4
+#: One of so many blocks is few; more than that are scored by whole lists.
+FEW = 8
 #: Weight of the base rate among the votes.
 PRIOR_WEIGHT = 0.35
 FOLDS = 5
@@ -77,15 +81,35 @@ class Memo(dict):
         return got
 
 
-def _known(vocabulary: dict[str, int]) -> Memo:
-    return Memo(lambda t: tuple(vocabulary[f] for f in word_features(t) if f in vocabulary))
+class Known:
+    """Feature numbers of tokens; of at most about MEMORY tokens it remembers whether they have any."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary, self.seen, self.useful, self.numbers = vocabulary, set(), set(), {}
 
+    def among(self, tokens: set[str]) -> set[str]:
+        """The tokens that have features."""
+        new = tokens - self.seen
+        if new:
+            if len(self.seen) > MEMORY:
+                self.seen, self.useful, self.numbers, new = set(), set(), {}, tokens
+            for t in new:
+                found = tuple(self.vocabulary[f] for f in word_features(t) if f in self.vocabulary)
+                if found:
+                    self.numbers[t] = found
+                    self.useful.add(t)
+            self.seen |= new
+        return tokens & self.useful
 
-def term_counts(text: str | None, known: Memo) -> dict[int, int]:
+
+def term_counts(text: str | None, known: Known) -> dict[int, int]:
     out: dict[int, int] = {}
-    for token, n in Counter((text or "").split()).items():
-        for f in known[token]:
-            out[f] = out.get(f, 0) + n
+    tokens = (text or "").split()
+    useful = known.among(set(tokens))
+    if useful:
+        for token, n in Counter(filter(useful.__contains__, tokens)).items():
+            for f in known.numbers[token]:
+                out[f] = out.get(f, 0) + n
     return out
 
 
@@ -109,33 +133,38 @@ class Model:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int | None, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k examples of largest cosine as (cosine, example number); equal cosines go by id."""
         bounds = weights @ self.block_max[terms]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        cosines, found, at, step = np.empty(0), np.empty(0, np.int64), 0, GROUP
-        while at < len(order):
-            group = order[at : at + step]
-            if len(found) == k:
-                group = group[bounds[group] >= cosines[-1] - 1e-9]
-            if not len(group):
-                break
-            scores = self._scores(terms, weights, group)
-            hit = np.flatnonzero(scores)
-            if without is not None:
-                hit = hit[self.ids[hit] != without]
-            cosines, found = np.concatenate([cosines, np.round(scores[hit], 9)]), np.concatenate([found, hit])
-            first = np.lexsort((self.ids[found], -cosines))[:k]
-            cosines, found = cosines[first], found[first]
-            at, step = at + step, 2 * step
-        return list(zip(cosines.tolist(), found.tolist(), strict=True))
+        best = np.argpartition(-bounds, GROUP)[:GROUP] if len(bounds) > GROUP else np.arange(len(bounds))
+        scores = self._scores(terms, weights, best)
+        seen = scores.reshape(-1, BLOCK)[best].ravel()
+        among = k + (without is not None)  # an id is one example
+        enough = max(np.partition(seen, -among)[-among] - 1e-9, 1e-300) if len(seen) >= among else 1e-300
+        more = bounds >= enough
+        more[best] = False
+        if FEW * np.count_nonzero(more) > len(more):
+            scores = self._all_scores(terms, weights)
+        elif more.any():
+            scores += self._scores(terms, weights, np.flatnonzero(more))
+        hit = np.flatnonzero(scores >= enough)
+        if without is not None:
+            hit = hit[self.ids[hit] != without]
+        cosines = np.round(scores[hit], 9)
+        first = np.lexsort((self.ids[hit], -cosines))[:k]
+        return list(zip(cosines[first].tolist(), hit[first].tolist(), strict=True))
 
     def _scores(self, terms: np.ndarray, weights: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Cosines of all examples in the blocks of ``group``; 0 elsewhere."""
         begin = self.starts[terms[:, None], group].ravel()
         n = self.starts[terms[:, None], group + 1].ravel() - begin
         at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.rows[at], np.repeat(np.repeat(weights, len(group)), n) * self.weights[at], len(self.ids))
+        return np.bincount(self.rows[at], np.repeat(np.repeat(weights, len(group)), n) * self.weights[at], self.block_max.shape[1] * BLOCK)
+
+    def _all_scores(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of all examples: whole lists are read faster than many blocks of them."""
+        lists = list(zip(self.starts[terms, 0].tolist(), self.starts[terms, -1].tolist(), weights.tolist(), strict=True))
+        rows = np.concatenate([self.rows[b:e] for b, e, _ in lists])
+        return np.bincount(rows, np.concatenate([self.weights[b:e] * w for b, e, w in lists]), self.block_max.shape[1] * BLOCK)
 
-    def judge(self, text: str | None, known: Memo, without: int | None) -> tuple[float, list[tuple[int, float, int]]]:
+    def judge(self, text: str | None, known: Known, without: int | None) -> tuple[float, list[tuple[int, float, int]]]:
         counts = term_counts(text, known)
         near = self.nearest(*self.vector(counts), without) if counts else []
         votes = sum(s for s, _ in near)
@@ -166,11 +195,11 @@ def _partial_counts(batches):
 
 def _document_frequencies(vocabulary: dict[str, int]):
     def run(batches):
-        known, df, n = _known(vocabulary), np.zeros(len(vocabulary) + 1, np.int64), 0
+        known, df, n = Known(vocabulary), np.zeros(len(vocabulary) + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
                 n += 1
-                for f in {f for t in set((text.as_py() or "").split()) for f in known[t]}:
+                for f in {f for t in known.among(set((text.as_py() or "").split())) for f in known.numbers[t]}:
                     df[f] += 1
         df[-1] = n  # all documents
         yield pa.RecordBatch.from_pydict({"term": np.arange(len(df)), "df": df})
@@ -180,7 +209,7 @@ def _document_frequencies(vocabulary: dict[str, int]):
 
 def _example_vectors(vocabulary: dict[str, int]):
     def run(batches):
-        known = _known(vocabulary)
+        known = Known(vocabulary)
         for batch in batches:
             counts = [term_counts(t.as_py(), known) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([list(c) for c in counts], pa.list_(pa.int32())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "tf"])
@@ -202,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)  # the bounded sample
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    examples = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    examples = cut(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "examples")
 
     counts = examples.select("text", "toxic").mapInArrow(_partial_counts, "feature string, toxic long, n long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
     total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
@@ -258,7 +287,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         model = shared.value
-        known = _known(model.vocabulary)
+        known = Known(model.vocabulary)
         for batch in batches:
             found = [model.judge(t.as_py(), known, i) for i, t in zip(batch.column(at_id).to_pylist(), batch.column(at_text), strict=True)]
             scores = [s for s, _ in found]
