@@ -22,7 +22,8 @@ over hashed features) gives a lower bound of the difference, which rejects
 nearly all unlinked pairs before any row is made.
 
 Only classes that share a signature have their sets compared; sets are 64-bit
-hashes of word n-grams.
+hashes of word n-grams, made anew from the texts of the pairs that remain. Of
+buckets with the same members (two 64-bit fingerprints) one is searched.
 
 Cases: null text, no word: ``n_shingles`` 0, linked with nothing; fewer words
 than n: the whole sequence is the one feature; a null id: no links and a null
@@ -146,7 +147,7 @@ def _sign(n: int, threshold: int):
                 size.append(len(f))
                 c = s = k = None
                 if len(f) and doc_id.is_valid:
-                    c = xxhash.xxh3_64_intdigest(f.tobytes()) - (1 << 63)
+                    c = class_of(f)
                     if c not in seen:
                         if len(seen) > MEMORY:
                             seen.clear()
@@ -237,14 +238,32 @@ def _across(threshold: int, forest: bool):
     return run
 
 
-def _sets(n: int):
+def class_of(features: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(features.tobytes()) - (1 << 63)
+
+
+def _classed(n: int):
+    def run(batches):
+        known = WordHashes()
+        for batch in batches:
+            cls = [class_of(shingles(t.as_py() or b"", n, known)) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), batch.column(0)], names=["cls", "text"])
+
+    return run
+
+
+def _linked(n: int, threshold: int):
+    """Of rows (a, b, ta, tb), the pairs (a, b) whose texts have sets similar enough."""
+
     def run(batches):
         known = WordHashes()
         for batch in batches:
-            found = [shingles(t.as_py() or b"", n, known) for t in batch.column(0)]
-            cls = [xxhash.xxh3_64_intdigest(f.tobytes()) - (1 << 63) for f in found]
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(f) for f in found])]), pa.int32()), pa.array(np.concatenate([*found, np.empty(0, U)]).view(np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), lists], names=["cls", "features"])
+            keep = []
+            for ta, tb in zip(batch.column("ta"), batch.column("tb"), strict=True):
+                fa, fb = shingles(ta.as_py(), n, known), shingles(tb.as_py(), n, known)
+                common = len(fa) + len(fb) - len(np.union1d(fa, fb))
+                keep.append((100 + threshold) * common >= threshold * (len(fa) + len(fb)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -269,18 +288,21 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of classes whose sets are similar enough."""
-    joined = pairs.join(sets.select(F.col("cls").alias("a"), F.col("features").alias("fa")), "a").join(sets.select(F.col("cls").alias("b"), F.col("features").alias("fb")), "b")
-    common = F.size(F.array_intersect("fa", "fb")).cast("long")
-    counted = joined.select("a", "b", common.alias("common"), (F.size("fa").cast("long") + F.size("fb")).alias("total"))
-    return counted.filter((100 + threshold) * F.col("common") >= threshold * F.col("total")).select("a", "b")
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame:
+    """Pairs (a, b) of classes whose sets are similar enough. Only texts of these classes are shuffled."""
+    pairs = cut(pairs, "pairs")  # from files, so that Spark knows the size and plans the semi-join by it
+    needed = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("cls")), "cls", "left_semi")
+    side = lambda c: needed.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(n, threshold), "a long, b long")
 
 
 def _still_apart(shared: DataFrame, labels: DataFrame, known: DataFrame, threshold: int, forest: bool) -> DataFrame:
     """Candidates (a, b) among the members of each bucket, its first class aside, that are in different components."""
     rest = shared.filter("cls <> first").join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", F.coalesce("label", "cls").alias("comp"))
-    mixed = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")).filter("low <> high").filter(F.col("members") >= (LARGE_BUCKET if forest else 2))
+    member = F.xxhash64("cls")
+    mixed = rest.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"), F.bit_xor(member).alias("print"), F.bit_xor(F.xxhash64(member)).alias("print2"))
+    mixed = mixed.filter("low <> high").filter(F.col("members") >= (LARGE_BUCKET if forest else 2))
+    mixed = mixed.groupBy("print", "print2", "members").agg(F.min("sig").alias("sig"))  # of buckets with the same members, one
     blocks = F.ceil(F.col("members") / BUCKET_BLOCK).cast("int")
     dealt = (
         rest.join(mixed.select("sig", blocks.alias("blocks")), "sig")
@@ -312,16 +334,17 @@ def similar_documents(docs: DataFrame, n: int = 4, threshold: int = 85, id_col:
     first_ids = signed.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
     known = cut(signed.filter("sketch is not null").select("cls", F.col("n_shingles").alias("n"), "sketch").join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "known")
     wanted = first_ids.join(classes, "cls", "left_semi").select(F.col("first_id").alias("doc_id"))
-    sets = cut(chosen.join(wanted.distinct(), "doc_id", "left_semi").select("text").mapInArrow(_sets(n), "cls long, features array<long>").join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+    rows = chosen.join(wanted.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select("text")
+    texts = cut(rows.mapInArrow(_classed(n), "cls long, text binary").join(classes, "cls", "left_semi"), "texts")
 
     side = lambda c, k: known.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(k))
     to_first = shared.filter("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
     near = to_first.join(side("a", "ka"), "a").join(side("b", "kb"), "b").mapInArrow(_near(threshold), "a long, b long")
-    links = cut(_verified(near, sets, threshold), "links")
+    links = cut(_verified(near, texts, n, threshold), "links")
     labels = connected_components(links)
 
     for forest in (True, False):
-        links = links.unionByName(cut(_verified(_still_apart(shared, labels, known, threshold, forest), sets, threshold), "links"))
+        links = links.unionByName(cut(_verified(_still_apart(shared, labels, known, threshold, forest), texts, n, threshold), "links"))
         labels = connected_components(links)
 
     named = first_ids.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "first_id", F.coalesce("label", "cls").alias("label"))
