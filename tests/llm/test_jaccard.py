@@ -93,3 +93,41 @@ def test_components(spark, edges):
             if a != b:
                 low[a] = low[b] = min(low[a], low[b])
     assert got == set(low.items())
+
+
+def links(rows, n=4, threshold=85):
+    """By id: the set, and the ids of linked other documents."""
+    sets = {}
+    for doc_id, text in rows:
+        w = WORD.findall((text or "").encode().lower())
+        sets[doc_id] = frozenset(tuple(w[i : i + n]) for i in range(max(len(w) - n + 1, min(len(w), 1))))
+    return sets, {a: {b for b in sets if a != b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])} for a in sets}
+
+
+@pytest.mark.parametrize("block", [jaccard.LINK_BLOCK, 2000])
+def test_every_link_of_a_group(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "LINK_BLOCK", block)
+    rng = random.Random(3)
+    rows = [(900, None), (901, "a b"), (902, "A B"), (903, "alone in the world of words")]
+    for group in range(4):
+        base = [f"g{group}w{k}" for k in range(120)]
+        for i in range(40 if group == 0 else 3):
+            w = list(base[: 120 - rng.randrange(20)])
+            w[rng.randrange(len(w))] = f"n{i // 2}"
+            rows += [(100 * group + 2 * i, " ".join(w))] + [(100 * group + 2 * i + 1, " ".join(w).upper())] * (i % 3 == 0)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets, want = links(rows)
+    components = {doc_id: (size, comp) for doc_id, size, comp in brute(rows)}
+    got = {tuple(r) for r in jaccard.linked_documents(df).collect()}
+    assert got == {(doc_id, *components[doc_id], len(want[doc_id])) for doc_id in sets}
+    first = {s: min(x for x in sets if sets[x] == s) for s in sets.values()}
+    copies = {first[s]: sum(sets[x] == s for x in sets) for s in sets.values()}
+    pairs = {(a, b, copies[a], copies[b]) for a in first.values() for b in want[a] if b in first.values() and a < b}
+    found = [tuple(r) for r in jaccard.linked_texts(df).collect()]
+    assert len(found) == len(set(found)) and set(found) == pairs and len(pairs) > 100
+
+
+def test_links_of_no_rows_and_null_ids(spark):
+    df = spark.createDataFrame([(None, "a b"), (1, "a b"), (2, "A b"), (3, "")], "doc_id long, text string")
+    assert sorted(((r.doc_id or 0, r.n_links) for r in jaccard.linked_documents(df).collect())) == [(0, 0), (1, 1), (2, 1), (3, 0)]
+    assert jaccard.linked_documents(df.limit(0)).count() == jaccard.linked_texts(df.limit(0)).count() == 0

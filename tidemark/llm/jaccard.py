@@ -21,6 +21,11 @@ The later rounds split a bucket into blocks. A sketch (additive one-byte sums
 over hashed features) gives a lower bound of the difference, which rejects
 nearly all unlinked pairs before any row is made.
 
+These rounds find the components, not every link. ``linked_texts`` and
+``linked_documents`` go on from there: a link never leaves its component, so
+all pairs of classes inside each component are compared, each pair once, by
+exact counts of common features.
+
 Only classes that share a signature have their sets compared; sets are 64-bit
 hashes of word n-grams, made anew from the texts of the pairs that remain. Of
 buckets with the same members (two 64-bit fingerprints) one is searched.
@@ -35,6 +40,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +57,8 @@ BAND_RATIO = 1.4
 BUCKET_BLOCK = 1500
 #: Buckets of at least so many members first join components by their closest pairs; the exact round sees every bucket.
 LARGE_BUCKET = 32
+#: Features of a component's block, all of whose links to another block one task finds.
+LINK_BLOCK = 250_000
 #: Words and classes that a task remembers.
 MEMORY = 300_000
 
@@ -319,12 +327,18 @@ def _text_bytes(col: str) -> Column:
     return F.col(col).cast("binary")
 
 
-def similar_documents(docs: DataFrame, n: int = 4, threshold: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one for each input row.
+@dataclass
+class Joined:
+    """Rows (doc_id, n_shingles, cls), smallest ids (cls, first_id) and, of classes that share a signature, (cls, n), (cls, text) and components (node, label)."""
 
-    Two documents are linked when 100 * |A and B| >= threshold * |A or B|;
-    ``component_id`` is the smallest id reachable by links.
-    """
+    signed: DataFrame
+    first_ids: DataFrame
+    known: DataFrame
+    texts: DataFrame
+    labels: DataFrame
+
+
+def _join(docs: DataFrame, n: int, threshold: int, id_col: str, text_col: str) -> Joined:
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_bytes(text_col).alias("text"))
     signed = cut(chosen.mapInArrow(_sign(n, threshold), "doc_id long, n_shingles long, cls long, sigs array<long>, sketch binary"), "signed")
 
@@ -346,11 +360,109 @@ def similar_documents(docs: DataFrame, n: int = 4, threshold: int = 85, id_col:
     for forest in (True, False):
         links = links.unionByName(cut(_verified(_still_apart(shared, labels, known, threshold, forest), texts, n, threshold), "links"))
         labels = connected_components(links)
+    return Joined(signed, first_ids, known, texts, labels)
+
 
-    named = first_ids.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "first_id", F.coalesce("label", "cls").alias("label"))
+def _with_components(joined: Joined) -> DataFrame:
+    named = joined.first_ids.join(joined.labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "first_id", F.coalesce("label", "cls").alias("label"))
     lowest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     by_class = named.join(lowest, "label").select("cls", "component_id")
-    return signed.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return joined.signed.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left").select("cls", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def similar_documents(docs: DataFrame, n: int = 4, threshold: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id), one for each input row.
+
+    Two documents are linked when 100 * |A and B| >= threshold * |A or B|;
+    ``component_id`` is the smallest id reachable by links.
+    """
+    return _with_components(_join(docs, n, threshold, id_col, text_col)).drop("cls")
+
+
+def _every_link(n: int, threshold: int, counted: bool):
+    """All links between blocks i and j of a component, or inside whole components: pairs (a, b), or with ``counted`` what each class adds to (cls, links)."""
+
+    def run(key, rows):
+        i, j = key[1].as_py(), key[2].as_py()
+        comp, side, cls, copies = (rows.column(x).to_numpy() for x in ("comp", "block", "cls", "copies"))
+        known = WordHashes()
+        sets = [shingles(t.as_py(), n, known) for t in rows.column("text")]
+        size = np.array([len(s) for s in sets])
+        order = np.lexsort((size, comp))
+        links = np.zeros(len(cls), np.int64)
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for of_comp in np.split(order, np.flatnonzero(comp[order][1:] != comp[order][:-1]) + 1):
+            own, others = of_comp[side[of_comp] == i], of_comp[side[of_comp] == j]
+            if not len(own) or not len(others):
+                continue
+            feature, code = np.unique(np.concatenate([sets[x] for x in others]), return_inverse=True)
+            ends = np.cumsum(size[others])
+            starts = ends - size[others]
+            low = np.searchsorted(size[others], -(-threshold * size[own] // 100))  # smaller or larger sets can't be linked
+            high = np.searchsorted(size[others], 100 * size[own] // threshold, side="right")
+            has = np.zeros(len(feature), bool)
+            for at, x in enumerate(own):
+                a, b = max(low[at], at + 1) if i == j else low[at], high[at]
+                if a >= b:
+                    continue
+                place = np.minimum(np.searchsorted(feature, sets[x]), len(feature) - 1)
+                place = place[feature[place] == sets[x]]
+                has[place] = True
+                common = np.add.reduceat(has[code[starts[a] : ends[b - 1]]], starts[a:b] - starts[a], dtype=np.int64)
+                has[place] = False
+                y = others[a:b][(100 + threshold) * common >= threshold * (size[x] + size[others[a:b]])]
+                if counted:
+                    links[x] += copies[y].sum()
+                    links[y] += copies[x]
+                else:
+                    left.append(np.full(len(y), x))
+                    right.append(y)
+        if counted:
+            return pa.table({"cls": pa.array(cls[links > 0], pa.int64()), "links": pa.array(links[links > 0], pa.int64())})
+        return pa.table({"a": pa.array(cls[np.concatenate(left)], pa.int64()), "b": pa.array(cls[np.concatenate(right)], pa.int64())})
+
+    return run
+
+
+def _copies(joined: Joined) -> DataFrame:
+    """(cls, copies): a document with several rows of one class counts once."""
+    return joined.signed.filter("cls is not null").select("cls", "doc_id").distinct().groupBy("cls").agg(F.count("*").alias("copies"))
+
+
+def _all_links(joined: Joined, n: int, threshold: int, counted: bool) -> DataFrame:
+    """``_every_link`` of all components. Large ones are cut into blocks, every two of which meet once; small ones share a task."""
+    sized = cut(joined.labels.select(F.col("node").alias("cls"), F.col("label").alias("comp")).join(joined.known.select("cls", "n"), "cls"), "sized")
+    tasks = (sized.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // LINK_BLOCK) + 1
+    blocks = sized.groupBy("comp").agg(F.ceil(F.sum("n") / LINK_BLOCK).cast("int").alias("blocks"))
+    dealt = (
+        sized.join(blocks, "comp")
+        .join(_copies(joined), "cls")
+        .join(joined.texts.dropDuplicates(["cls"]), "cls")
+        .withColumn("part", F.when(F.col("blocks") > 1, F.col("comp")).otherwise(F.pmod(F.xxhash64("comp"), F.lit(tasks))))
+        .withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "comp", "block", "cls", "copies", "text")
+    )
+    return dealt.groupBy("part", "i", "j").applyInArrow(_every_link(n, threshold, counted), "cls long, links long" if counted else "a long, b long")
+
+
+def linked_texts(docs: DataFrame, n: int = 4, threshold: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every link between different sets, once: rows (a, b, copies_a, copies_b) of the sets' smallest ids, a < b but for repeated ids, and of how many documents have them."""
+    joined = _join(docs, n, threshold, id_col, text_col)
+    named = joined.first_ids.join(_copies(joined), "cls")
+    side = lambda c: named.select(F.col("cls").alias(c), F.col("first_id").alias(f"id_{c}"), F.col("copies").alias(f"copies_{c}"))
+    pairs = cut(_all_links(joined, n, threshold, counted=False), "links").join(side("a"), "a").join(side("b"), "b")
+    turned = F.col("id_a") > F.col("id_b")
+    pick = lambda c, x, y: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(c)
+    return pairs.select(pick("a", "id_a", "id_b"), pick("b", "id_b", "id_a"), pick("copies_a", "copies_a", "copies_b"), pick("copies_b", "copies_b", "copies_a"))
+
+
+def linked_documents(docs: DataFrame, n: int = 4, threshold: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``similar_documents`` with ``n_links``: how many other documents each is linked to, those with an equal set included."""
+    joined = _join(docs, n, threshold, id_col, text_col)
+    across = cut(_all_links(joined, n, threshold, counted=True), "n_links").groupBy("cls").agg(F.sum("links").alias("links"))
+    by_class = _copies(joined).join(across, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return _with_components(joined).join(by_class, "cls", "left").select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, n: int = 4, threshold: int = 85) -> DataFrame:

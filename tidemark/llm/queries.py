@@ -72,6 +72,10 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -81,7 +85,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op9_url_filters, op10_token_counts)
+    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op8_ngram_links, op9_url_filters, op10_token_counts)
     return {f.__name__: f for f in found}
 
 
@@ -143,6 +147,21 @@ reach(a, b) as (select rep, rep from first union select r.a, e.y from reach r jo
 low as (select a, min(b) as m from reach group by a)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(low.m, d.doc_id) as component_id
 from d left join n using (doc_id) left join sets using (doc_id) left join first using (h) left join low on low.a = first.rep""",
+        "op8_ngram_links": rf"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {words}) as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i+3], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1)) + 1)) as i from d)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+sets as (select doc_id, md5(string_agg(g, chr(10) order by g)) as h from s group by doc_id),
+first as (select h, min(doc_id) as rep, count(*) as copies from sets group by h),
+u as (select s.* from s join first on s.doc_id = first.rep),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as k from u a join u b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 185 * k >= 85 * (p.n + q.n)),
+both_ways as (select x, y from l union all select y, x from l),
+reach(a, b) as (select rep, rep from first union select r.a, e.y from reach r join both_ways e on e.x = r.b),
+low as (select a, min(b) as m from reach group by a),
+others as (select x, sum(copies) as links from both_ways join first on rep = y group by x)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(low.m, d.doc_id) as component_id, coalesce(first.copies - 1 + coalesce(others.links, 0), 0)::bigint as n_links
+from d left join n using (doc_id) left join sets using (doc_id) left join first using (h) left join low on low.a = first.rep left join others on others.x = first.rep""",
         "op9_url_filters": rf"""
 with r(verdict, rhost, rpath) as (values {rules}),
 p as (select page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, coalesce(regexp_extract(url, '://[^/?#]*(/[^?#]*)', 1), '') as path from pages),
