@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import archive_format as fmt
 from tidemark.functions import text
 from tidemark.operators import archive, edges, state, store
+from tidemark.plans import registry
 from tidemark.plans.fixtures import view
 from tidemark.sources import export
 from tidemark.streaming import events as stream, stateful
@@ -88,6 +89,33 @@ def test_repo_state_stream_equals_batch(spark, tmp_path, commits):
     assert {tuple(r) for r in got.groupBy("repo").agg(F.max_by("rev", "rev"), F.max_by("first_cursor_since_reset", "rev")).collect()} == want
 
 
+def test_streams_start_from_stored_rows(spark, tmp_path, commits):
+    pds = spark.createDataFrame(view(spark, SF, "pds").collect(), view(spark, SF, "pds").schema)
+    stored = registry.touched(view(spark, SF, "repos").withColumn("id", F.col("id").cast("long")))
+    repos = spark.createDataFrame(stored.collect(), stored.schema)
+    epochs = stream.cursor_epochs(commits, pds)
+    want = {tuple(r) for r in epochs.select("pds", "epoch", "first_cursor_since_reset").collect()}
+    got = run_stream(spark, tmp_path, commits.select("pds", "seq", "type"), lambda s: stateful.cursor_reset_stream(s, pds), 3, "stored_epochs")
+    assert {tuple(r) for r in got.collect()} == want
+    fresh = stream.cursor_epochs(commits, pds.limit(0)).select("pds", "epoch", "first_cursor_since_reset")
+    assert want != {tuple(r) for r in fresh.collect()}
+
+    placed = commits.filter("type = '#commit'").join(epochs, "pds").filter("seq > low and seq < high").select("repo", "seq", "rev", "time", "too_big", "first_cursor_since_reset")
+    some = placed.groupBy("repo").agg(F.min_by("first_cursor_since_reset", "seq").alias("at")).filter("repo % 2 = 0")
+    rows = repos.join(some, repos.id == some.repo, "left").withColumn("first_cursor_since_reset", F.coalesce("at", "first_cursor_since_reset")).select(*repos.columns)
+    known = spark.createDataFrame(rows.collect(), repos.schema)
+    seen = run_stream(spark, tmp_path, placed, lambda s: stateful.repo_state_stream(s, known, pds), 3, "stored_anchors").cache()
+    anchors = seen.filter("rev is not null")
+    last = anchors.groupBy("repo").agg(F.max_by("rev", "rev"), F.max_by("first_cursor_since_reset", "rev"))
+    assert {tuple(r) for r in last.collect()} == {tuple(r) for r in stream.repo_anchor(commits, epochs, known).collect()}
+    firsts = placed.groupBy("repo").agg(F.min_by("rev", "seq").alias("rev"), F.min_by("first_cursor_since_reset", "seq").alias("at"), F.min_by("too_big", "seq").alias("big"))
+    anchored = firsts.join(known.select(F.col("id").alias("repo"), "first_cursor_since_reset"), "repo").filter("at = first_cursor_since_reset and not big").select("repo", "rev")
+    assert anchored.count() > 0 and anchored.join(anchors, ["repo", "rev"]).count() == 0
+    advanced = seen.filter("last_firehose_rev is not null").groupBy("repo").agg(F.max("last_firehose_rev"))
+    due = {tuple(r) for r in stream.firehose_rev_advance(known, commits, pds).collect()}
+    assert due and {tuple(r) for r in advanced.collect()} == due
+
+
 def test_append_stream_is_idempotent(spark, tmp_path, commits):
     rows = commits.filter("type = '#commit'")
     src, out = str(tmp_path / "in"), str(tmp_path / "out")

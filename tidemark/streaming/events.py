@@ -77,10 +77,15 @@ def too_big(commits: DataFrame) -> DataFrame:
     return commits.filter((F.col("type") == "#commit") & F.col("too_big")).select("repo", "rev", "seq")
 
 
+def gap_free(repos: DataFrame, pds: DataFrame) -> DataFrame:
+    """Repos that miss no commit between their index and their host's stream."""
+    hosts = pds.select(F.col("id").alias("pds"), F.col("first_cursor_since_reset").alias("host_first"))
+    return repos.join(hosts, "pds").filter("first_cursor_since_reset > 0 and first_rev_since_reset <> '' and last_indexed_rev <> '' and host_first > 0 and first_cursor_since_reset >= host_first and first_rev_since_reset <= last_indexed_rev")
+
+
 def firehose_rev_advance(repos: DataFrame, commits: DataFrame, pds: DataFrame, idle: str = "24 hours", touched_col: str = "updated_at") -> DataFrame:
     """Repos whose last live rev advances to a commit's: gap-free, and not touched for ``idle`` before it. The last such commit counts."""
-    hosts = pds.select(F.col("id").alias("pds"), F.col("first_cursor_since_reset").alias("host_first"))
-    free = repos.join(hosts, "pds").filter("first_cursor_since_reset > 0 and first_rev_since_reset <> '' and last_indexed_rev <> '' and host_first > 0 and first_cursor_since_reset >= host_first and first_rev_since_reset <= last_indexed_rev")
+    free = gap_free(repos, pds)
     due = commits.filter(F.col("type") == "#commit").join(free.select(F.col("id").alias("repo"), F.col(touched_col).alias("_touched")), "repo").filter(F.col("time") - F.expr(f"interval {idle}") > F.col("_touched"))
     return due.groupBy("repo").agg(F.max_by("rev", "seq").alias("last_firehose_rev"))
 

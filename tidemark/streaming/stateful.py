@@ -1,4 +1,11 @@
-"""Streaming forms of the cursor and repository state, keyed by host and by repo."""
+"""Streaming forms of the cursor and repository state, keyed by host and by repo.
+
+Stored cursors come by a join of the stream with the tables and are a key's
+first state; from then on its state counts. A key's rows of one micro-batch are
+sorted by seq, as their order in the parts is not known. A row of a later
+micro-batch whose seq is not above the key's last one counts as a replay and is
+dropped, so each key's events must reach the stream in order of seq.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from .events import SEQUENCED
+from .events import SEQUENCED, gap_free
 
 EPOCHS = "pds int, epoch int, first_cursor_since_reset long"
-ANCHORS = "repo long, rev string, first_cursor_since_reset long"
+ANCHORS = "repo long, rev string, first_cursor_since_reset long, last_firehose_rev string"
 
 
 def _epochs(key, parts, state: GroupState):
@@ -17,6 +24,7 @@ def _epochs(key, parts, state: GroupState):
     epoch, waiting, last = state.get if state.exists else (0, True, -1)
     out = []
     rows = pd.concat(list(parts)).sort_values("seq")
+    stored = int(rows["stored"].iloc[0])
     for seq, kind in zip(rows["seq"].tolist(), rows["type"].tolist(), strict=True):
         if seq <= last:
             continue
@@ -25,36 +33,57 @@ def _epochs(key, parts, state: GroupState):
             epoch, waiting = epoch + 1, True
         elif waiting:
             waiting = False
-            out.append((key[0], epoch, seq))
+            out.append((key[0], epoch, stored if epoch == 0 and stored else seq))
     state.update((epoch, waiting, last))
     yield pd.DataFrame(out, columns=["pds", "epoch", "first_cursor_since_reset"])
 
 
-def cursor_reset_stream(stream: DataFrame) -> DataFrame:
-    """Emits each host epoch once, at its first sequenced event. Only resets and sequenced events reach the state."""
-    needed = stream.filter(F.col("type").isin("#info", *SEQUENCED)).select("pds", "seq", "type")
+def _with_stored(stream: DataFrame, key: str, table: DataFrame | None) -> DataFrame:
+    """``stream`` with the ``stored`` cursor of its host or repo, 0 where there is none."""
+    if table is None:
+        return stream.withColumn("stored", F.lit(0).cast("long"))
+    known = table.select(F.col("id").alias(key), F.col("first_cursor_since_reset").cast("long").alias("_stored"))
+    return stream.join(known, key, "left").withColumn("stored", F.coalesce("_stored", F.lit(0).cast("long"))).drop("_stored")
+
+
+def cursor_reset_stream(stream: DataFrame, pds: DataFrame | None = None) -> DataFrame:
+    """Emits each host epoch once, at its first sequenced event; the epoch before any reset has the cursor that ``pds`` stores. Only resets and sequenced events reach the state."""
+    needed = _with_stored(stream.filter(F.col("type").isin("#info", *SEQUENCED)).select("pds", "seq", "type"), "pds", pds)
     return needed.groupBy("pds").applyInPandasWithState(_epochs, EPOCHS, "epoch int, waiting boolean, last long", "append", GroupStateTimeout.NoTimeout)
 
 
 def _anchors(key, parts, state: GroupState):
     """State: cursor that the repo is anchored at, last seq."""
-    cursor, last = state.get if state.exists else (0, -1)
-    out = []
     rows = pd.concat(list(parts)).sort_values("seq")
-    for seq, rev, first, big in zip(rows["seq"].tolist(), rows["rev"].tolist(), rows["first_cursor_since_reset"].tolist(), rows["too_big"].tolist(), strict=True):
+    cursor, last = state.get if state.exists else (int(rows["stored"].iloc[0]), -1)
+    out = []
+    for seq, rev, first, big, advances in zip(*(rows[c].tolist() for c in ("seq", "rev", "first_cursor_since_reset", "too_big", "advances")), strict=True):
         if seq <= last:
             continue
         last = seq
-        if first != cursor or big:
+        anchors = first != cursor or big
+        if anchors or advances:
+            out.append((key[0], rev if anchors else None, first if anchors else None, rev if advances else None))
+        if anchors:
             cursor = first
-            out.append((key[0], rev, first))
     state.update((cursor, last))
-    yield pd.DataFrame(out, columns=["repo", "rev", "first_cursor_since_reset"])
-
-
-def repo_state_stream(stream: DataFrame) -> DataFrame:
-    """Emits each re-anchoring of a repo; ``stream`` has repo, seq, rev, too_big and the host's cursor at that event."""
-    needed = stream.select("repo", "seq", "rev", "too_big", "first_cursor_since_reset")
+    frame = pd.DataFrame(out, columns=["repo", "rev", "first_cursor_since_reset", "last_firehose_rev"])
+    yield frame.astype({"first_cursor_since_reset": "Int64"})
+
+
+def repo_state_stream(stream: DataFrame, repos: DataFrame | None = None, pds: DataFrame | None = None, idle: str = "24 hours", touched_col: str = "updated_at") -> DataFrame:
+    """Emits each re-anchoring of a repo (rev and cursor) and each advance of its ``last_firehose_rev``; what does not change is null.
+
+    ``stream`` has repo, seq, rev, too_big and the host's cursor at that event,
+    and ``time`` where ``repos`` and ``pds`` are given. As in
+    ``firehose_rev_advance``, the stored rows tell which repos are free of gaps.
+    """
+    placed = _with_stored(stream, "repo", repos)
+    advances = F.lit(False)
+    if repos is not None and pds is not None:
+        placed = placed.join(gap_free(repos, pds).select(F.col("id").alias("repo"), F.col(touched_col).alias("_touched")), "repo", "left")
+        advances = F.coalesce(F.col("time") - F.expr(f"interval {idle}") > F.col("_touched"), F.lit(False))
+    needed = placed.select("repo", "seq", "rev", "too_big", "first_cursor_since_reset", "stored", advances.alias("advances"))
     return needed.groupBy("repo").applyInPandasWithState(_anchors, ANCHORS, "cursor long, last long", "append", GroupStateTimeout.NoTimeout)
 
 
