@@ -23,8 +23,9 @@ def brute(text):
 
 
 def check(spark, texts):
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").selectExpr("*", "1 as n_words", "'x' as _words")
-    for r in quality.judge(df.drop("_words")).collect():
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").selectExpr("*", "1 as n_words", *(f"'keep' as {c}" for c in ("_words", "_text", "marks", "lines", "stop_words")))
+    for r in quality.judge(df).collect():
+        assert r._words == r._text == r.marks == r.lines == r.stop_words == "keep"
         want = brute(texts[r.doc_id])
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want, texts[r.doc_id]
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
@@ -55,21 +56,36 @@ def test_plan_has_no_user_functions_or_shuffle(spark, small):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_filters_compute_nothing_twice(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    plain, filtered = plan(quality.judge(docs).select("doc_id", "kept")), plan(quality.judge(docs).filter("kept"))
+    assert filtered.count("split(") == plain.count("split(") == 2  # one of words, one of lines
+    assert filtered.count("Generate inline") == 1
+
+
+def test_long_and_repeated_rows(spark):
+    rows = [(1, "the " * 200_000), (1, "the " * 200_000), (None, None), (2, "")]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.n_words for r in got) == [0, 0, 200_000, 200_000]
+    assert all(r.stop_word_ratio == 1 and r.same_as_before_ratio > 0.99 and r.n_repeat_words == 200_000 for r in got if r.n_words)
+
+
 def expected(url, rules, words):
     m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
     host, path = (re.sub("[A-Z]", lambda c: c.group().lower(), m[1]), m[2]) if m else ("", "")
     fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     if fits:
-        best = max(fits, key=lambda r: len(r.name))
+        best = max(fits, key=lambda r: (len(r.name), r.verdict, r.name))
         return host, path, best.name, best.verdict
     return host, path, None, "block" if set(re.findall("[a-z0-9]+", host)) & set(words) else "allow"
 
 
 def test_urls(spark, small):
-    rules = [*urlfilter.default_rules(), urlfilter.HostRule("allow", "b.c", ""), urlfilter.HostRule("block", "c", "/x+y")]
+    rules = [*urlfilter.default_rules(), urlfilter.HostRule("allow", "b.c", ""), urlfilter.HostRule("block", "c", "/x+y"), urlfilter.HostRule("block", "docs.net", "/Docs/"), urlfilter.HostRule("block", "пример.рф", ""), urlfilter.HostRule("allow", "пример.рф", "/Путь/"), urlfilter.HostRule("block", "", "/?"[:1]), urlfilter.HostRule("allow", "-", ""), urlfilter.HostRule("allow", "tie.org", "/a/"), urlfilter.HostRule("block", "tie.org", "/a/"), urlfilter.HostRule("allow", "tie.org", "/a/"), urlfilter.HostRule("block", "org", "/A_1-")]
     urls = [r.url for r in spark.read.parquet(f"{small}/pages.parquet").collect()]
-    urls += [None, "", "x", "://", "http://", "HTTP://A.Com/en/x?/en/7", "http://com/en/", "http://xcom/en/", "http://example.com/en/7", "http://a.example.com/en/", "http://example.com/EN/7", "http://net/de/", "http://q.example.net/de/80#x", "http://free-bets.org/", "http://freebets.org/", "a://b.c", "a://b.c?x/en/", "a://a.b.c/x+y", "a://c/x+y/z", "a://bc/x+y", "a://example.org/es/a://spam.com/en/", "http://spam.com/en\n/", "http://porn-x", "//com/en/", "http://com:80/en/"] + ["http://adult.com/de/"] * 3
-    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string").selectExpr("*", "'z' as token", "'z' as pattern", "'z' as rule")
+    urls += [None, "", "x", "://", "http://", "HTTP://A.Com/en/x?/en/7", "http://com/en/", "http://xcom/en/", "http://example.com/en/7", "http://a.example.com/en/", "http://example.com/EN/7", "http://net/de/", "http://q.example.net/de/80#x", "http://free-bets.org/", "http://freebets.org/", "a://b.c", "a://b.c?x/en/", "a://a.b.c/x+y", "a://c/x+y/z", "a://bc/x+y", "a://example.org/es/a://spam.com/en/", "http://spam.com/en\n/", "http://porn-x", "//com/en/", "http://com:80/en/", "http://docs.net/Docs/a", "http://docs.net/docs/a", "http://пример.рф/", "http://x.пример.рф/Путь/1", "http://пример.рф/путь/1", "x://-", "http://éporn.com/", "http://a-éspam/", "x://a.-/b", "http://tie.org/a/b", "http://q.org/A_1-2", "http://q.org/A_12", "http://" + "a." * 20_000 + "docs.net/Docs/"] + ["http://adult.com/de/"] * 3
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string").selectExpr("*", "'z' as token", "'z' as pattern", "'z' as rule", "'z' as target", "'z' as best")
     got = urlfilter.judge(df, rules).collect()
     assert len(got) == len(urls)
     for r in got:

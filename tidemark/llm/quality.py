@@ -1,16 +1,21 @@
 """Quality rules: a threshold table compiled into one projection.
 
-``MEASURES`` are Spark expressions over the words, lines and characters of a
-text; ``RULES`` is the threshold table. ``judge`` evaluates both in the row,
-with built-in functions only: no shuffle and no user functions.
+``measures`` is one Spark expression that gives a struct of counts over the
+words, lines and characters of a text; ``RULES`` is the threshold table.
+``judge`` evaluates both in the row, with built-in functions only: no shuffle
+and no user functions. The struct is laid out by a generator, so a filter on
+``kept`` or any other result stays above it and nothing is computed twice.
 
 Repeated 8-word windows are found by sorting 64-bit hashes of a text's own
 windows (two different windows of one text agree with a chance of about
 n^2 / 2^65).
 
 Cases: null text has no words, every count is 0, and the base rule fails it;
-repeated rows are judged row by row; an empty table gives an empty table; all
-columns pass through, and the added ones replace columns of their name.
+the work for a very long text grows with its length (times log for the windows);
+its words must fit in the memory of the task; nothing is ranked, so there are
+no ties; repeated rows are judged row by row; an empty table gives an empty
+table; all columns pass through, whatever their names, and the added ones
+replace columns of their name.
 """
 
 from __future__ import annotations
@@ -54,9 +59,9 @@ RULES = (
     Rule("mean_word_length", 2.0, 12.0),
     Rule("symbol_ratio", high=0.2),
     Rule("exclaimed_ratio", high=0.3),
-    Rule("stop_words", low=1),
+    Rule("stop_word_ratio", low=0.03),
     Rule("dup_line_ratio", high=0.6),
-    Rule("top_word_run_ratio", high=0.2),
+    Rule("same_as_before_ratio", high=0.2),
 )
 
 
@@ -101,45 +106,51 @@ def _same_as_before(ws: Column) -> Column:
     return F.when(n < 2, 0).otherwise(F.size(F.filter(F.zip_with(F.slice(ws, 1, F.greatest(n - 1, F.lit(0))), F.slice(ws, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: a == b), lambda x: x)))
 
 
-def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the base counts and the measures of the threshold table."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    first = docs.withColumns({"_text": text, "_words": words(text)})
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
-    second = first.withColumns(
-        {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.translate("_text", SPACE, "")).cast("long"),
-            "n_symbols": count_of(F.col("_text"), SYMBOLS),
-            "_lines": lines,
-            "n_repeat_words": repeated_words(F.col("_words")),
-            "_run": _same_as_before(F.col("_words")),
-            "_marks": count_of(F.col("_text"), "!"),
-            "stop_words": F.size(F.array_intersect(words(F.lower("_text")), F.array(*map(F.lit, STOP_WORDS)))),
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MEASURES = ("mean_word_length", "symbol_ratio", "exclaimed_ratio", "stop_word_ratio", "dup_line_ratio", "same_as_before_ratio")
+
+
+def measures(text: Column) -> Column:
+    """The struct of COUNTS and MEASURES of a text."""
+
+    def counted(t: Column, ws: Column, lines: Column) -> Column:
+        values = {
+            "n_words": F.size(ws).cast("long"),
+            "word_chars": F.length(F.translate(t, SPACE, "")).cast("long"),
+            "n_symbols": count_of(t, SYMBOLS),
+            "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+            "n_repeat_words": repeated_words(ws),
+            "marks": count_of(t, "!"),
+            "stop_words": F.size(F.filter(ws, lambda w: F.lower(w).isin(*STOP_WORDS))),
+            "lines": F.size(lines),
+            "same_as_before": _same_as_before(ws),
         }
-    )
-    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-    n_lines = F.size("_lines")
-    third = second.withColumn("n_dup_lines", (n_lines - F.size(F.array_distinct("_lines"))).cast("long"))
-    return third.withColumns(
-        {
-            "mean_word_length": F.col("word_chars") / n,
-            "symbol_ratio": F.col("n_symbols") / n,
-            "exclaimed_ratio": F.col("_marks") / n,
-            "dup_line_ratio": F.col("n_dup_lines") / F.greatest(n_lines, F.lit(1)),
-            "top_word_run_ratio": F.col("_run") / n,
+        return F.struct(*(v.alias(k) for k, v in values.items()))
+
+    def with_ratios(c: Column) -> Column:
+        n = F.greatest(c["n_words"], F.lit(1)).cast("double")
+        ratios = {
+            "mean_word_length": c["word_chars"] / n,
+            "symbol_ratio": c["n_symbols"] / n,
+            "exclaimed_ratio": c["marks"] / n,
+            "stop_word_ratio": c["stop_words"] / n,
+            "dup_line_ratio": c["n_dup_lines"] / F.greatest(c["lines"], F.lit(1)),
+            "same_as_before_ratio": c["same_as_before"] / n,
         }
-    ).drop("_text", "_words", "_lines", "_run", "_marks")
+        return F.struct(*(c[k].alias(k) for k in COUNTS), *(v.alias(k) for k, v in ratios.items()))
 
+    def with_text(t: Column) -> Column:
+        lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
+        return _let(words(t), lambda ws: _let(lines, lambda ls: _let(counted(t, ws, ls), with_ratios)))
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-MEASURES = ("mean_word_length", "symbol_ratio", "exclaimed_ratio", "stop_words", "dup_line_ratio", "top_word_run_ratio")
+    return _let(F.coalesce(text, F.lit("")), with_text)
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """``docs`` with counts, measures, base_failed, failed (names of the rules that fail) and kept."""
     added = {*COUNTS, *MEASURES, "base_failed", "failed", "kept"}
-    measured = measure(docs.select(*(c for c in docs.columns if c not in added)), text_col)
+    rest = [c for c in docs.columns if c not in added]
+    measured = docs.select(*(F.col(f"`{c}`") for c in rest), F.inline(F.array(measures(F.col(f"`{text_col}`")))))
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     names = F.array_compact(F.array(*(F.when(~r.passes(), F.lit(r.measure)) for r in rules)))
     return measured.withColumns({"base_failed": base, "failed": names}).withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))

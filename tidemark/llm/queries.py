@@ -119,9 +119,9 @@ lines as (select doc_id, count(*) as n, count(distinct line) as u from (select d
 m as (select d.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(l.n - l.u, 0)::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words,
   greatest(len(w), 1)::double as k, coalesce(l.n, 1)::double as n_lines, coalesce(r.n, 0) as run, length(regexp_replace(t, '[^!]', '', 'g')) as marks,
-  len(list_intersect(list_distinct(regexp_extract_all(lower(t), {words})), [{_values(quality.STOP_WORDS)}])) as stop_words
+  len(list_filter(w, lambda x: lower(x) in ({_values(quality.STOP_WORDS)}))) as stop_words
   from d left join cover c using (doc_id) left join lines l using (doc_id) left join runs r using (doc_id)),
-q as (select *, word_chars / k as mean_word_length, n_symbols / k as symbol_ratio, marks / k as exclaimed_ratio, n_dup_lines / n_lines as dup_line_ratio, run / k as top_word_run_ratio,
+q as (select *, word_chars / k as mean_word_length, n_symbols / k as symbol_ratio, marks / k as exclaimed_ratio, n_dup_lines / n_lines as dup_line_ratio, stop_words / k as stop_word_ratio, run / k as same_as_before_ratio,
   n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {" and ".join(checks)} as kept from q""",
         "op6_chat_format": f"""
