@@ -1,8 +1,11 @@
 """Byte-level BPE: encoding with one encoding of each distinct word, and decoding.
 
-Cases: null text is the empty text and has no ids; repeated rows and repeated
-ids are encoded row by row; an empty table gives an empty table; any other
-columns of the input are ignored, whatever their names.
+Cases: null text is the empty text and has no ids; a null id stays null; a very
+long text is a block of its own, its pre-tokens and ids must fit in the memory
+of a task; pairs of one rank are merged from the left, so there are no other
+ties; repeated rows and repeated ids are encoded row by row; an empty table
+gives an empty table; any other columns of the input are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .pretokens import BLOCK_CHARS, blocks, flat, resolve, unpack
+from .pretokens import BLOCK_CHARS, assemble, blocks, flat, resolve, unpack
 
 #: Pieces up to this length are merged by plain scanning, longer ones with a heap.
 SCAN_LENGTH = 48
@@ -94,7 +97,7 @@ def _encoder(ranks):
     return make
 
 
-def _reassemble(key, block: pa.Table, answers: pa.Table) -> pa.Table:
+def _reassemble(block: pa.Table, answers: pa.Table) -> pa.Table:
     pos, lens, ids = flat(answers)
     begin, length = np.zeros(len(pos), np.int64), np.zeros(len(pos), np.int64)
     begin[pos], length[pos] = np.cumsum(lens) - lens, lens
@@ -123,8 +126,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     found = blocks(docs, id_col, text_col, splitter(pattern), block_chars=block_chars)
     answers = resolve(found, _encoder(shared))
-    home = found.select("block", "doc_id", "size", "codes")
-    return home.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
+    return assemble(found, answers, ["doc_id", "size", "codes"], _reassemble, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:

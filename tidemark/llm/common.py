@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,17 +23,26 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def cut(df: DataFrame, name: str = "cut", **options) -> DataFrame:
+    """Write ``df`` to the shared folder (with the writer's ``options``) and read it back.
 
     The returned frame starts from files, so a lost executor never makes Spark
     repeat what led to it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def apart(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with names of its own for all but the ``needed`` columns, and the columns that give the old names back.
+
+    What an operator adds can then clash with no column that passes through it.
+    """
+    names = {c: c if c in needed else f"column_{i}_of_docs" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), [F.col(n).alias(c) for c, n in names.items()]

@@ -2,16 +2,18 @@
 
 Three steps, used by the BPE codec and the token counter:
 
-1. ``bag_blocks`` / ``sequence_blocks`` cut each input partition into blocks of
-   a bounded number of characters. A block keeps its distinct pre-tokens once;
-   its documents refer to them by local number, in text order (the positions)
-   or as a bag of (number, frequency).
+1. ``blocks`` cuts each input partition into blocks of a bounded number of
+   characters, written to the shared folder. A block keeps its distinct
+   pre-tokens once; its documents refer to them by local number, in text order
+   (the positions) or as a bag of (number, frequency).
 2. ``resolve`` shuffles the blocks' distinct pre-tokens by word, encodes each
    distinct word once, and addresses the answer to the asking blocks. A word
    however frequent costs one entry for each block.
-3. The caller joins the answers to the blocks by block number.
+3. ``assemble`` shuffles the answers by block; the task that has a block's
+   answers reads the block's numbers from its file.
 
-Only words, local numbers and answers move; texts never do.
+Only words and answers are shuffled; texts and their numbers never are. A lost
+executor costs its tasks: files stay in the shared folder.
 """
 
 from __future__ import annotations
@@ -23,14 +25,16 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import zstandard
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import cut
 
 BLOCK = "block long, doc_id array<long>, n_bytes array<long>, size array<int>, codes binary, freqs binary, words array<binary>"
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 16_000_000
 LEAST_BUCKETS, MOST_BUCKETS = 256, 65_536
 
 
@@ -90,7 +94,8 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], l
 
     arrow = to_arrow_schema(_parse_datatype_string(BLOCK))
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return cut(chosen.mapInArrow(_blocks(split, bag, block_chars, arrow), BLOCK), "blocks")
+    each = {"parquet.block.size": 1 << 20, "parquet.block.size.row.check.min": 1}  # a row group for each block
+    return cut(chosen.mapInArrow(_blocks(split, bag, block_chars, arrow), BLOCK), "blocks", **each)
 
 
 def pack_words(words: list[bytes]) -> bytes:
@@ -108,17 +113,17 @@ def unpack_words(data: bytes) -> list[bytes]:
 def _requests(buckets: int):
     def run(batches):
         for batch in batches:
-            for block, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for block, file, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 words = np.array(words.values.to_pylist(), object)
-                if not len(words):
-                    continue
                 bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
                 order = np.argsort(bucket, kind="stable")
                 names, starts = np.unique(bucket[order], return_index=True)
                 parts = np.split(order, starts[1:])
+                if not len(words):  # a block of empty texts still has to be assembled
+                    names, parts = np.zeros(1, np.int32), [order]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int32()), pa.array(np.full(len(names), block, np.int64)), pa.array([pack(np.diff(p, prepend=0)) for p in parts], pa.binary()), pa.array([pack_words(words[p].tolist()) for p in parts], pa.binary())],
-                    names=["bucket", "block", "pos", "words"],
+                    [pa.array(names, pa.int32()), pa.array(np.full(len(names), block, np.int64)), pa.array([file] * len(names)), pa.array([pack(np.diff(p, prepend=0)) for p in parts], pa.binary()), pa.array([pack_words(words[p].tolist()) for p in parts], pa.binary())],
+                    names=["bucket", "block", "file", "pos", "words"],
                 )
 
     return run
@@ -129,7 +134,7 @@ def _answers(make: Callable[[], Callable[[bytes], list[int]]]):
         encode, memo, current = make(), {}, None
         for batch in batches:
             all_lens, all_ids = [], []
-            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(3), strict=True):
+            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(4), strict=True):
                 if bucket != current:  # every copy of a word is in one bucket, and buckets come in order
                     memo, current = {}, bucket
                 ids: list[int] = []
@@ -142,22 +147,42 @@ def _answers(make: Callable[[], Callable[[bytes], list[int]]]):
                     lens.append(len(found))
                 all_lens.append(pack(np.array(lens, np.uint32)))
                 all_ids.append(pack(np.array(ids, np.uint32)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(all_lens, pa.binary()), pa.array(all_ids, pa.binary())], names=["block", "pos", "lens", "ids"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (1, 2, 3)), pa.array(all_lens, pa.binary()), pa.array(all_ids, pa.binary())], names=["block", "file", "pos", "lens", "ids"])
 
     return run
 
 
 def resolve(found: DataFrame, make: Callable[[], Callable[[bytes], list[int]]]) -> DataFrame:
-    """For each block, the encodings of its distinct words: rows (block, pos, lens, ids), packed.
+    """For each block, the encodings of its distinct words: rows (block, file, pos, lens, ids), packed.
 
     ``make()`` runs once in a task and returns the encoder of one word. The
     number of word buckets follows the number of blocks, so that what a task
     remembers of one bucket stays small.
     """
     buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, 4 * found.count()))
-    asked = found.select("block", "words").mapInArrow(_requests(buckets), "bucket int, block long, pos binary, words binary")
+    asked = found.select("block", F.col("_metadata.file_path").alias("file"), "words").mapInArrow(_requests(buckets), "bucket int, block long, file string, pos binary, words binary")
     grouped = asked.repartition("bucket").sortWithinPartitions("bucket")
-    return grouped.mapInArrow(_answers(make), "block long, pos binary, lens binary, ids binary")
+    return grouped.mapInArrow(_answers(make), "block long, file string, pos binary, lens binary, ids binary")
+
+
+def _read_block(file: str, block: int, columns: list[str]) -> pa.Table:
+    system, path = fs.FileSystem.from_uri(file)
+    with system.open_input_file(path) as f:
+        stored = pq.ParquetFile(f)
+        for group in range(stored.num_row_groups):
+            if block in (held := stored.read_row_group(group, ["block"]).column(0).to_pylist()):
+                return stored.read_row_group(group, columns).slice(held.index(block), 1)
+    raise ValueError(f"{file} has no block {block}")
+
+
+def assemble(found: DataFrame, answers: DataFrame, columns: list[str], rows: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``rows(block, answers)`` of every block, with the block's stored ``columns``."""
+
+    def run(key, answers):
+        return rows(_read_block(answers.column("file")[0].as_py(), key[0].as_py(), columns), answers)
+
+    parts = max(1, min(MOST_BUCKETS, found.count()))  # an explicit number: answers are small, the blocks behind them are not
+    return answers.repartition(parts, "block").groupBy("block").applyInArrow(run, schema)
 
 
 def flat(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -3,8 +3,11 @@
 Each distinct pre-token is split into pieces once; a document's count is the
 sum, over its bag of pre-tokens, of frequency times pieces.
 
-Cases: null text is empty and counts no tokens; repeated rows are counted row
-by row; an empty table gives an empty table; other columns are ignored.
+Cases: null text is empty and counts no tokens; a null id stays null; a very
+long text is a block of its own, its distinct pre-tokens must fit in the memory
+of a task; nothing is ranked, so there are no ties; repeated rows are counted
+row by row; an empty table gives an empty table; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import merge
-from .pretokens import BLOCK_CHARS, blocks, flat, resolve, unpack
+from .pretokens import BLOCK_CHARS, assemble, blocks, flat, resolve, unpack
 
 #: The split of a byte-level pre-tokenizer (fixed value of the public format).
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -70,7 +73,7 @@ def _counter(shared):
     return make
 
 
-def _sums(key, block: pa.Table, answers: pa.Table) -> pa.Table:
+def _sums(block: pa.Table, answers: pa.Table) -> pa.Table:
     pos, _, counts = flat(answers)
     pieces = np.zeros(len(pos), np.int64)
     pieces[pos] = counts
@@ -95,7 +98,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
     merges, special = read_merges(tokenizer_path)
     shared = docs.sparkSession.sparkContext.broadcast((merges, {s.encode() for s in special}))
     found = blocks(docs, id_col, text_col, _splitter(special), bag=True, block_chars=block_chars)
-    home = found.select("block", "doc_id", "n_bytes", "size", "codes", "freqs")
     answers = resolve(found, _counter(shared))
-    sums = home.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_sums, "doc_id long, n_bytes long, n_tokens long")
+    sums = assemble(found, answers, ["doc_id", "n_bytes", "size", "codes", "freqs"], _sums, "doc_id long, n_bytes long, n_tokens long")
     return sums.withColumn("over_limit", F.col("n_tokens") > limit)
