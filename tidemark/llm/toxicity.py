@@ -1,23 +1,34 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-``fit`` learns, from a bounded sample of labelled rows, which word features
-(whole words and word beginnings) speak for the label, counts their document
-frequencies over all documents, and builds a block-max inverted index of the
-sample's TF-IDF vectors: postings in blocks of example numbers, with each
-term's largest weight in each block. ``score`` looks up the nearest examples of
-every text: the blocks of the highest upper bounds give a cosine to beat, then all
-blocks whose bound reaches it are scored, so the neighbours are exact. Votes weigh by cosine and
-are smoothed by the rate of toxic examples that hold no feature.
-
-Bounds (documented parameters): ``MAX_EXAMPLES`` labelled rows, chosen by a
-hash of their id, and ``MAX_FEATURES`` features. Everything counted over the
-corpus covers all of it.
-
-Cases: a null or empty text, or one without features, gets the smoothed base
-rate; a null id is never held out and never a training row; repeated rows are
-scored row by row; of labels that repeat an id the largest counts; an empty
-table gives an empty table; all columns pass through, and the added ones
-replace columns of their name.
+``fit`` takes a bounded sample of labelled rows as examples. Every word of an
+example is a feature. A feature weighs (1 + log tf) * idf * rf^2: document
+frequencies are counted over all documents, and rf is the relevance frequency
+of supervised term weighting (Lan et al. 2009), log2(2 + a / max(1, c)) for a
+toxic and c other examples that hold the word. No feature is dropped.
+
+The examples' unit vectors lie in a block-max inverted index: postings by word,
+cut into blocks of example numbers, with the largest weight of every block.
+``score`` finds the nearest examples of each text: the blocks of the highest
+bounds give a cosine to beat, then every block whose bound reaches it is
+scored, so the neighbours are exact. Votes weigh by cosine. A logistic curve
+from vote to rate, fitted to votes that cross-validation over the examples
+gives, makes them calibrated scores.
+
+Bound (documented parameter): ``MAX_EXAMPLES`` labelled rows, chosen by a hash
+of their id. The vocabulary is bounded by their words. All that is counted over
+the corpus covers all of it.
+
+A score is a function of the text alone: equal texts have equal scores, and an
+example whose text equals the scored one is a neighbour like others. Equal
+cosines go by a fingerprint of the example's words.
+
+Cases: a null or empty text, or one that shares no word with an example, gets
+the base rate's score; a null id is never held out and never an example; a very
+long text is tokenised whole, its vector is bounded by the vocabulary; repeated
+rows are scored row by row; of an id's texts the smallest, and of its labels
+the largest, makes the example; without toxic or without other examples every
+score is the base rate's; an empty table gives an empty table; all columns
+pass through, and the added ones replace columns of their name.
 """
 
 from __future__ import annotations
@@ -28,27 +39,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut
 
-MAX_EXAMPLES = 20_000
-MAX_FEATURES = 4096
-#: Lengths of word beginnings that are features beside the word.
-PREFIXES = (4, 5, 6)
-#: Least support in toxic examples and least log-likelihood ratio of a feature.
-MIN_SUPPORT, MIN_G2 = 4, 18.0
-NEIGHBOURS = 15
+MAX_EXAMPLES = 2048
+NEIGHBOURS = 25
 #: Examples in a block of the index.
-BLOCK = 128
+BLOCK = 64
 #: Blocks that are scored first, to know which others may hold a nearer example.
 GROUP = 4
-#: One of so many blocks is few; more than that are scored by whole lists.
-FEW = 8
+#: Where more than one of so many blocks is left, whole lists are read.
+FEW = 4
 #: Weight of the base rate among the votes.
-PRIOR_WEIGHT = 0.35
+PRIOR_WEIGHT = 0.05
 FOLDS = 5
-MEMORY = 300_000
+#: ASCII letters in lower case; other ASCII characters but digits end a word.
+LETTERS = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
@@ -56,240 +64,216 @@ def is_held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def word_features(token: str) -> tuple[str, ...]:
-    """Features of a white-space token: its word without outer symbols, in lower case, and the word's beginnings."""
-    word = token.casefold()
-    if not word.isalnum():
-        at = [i for i, c in enumerate(word) if c.isalnum()]
-        word = word[at[0] : at[-1] + 1] if at else ""
-    if not word:
-        return ()
-    return (word, *(word[:n] + "*" for n in PREFIXES if len(word) >= n))
-
-
-class Memo(dict):
-    """Features of tokens seen before, of at most MEMORY tokens."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, token):
-        if len(self) > MEMORY:
-            self.clear()
-        got = self[token] = self.make(token)
-        return got
-
-
-class Known:
-    """Feature numbers of tokens; of at most about MEMORY tokens it remembers whether they have any."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary, self.seen, self.useful, self.numbers = vocabulary, set(), set(), {}
-
-    def among(self, tokens: set[str]) -> set[str]:
-        """The tokens that have features."""
-        new = tokens - self.seen
-        if new:
-            if len(self.seen) > MEMORY:
-                self.seen, self.useful, self.numbers, new = set(), set(), {}, tokens
-            for t in new:
-                found = tuple(self.vocabulary[f] for f in word_features(t) if f in self.vocabulary)
-                if found:
-                    self.numbers[t] = found
-                    self.useful.add(t)
-            self.seen |= new
-        return tokens & self.useful
-
-
-def term_counts(text: str | None, known: Known) -> dict[int, int]:
-    out: dict[int, int] = {}
-    tokens = (text or "").split()
-    useful = known.among(set(tokens))
-    if useful:
-        for token, n in Counter(filter(useful.__contains__, tokens)).items():
-            for f in known.numbers[token]:
-                out[f] = out.get(f, 0) + n
-    return out
+def words(text: str | None) -> list[bytes]:
+    """Words in lower case, as UTF-8: runs of ASCII letters, digits and characters beyond ASCII."""
+    text = text or ""
+    return (text if text.isascii() else text.casefold()).encode().translate(LETTERS).split()
 
 
 @dataclass
-class Model:
-    vocabulary: dict[str, int]
-    idf: np.ndarray
-    ids: np.ndarray  # of examples with a vector
-    toxic: np.ndarray
-    starts: np.ndarray  # terms x (blocks + 1): where a term's postings of a block begin
-    rows: np.ndarray  # postings by term, then example number
-    weights: np.ndarray
-    block_max: np.ndarray  # terms x blocks
-    base: float
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.fromiter(counts, np.int64, len(counts))
-        w = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * self.idf[terms]
-        return terms, w / np.sqrt((w * w).sum())
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int | None, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """The k examples of largest cosine as (cosine, example number); equal cosines go by id."""
-        bounds = weights @ self.block_max[terms]
-        best = np.argpartition(-bounds, GROUP)[:GROUP] if len(bounds) > GROUP else np.arange(len(bounds))
-        scores = self._scores(terms, weights, best)
-        seen = scores.reshape(-1, BLOCK)[best].ravel()
-        among = k + (without is not None)  # an id is one example
-        enough = max(np.partition(seen, -among)[-among] - 1e-9, 1e-300) if len(seen) >= among else 1e-300
-        more = bounds >= enough
-        more[best] = False
-        if FEW * np.count_nonzero(more) > len(more):
-            scores = self._all_scores(terms, weights)
+class Example:
+    doc_id: int
+    toxic: int
+    counts: dict[bytes, int]
+
+    def __post_init__(self):
+        self.mark = xxhash.xxh3_64_intdigest(repr(sorted(self.counts.items())).encode()) >> 1
+
+
+def term_factors(examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray) -> np.ndarray:
+    """idf * rf^2 of every word; 0 of a word that no example holds."""
+    toxic, other = np.zeros(len(vocabulary)), np.zeros(len(vocabulary))
+    for e in examples:
+        (toxic if e.toxic else other)[[vocabulary[w] for w in e.counts]] += 1
+    return idf * np.log2(2 + toxic / np.maximum(1, other)) ** 2 * (toxic + other > 0)
+
+
+class Index:
+    """Block-max inverted index over the unit vectors of examples."""
+
+    def __init__(self, examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray):
+        self.vocabulary, self.factors = vocabulary, term_factors(examples, vocabulary, idf)
+        vectors = [(e, *self.vector(e.counts)) for e in examples if e.counts]
+        # examples of one heaviest word stand together, so that a block's bound is tight for other words
+        vectors.sort(key=lambda v: (int(v[1][v[2].argmax()]), v[0].mark, v[0].toxic, v[0].doc_id))
+        self.ids = np.array([e.doc_id for e, _, _ in vectors], np.int64)
+        self.toxic = np.array([e.toxic for e, _, _ in vectors], np.float64)
+        self.marks = np.array([e.mark for e, _, _ in vectors], np.int64)
+        self.n_blocks = -(-len(vectors) // BLOCK)
+        self.base = (sum(e.toxic for e in examples) + 0.5) / (len(examples) + 1)
+        term, weight, row = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+        if vectors:
+            term, weight = np.concatenate([t for _, t, _ in vectors]), np.concatenate([w for *_, w in vectors])
+            row = np.repeat(np.arange(len(vectors)), [len(t) for _, t, _ in vectors])
+        order = np.lexsort((row, term))
+        term, self.weights, self.rows = term[order], weight[order], row[order]
+        cell = term * max(1, self.n_blocks) + self.rows // BLOCK  # a word's postings in a block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.cell_start = np.append(first, len(cell))
+        self.cell_block = self.rows[first] // BLOCK
+        self.cell_max = np.maximum.reduceat(self.weights, first) if len(first) else np.empty(0)
+        self.term_cells = np.searchsorted(term[first], np.arange(len(vocabulary) + 1))
+
+    def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of the vocabulary as (numbers, weights) of length 1."""
+        known = list(self.vocabulary.keys() & counts.keys())
+        terms = np.fromiter(map(self.vocabulary.__getitem__, known), np.int64, len(known))
+        tf = np.fromiter(map(counts.__getitem__, known), np.float64, len(known))
+        order = np.argsort(terms)  # sums run in one order everywhere
+        terms = terms[order]
+        w = (1 + np.log(tf[order])) * self.factors[terms]
+        return terms, w / max(np.sqrt((w * w).sum()), 1e-300)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """(example numbers, cosines) of the k examples of largest cosine above 0."""
+        a, b = self.term_cells[terms], self.term_cells[terms + 1]
+        held = b > a
+        a, b, weights = a[held], b[held], weights[held]
+        cells, of_term = _ranges(a, b)
+        per_cell = weights[of_term]
+        blocks = self.cell_block[cells]
+        bounds = np.bincount(blocks, per_cell * self.cell_max[cells], self.n_blocks)
+        best = np.argpartition(-bounds, GROUP)[:GROUP] if self.n_blocks > GROUP else np.arange(self.n_blocks)
+        chosen = np.zeros(self.n_blocks, bool)
+        chosen[best] = True
+        scores = self._scores(cells, per_cell, chosen[blocks])
+        seen = scores[scores > 0]
+        enough = max(np.partition(seen, -k)[-k] - 1e-9, 1e-300) if len(seen) >= k else 1e-300
+        more = (bounds >= enough) & ~chosen
+        if FEW * np.count_nonzero(more) > self.n_blocks:
+            scores = self._whole_lists(a, b, weights)
         elif more.any():
-            scores += self._scores(terms, weights, np.flatnonzero(more))
+            scores += self._scores(cells, per_cell, more[blocks])
         hit = np.flatnonzero(scores >= enough)
-        if without is not None:
-            hit = hit[self.ids[hit] != without]
         cosines = np.round(scores[hit], 9)
-        first = np.lexsort((self.ids[hit], -cosines))[:k]
-        return list(zip(cosines[first].tolist(), hit[first].tolist(), strict=True))
+        first = np.lexsort((self.ids[hit], self.toxic[hit], self.marks[hit], -cosines))[:k]
+        return hit[first], cosines[first]
 
-    def _scores(self, terms: np.ndarray, weights: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """Cosines of all examples in the blocks of ``group``; 0 elsewhere."""
-        begin = self.starts[terms[:, None], group].ravel()
-        n = self.starts[terms[:, None], group + 1].ravel() - begin
-        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.rows[at], np.repeat(np.repeat(weights, len(group)), n) * self.weights[at], self.block_max.shape[1] * BLOCK)
+    def _scores(self, cells: np.ndarray, per_cell: np.ndarray, use: np.ndarray) -> np.ndarray:
+        """Cosines by the cells in use."""
+        cells = cells[use]
+        at, of_cell = _ranges(self.cell_start[cells], self.cell_start[cells + 1])
+        return np.bincount(self.rows[at], per_cell[use][of_cell] * self.weights[at], len(self.ids))
 
-    def _all_scores(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    def _whole_lists(self, a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Cosines of all examples: whole lists are read faster than many blocks of them."""
-        lists = list(zip(self.starts[terms, 0].tolist(), self.starts[terms, -1].tolist(), weights.tolist(), strict=True))
-        rows = np.concatenate([self.rows[b:e] for b, e, _ in lists])
-        return np.bincount(rows, np.concatenate([self.weights[b:e] * w for b, e, w in lists]), self.block_max.shape[1] * BLOCK)
-
-    def judge(self, text: str | None, known: Known, without: int | None) -> tuple[float, list[tuple[int, float, int]]]:
-        counts = term_counts(text, known)
-        near = self.nearest(*self.vector(counts), without) if counts else []
-        votes = sum(s for s, _ in near)
-        score = (sum(s for s, r in near if self.toxic[r]) + PRIOR_WEIGHT * self.base) / (votes + PRIOR_WEIGHT)
-        return score, [(int(self.ids[r]), s, int(self.toxic[r])) for s, r in near[:3]]
-
+        at, of_term = _ranges(self.cell_start[a], self.cell_start[b])
+        return np.bincount(self.rows[at], weights[of_term] * self.weights[at], len(self.ids))
+
+    def vote(self, counts: dict[bytes, int]) -> tuple[float, np.ndarray, np.ndarray]:
+        """The weighted share of toxic neighbours, and the neighbours."""
+        terms, weights = self.vector(counts)
+        if not len(terms) or not len(self.ids):
+            return self.base, np.empty(0, np.int64), np.empty(0)
+        near, cosines = self.nearest(terms, weights)
+        return float(((cosines * self.toxic[near]).sum() + PRIOR_WEIGHT * self.base) / (cosines.sum() + PRIOR_WEIGHT)), near, cosines
+
+
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after another, and which range each is of."""
+    n = end - begin
+    which = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(which)) + np.repeat(begin - (np.cumsum(n) - n), n), which
+
+
+def logistic(votes: np.ndarray, toxic: np.ndarray, steps: int = 30) -> tuple[float, float]:
+    """Slope and offset of the curve from vote to rate, by Newton's method with a weak ridge on the slope."""
+    x = np.stack([votes, np.ones_like(votes)], axis=1)
+    ridge = np.diag([1e-2, 1e-6])
+    beta = np.array([0.0, 0.0])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge
+        step = np.linalg.solve(hessian, x.T @ (toxic - p) - ridge @ beta)
+        beta += np.clip(step, -5, 5)
+    return float(beta[0]), float(beta[1])
 
-def _partial_counts(batches):
-    """Document counts of features in a task: rows (feature, toxic, all). Emitted in parts, so that memory stays bounded."""
-    memo, tally, bad = Memo(word_features), Counter(), Counter()
 
-    def out():
-        return pa.RecordBatch.from_pydict({"feature": list(tally), "toxic": [bad[f] for f in tally], "n": list(tally.values())}, schema=pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("n", pa.int64())]))
-
-    for batch in batches:
-        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            features = {f for t in set((text.as_py() or "").split()) for f in memo[t]}
-            tally.update(features)
-            if toxic:
-                bad.update(features)
-            if len(tally) > MEMORY:
-                yield out()
-                tally.clear()
-                bad.clear()
-    if tally:
-        yield out()
-
-
-def _document_frequencies(vocabulary: dict[str, int]):
+@dataclass
+class Model:
+    index: Index
+    slope: float
+    offset: float
+
+    def judge(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
+        vote, near, cosines = self.index.vote(Counter(words(text)))
+        evidence = [(int(self.index.ids[r]), float(c), int(self.index.toxic[r])) for r, c in zip(near[:3], cosines[:3], strict=True)]
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * vote + self.offset)))), evidence
+
+
+def build(examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray) -> Model:
+    """The index, and its calibration by votes of examples that stood in other folds than their neighbours."""
+    index = Index(examples, vocabulary, idf)
+    votes, toxic = [], []
+    for fold in range(FOLDS):
+        rest = [e for e in examples if e.mark % FOLDS != fold]  # equal texts share a fold
+        if not 0 < sum(e.toxic for e in rest) < len(rest):
+            continue
+        part = Index(rest, vocabulary, idf)
+        for e in examples:
+            if e.mark % FOLDS == fold:
+                votes.append(part.vote(e.counts)[0])
+                toxic.append(e.toxic)
+    if not votes:
+        return Model(index, 0.0, math.log(index.base / (1 - index.base)))
+    return Model(index, *logistic(np.array(votes), np.array(toxic, np.float64)))
+
+
+def _document_frequencies(shared):
     def run(batches):
-        known, df, n = Known(vocabulary), np.zeros(len(vocabulary) + 1, np.int64), 0
+        vocabulary = shared.value
+        names, df, n = vocabulary.keys(), np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             for text in batch.column(0):
                 n += 1
-                for f in {f for t in known.among(set((text.as_py() or "").split())) for f in known.numbers[t]}:
-                    df[f] += 1
-        df[-1] = n  # all documents
-        yield pa.RecordBatch.from_pydict({"term": np.arange(len(df)), "df": df})
+                df[[vocabulary[w] for w in names & set(words(text.as_py()))]] += 1
+        found = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"term": np.append(found, -1), "df": np.append(df[found], n)})  # -1: all documents
 
     return run
 
 
-def _example_vectors(vocabulary: dict[str, int]):
-    def run(batches):
-        known = Known(vocabulary)
-        for batch in batches:
-            counts = [term_counts(t.as_py(), known) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([list(c) for c in counts], pa.list_(pa.int32())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "tf"])
-
-    return run
-
-
-def g2(both: Column, feature: Column, toxic: float, total: float) -> Column:
-    """Log-likelihood ratio of a feature against the label, counted only where it speaks for it."""
-    cell = lambda n, e: F.when(n > 0, n * F.log(n / e)).otherwise(0.0)
-    share = toxic / total
-    rest = feature - both
-    value = 2 * (cell(both, feature * share) + cell(rest, feature * (1 - share)) + cell(toxic - both, (total - feature) * share) + cell((total - toxic) - rest, (total - feature) * (1 - share)))
-    return F.when(both > feature * share, value).otherwise(0.0)
+def _example_words(batches):
+    for batch in batches:
+        counts = [Counter(words(t.as_py())) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([list(c) for c in counts], pa.list_(pa.binary())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], names=["doc_id", "toxic", "words", "tf"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = MAX_EXAMPLES) -> Model:
     """The model of ``labels.toxic``; only labels whose id is not held out are read."""
-    chosen = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    chosen = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)  # the bounded sample
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    examples = cut(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "examples")
-
-    counts = examples.select("text", "toxic").mapInArrow(_partial_counts, "feature string, toxic long, n long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
-    vocabulary: dict[str, int] = {}
-    if 0 < total["toxic"] < total["n"]:
-        scored = counts.filter(F.col("toxic") >= MIN_SUPPORT).withColumn("g2", g2(F.col("toxic").cast("double"), F.col("n").cast("double"), float(total["toxic"]), float(total["n"])))
-        top = scored.filter(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "feature").limit(MAX_FEATURES).select("feature")
-        vocabulary = {r["feature"]: i for i, r in enumerate(top.collect())}
-
-    df = np.zeros(len(vocabulary) + 1, np.int64)
-    for r in texts.select("text").mapInArrow(_document_frequencies(vocabulary), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
-        df[r["term"]] = r["df"]
-    idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
-
-    # examples of one heaviest term stand together, so that a block's bound is tight for other terms
-    heaviest = lambda r: max(zip(r["terms"], r["tf"], strict=True), key=lambda x: ((1 + math.log(x[1])) * idf[x[0]], -x[0]), default=(-1, 0))[0]
-    rows = sorted(examples.mapInArrow(_example_vectors(vocabulary), "doc_id long, toxic int, terms array<int>, tf array<int>").dropDuplicates(["doc_id"]).collect(), key=lambda r: (heaviest(r), r["doc_id"]))
-    return _index(vocabulary, idf, rows)
-
-
-def _index(vocabulary: dict[str, int], idf: np.ndarray, rows: list) -> Model:
-    held = [r for r in rows if r["terms"]]
-    bare = [r["toxic"] for r in rows if not r["terms"]]
-    base = (sum(bare) + 0.5) / (len(bare) + 10)
-    n_blocks = max(1, math.ceil(len(held) / BLOCK))
-    block_max = np.zeros((len(vocabulary), n_blocks))
-    model = Model(vocabulary, idf, np.array([r["doc_id"] for r in held], np.int64), np.array([r["toxic"] for r in held], np.int8), np.zeros((len(vocabulary), n_blocks + 1), np.int64), np.empty(0, np.int64), np.empty(0), block_max, base)
-    vectors = [model.vector(dict(zip(r["terms"], r["tf"], strict=True))) for r in held]
-    if vectors:
-        term, weight = (np.concatenate(x) for x in zip(*vectors, strict=True))
-        row = np.repeat(np.arange(len(held)), [len(t) for t, _ in vectors])
-        order = np.lexsort((row, term))
-        term, model.rows, model.weights = term[order], row[order], weight[order]
-        np.maximum.at(block_max, (term, model.rows // BLOCK), model.weights)
-        cells = np.bincount(term * n_blocks + model.rows // BLOCK, minlength=block_max.size)
-        ends = np.cumsum(cells).reshape(block_max.shape)
-        model.starts[:, 1:] = ends
-        model.starts[:, 0] = ends[:, 0] - cells.reshape(block_max.shape)[:, 0]
-    return model
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    found = cut(one.mapInArrow(_example_words, "doc_id long, toxic int, words array<binary>, tf array<int>"), "examples")
+    examples = [Example(r["doc_id"], r["toxic"], dict(zip(map(bytes, r["words"]), r["tf"], strict=True))) for r in found.toLocalIterator()]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for e in examples for w in e.counts}))}
+
+    df, n = np.zeros(len(vocabulary), np.int64), 0
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    counted = texts.select("text").mapInArrow(_document_frequencies(shared), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    term, sums = counted.column("term").to_numpy(), counted.column("df").to_numpy()
+    df[term[term >= 0]] = sums[term >= 0]
+    n = int(sums[term < 0].sum())
+    return build(examples, vocabulary, np.log((n + 1) / (df + 1)) + 1)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with held_out, score (0 to 1), predicted (0 or 1) and evidence: the three nearest examples as (doc_id, cosine, toxic).
 
-    A training row is never its own neighbour. The model is bounded by its
-    parameters and is broadcast; documents stay where they are.
+    The model is bounded by its parameter and is broadcast; documents stay
+    where they are.
     """
     added = ["held_out", "score", "predicted", "evidence"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.select(*(c for c in docs.columns if c not in added)).withColumn("held_out", is_held_out(id_col))
-    at_id, at_text = plain.columns.index(id_col), plain.columns.index(text_col)
+    at_text = plain.columns.index(text_col)
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches):
-        model = shared.value
-        known = Known(model.vocabulary)
+        judge = shared.value.judge
         for batch in batches:
-            found = [model.judge(t.as_py(), known, i) for i, t in zip(batch.column(at_id).to_pylist(), batch.column(at_text), strict=True)]
+            found = [judge(t.as_py()) for t in batch.column(at_text)]
             scores = [s for s, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array([[{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in e] for _, e in found], evidence)],
