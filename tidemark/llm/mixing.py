@@ -1,21 +1,27 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-Each source's documents form one stream of words in a pseudorandom order, cut
-into blocks of a fixed length. The mix is a number of slots dealt over output
-shards: a permutation of all slots draws each shard's source counts, a
-multinomial draw under the condition that every source meets its target. A
-running sum turns counts into slot numbers of each source, a pseudorandom
-permutation of the source's block numbers (one for each pass over the source)
-turns slots into blocks, and blocks join the documents they hold by number.
+Each source's documents form one stream of words in a pseudorandom order,
+repeated until the source meets its target and cut there. The stream is packed
+into blocks of a fixed length; only a source's last block may be shorter, so
+every source gives its target to the word. One pseudorandom permutation of all
+slots draws the source counts of each output shard: a multinomial draw under
+the condition that every source meets its target. It is drawn shard by shard
+from the shard's own slots. A pseudorandom permutation of the source's block
+numbers turns slots into blocks, and blocks join the documents they hold by
+number.
 
 Permutations are swap-or-not shuffles (Hoang, Morris, Rogaway 2012): they work
-for any length and need no state. Positions in a source are prefix sums in two
-levels (within hash buckets of about ``BUCKET`` documents, then over buckets),
-so no task sees a whole source.
+for any length and need no state, so no task has to know what another drew.
+Positions in a source are prefix sums in two levels (within hash buckets of
+about ``BUCKET`` documents, then over buckets), so no task sees a whole source.
+What one task holds of all sources is a row of a few numbers for each.
 
 Cases: null text has size 0 and is not taken; a null source is a source, the
-last one; a null id is a document like others; repeated rows are documents of
-their own; an empty table gives an empty table; further columns are ignored.
+last one; a null id is a document like others; a very long text is cut into
+blocks like others; documents that tie in the order of a stream are equal in
+id and size, so results do not depend on which comes first; repeated rows are
+documents of their own; an empty table gives an empty table; ``taken_words``
+ignores further columns, ``mixed_documents`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,17 +29,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut
-from .quality import words
+from .quality import _let, words
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 WEIGHTS = (5, 2, 1)
 #: No source gives more than so many times its words.
 REPEATS = 3
-BUCKET = 2000
+BUCKET = 20_000
 ROUNDS = 10
-#: Slots that one row unfolds to.
-CHUNK = 50_000
+#: Output shards that one task draws.
+TASK_SHARDS = 32
 
 
 def shuffled(x: Column, n: Column, *key: Column) -> Column:
@@ -80,7 +86,7 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
 
 def _positions(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """(s, row, size, start): where each document starts in its source's stream."""
-    known = sizes.filter("size > 0").join(sources, sizes["source"].eqNullSafe(sources["source"])).select("s", "row", "size", F.xxhash64("doc_id").alias("at"), "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.ceil(F.col("docs") / BUCKET)).alias("bucket"))
+    known = sizes.filter("size > 0").join(sources, sizes["source"].eqNullSafe(sources["source"])).select("s", "row", "size", F.xxhash64("doc_id").alias("at"), "doc_id", F.pmod(F.xxhash64("doc_id", "size", F.lit(7)), F.ceil(F.col("docs") / BUCKET)).alias("bucket"))
     inside = Window.partitionBy("s", "bucket").orderBy("at", "doc_id", "size", "row")
     local = known.withColumn("upto", F.sum("size").over(inside))
     buckets = known.groupBy("s", "bucket").agg(F.sum("size").alias("words"))
@@ -89,52 +95,63 @@ def _positions(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     return local.join(offsets, ["s", "bucket"]).select("s", "row", "size", (F.col("offset") + F.col("upto") - F.col("size")).alias("start"))
 
 
-def _pieces(positions: DataFrame, block_words: int) -> DataFrame:
-    """(s, block, row, first, words): the parts of documents in each block; first counts from the document's start."""
-    size, start = F.col("size"), F.col("start")
-    numbers = F.sequence(F.floor(start / block_words), F.floor((start + size - 1) / block_words))
-    low = F.greatest(F.col("block") * block_words, start)
-    high = F.least((F.col("block") + 1) * block_words, start + size)
-    return positions.withColumn("block", F.explode(numbers)).select("s", "block", "row", (low - start).alias("first"), (high - low).alias("words"))
-
-
-def _unfold(df: DataFrame, n: Column, name: str) -> DataFrame:
-    """One row for each number below ``n``, by way of chunks that are dealt out before they unfold."""
-    chunks = df.withColumn("_n", n).filter("_n > 0").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / CHUNK)))).repartition(*df.columns, "_chunk")
-    low = F.col("_chunk") * CHUNK
-    return chunks.withColumn(name, F.explode(F.sequence(low, F.least(low + CHUNK, F.col("_n")) - 1))).drop("_n", "_chunk")
-
-
-def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 17) -> tuple[DataFrame, DataFrame]:
-    """The source counts of each output shard (shard, s, n), and the slots (shard, s, pass, block)."""
-    blocks = F.ceil(F.col("source_size") / block_words)
-    planned = sources.filter("source_size > 0").withColumn("blocks", blocks).withColumn("quota", F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"))
-    by_number = Window.orderBy("s")
-    planned = cut(planned.select("s", "blocks", "quota", (F.sum("quota").over(by_number) - F.col("quota")).alias("base"), F.sum("quota").over(Window.partitionBy()).alias("total")), "planned")
-    drawn = _unfold(planned.select("s", "base", "quota", "total"), F.col("quota"), "slot")
-    shard = F.floor(shuffled(F.col("base") + F.col("slot"), F.col("total"), F.lit(seed)) / shard_slots)
-    counts = drawn.select(shard.alias("shard"), "s").groupBy("shard", "s").agg(F.count("*").alias("n"))
-    ahead = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = counts.withColumn("offset", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-    each = _unfold(numbered.join(planned.select("s", "blocks"), "s"), F.col("n"), "k").withColumn("number", F.col("offset") + F.col("k"))
-    turn = F.floor(F.col("number") / F.col("blocks"))
-    block = shuffled(F.pmod("number", "blocks"), F.col("blocks"), F.lit(seed), F.col("s"), F.col("pass"))
-    return counts, each.withColumn("pass", turn).select("shard", "s", "pass", block.alias("block"))
+def planned(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(s, source_size, words, blocks, base): the words a source gives, its blocks, and the number of its first block among all."""
+    words_due = F.least(F.round("target").cast("long"), REPEATS * F.col("source_size"))
+    given = sources.filter("source_size > 0").withColumn("words", words_due).withColumn("blocks", F.ceil(F.col("words") / block_words)).filter("blocks > 0")
+    before = F.sum("blocks").over(Window.orderBy("s")) - F.col("blocks")  # one row per source
+    return cut(given.select("s", "source_size", "words", "blocks", before.alias("base")), "planned")
+
+
+def _pieces(positions: DataFrame, plan: DataFrame, block_words: int) -> DataFrame:
+    """(s, block, row, pass, first, n): the parts of documents in each block; first counts from the document's start."""
+    passes = F.explode(F.sequence(F.lit(0), F.ceil(F.col("words") / F.col("source_size")) - 1))
+    every = positions.join(plan.select("s", "source_size", "words"), "s").withColumn("pass", passes)
+    begin = F.col("pass") * F.col("source_size") + F.col("start")
+    placed = every.select("s", "row", "pass", begin.alias("begin"), F.least(begin + F.col("size"), "words").alias("end")).filter("begin < end")
+    numbers = F.sequence(F.floor(F.col("begin") / block_words), F.floor((F.col("end") - 1) / block_words))
+    low = F.greatest(F.col("block") * block_words, "begin")
+    high = F.least((F.col("block") + 1) * block_words, "end")
+    return placed.withColumn("block", F.explode(numbers)).select("s", "block", "row", "pass", (low - F.col("begin")).alias("first"), (high - low).alias("n"))
+
+
+def slots(plan: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+    """The source counts of each output shard (shard, s, n), and the slots (shard, slot, s, block)."""
+    spark = plan.sparkSession
+    totals = plan.agg(F.coalesce(F.sum("blocks"), F.lit(0)).alias("slots"), F.count("*").alias("sources")).first()
+    total, shards = totals["slots"], -(-totals["slots"] // shard_slots)
+    ranges = plan.agg(F.array_sort(F.collect_list(F.struct("base", "s", "blocks"))).alias("ranges")).scalar()
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(max(1, totals["sources"].bit_length())))))
+
+    def drawn(slot: Column) -> Column:
+        """The source a slot draws, and which of the source's draws it is."""
+        x = shuffled(slot, F.lit(total), F.lit(seed))
+        # the last range that begins at or below x, by halving steps
+        of = lambda x: F.aggregate(steps, F.lit(0), lambda i, by: F.when(F.get("ranges", i + by)["base"] <= x, i + by).otherwise(i))
+        return _let(x, lambda x: _let(F.get("ranges", of(x)), lambda r: F.struct(slot.alias("slot"), r["s"].alias("s"), (x - r["base"]).alias("number"), r["blocks"].alias("blocks"))))
+
+    low = F.col("shard") * shard_slots
+    own = F.sequence(low, F.least(low + shard_slots, F.lit(total)) - 1)
+    rows = spark.range(0, shards, 1, max(1, -(-shards // TASK_SHARDS))).withColumnRenamed("id", "shard").withColumn("ranges", ranges).withColumn("drawn", F.transform(own, drawn))
+    each = rows.select("shard", F.inline("drawn"))
+    counts = each.groupBy("shard", "s").agg(F.count("*").alias("n"))
+    return counts, each.select("shard", "slot", "s", shuffled(F.col("number"), F.col("blocks"), F.lit(seed), F.col("s")).alias("block"))
 
 
 def mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 17) -> tuple[DataFrame, DataFrame]:
-    """The sources with their targets, and the mix as parts of documents (shard, pass, row, first, words)."""
+    """The sources with their targets, and the mix as parts of documents (shard, slot, row, pass, first, n)."""
     sources = cut(targets(sizes), "sources")
-    pieces = _pieces(_positions(sizes, sources), block_words)
-    _, dealt = slots(sources, block_words, shard_slots, seed)
-    return sources, dealt.join(pieces, ["s", "block"]).select("shard", "pass", "row", "first", "words")
+    plan = planned(sources, block_words)
+    _, dealt = slots(plan, shard_slots, seed)
+    parts = dealt.join(_pieces(_positions(sizes, sources), plan, block_words), ["s", "block"])
+    return sources, parts.select("shard", "slot", "row", "pass", "first", "n")
 
 
 def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS) -> DataFrame:
     """Rows (doc_id, size, source_size, target, taken), one for each input row."""
     sizes = cut(sized(docs, id_col, text_col, source_col), "sizes")
     sources, parts = mix(sizes, block_words)
-    taken = parts.groupBy("row").agg(F.sum("words").alias("taken"))
+    taken = parts.groupBy("row").agg(F.sum("n").alias("taken"))
     known = sizes.join(taken, "row", "left").join(sources, sizes["source"].eqNullSafe(sources["source"]))
     return known.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
@@ -142,13 +159,18 @@ def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` as the mix has them: for every pass over its source, a row with the words taken of the document, their white space kept.
 
-    Documents with no word taken go; ``n_chars`` is counted anew.
+    Documents with no word taken go; ``n_chars``, where there is one, is
+    counted anew.
     """
-    rows = cut(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-    sizes = cut(rows.select("row", "doc_id", "source", F.coalesce(F.size(words(F.col("text"))), F.lit(0)).cast("long").alias("size")), "sizes")
+    rows = cut(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
+    of = lambda c: F.col("doc").getField(c)
+    sizes = cut(rows.select("row", of("doc_id").alias("doc_id"), of("source").alias("source"), F.coalesce(F.size(words(of("text"))), F.lit(0)).cast("long").alias("size")), "sizes")
     _, parts = mix(sizes, block_words)
-    chosen = parts.groupBy("row", "pass").agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("parts"))
-    pieces = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    split = rows.join(chosen, "row").withColumn("_pieces", pieces)
-    text = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice("_pieces", (p["first"] + 1).cast("int"), p["words"].cast("int")))), "")
-    return split.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    # all blocks below the target are taken, so a document's parts of one pass stand in a row
+    chosen = parts.groupBy("row", "pass").agg(F.min("first").cast("int").alias("first"), F.sum("n").cast("int").alias("n"))
+    split = F.regexp_extract_all(of("text"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    text = F.array_join(F.slice(split, F.col("first") + 1, F.col("n")), "")
+    whole = rows.join(chosen, "row").select("doc", text.alias("text"))
+    types = dict(docs.dtypes)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast(types.get("n_chars", "long"))}
+    return whole.select(*(new.get(c, of(c)).alias(c) for c in docs.columns))
