@@ -1,12 +1,22 @@
 """Exact Jaccard self-join of documents on word n-grams, by PartEnum signatures.
 
 Sets fall into size bands. A pair whose larger set lies in band ``i`` can
-differ in at most ``k_i`` features, so if the feature domain is cut into more
-than ``k_i`` partitions, some partition holds the same features in both sets.
-Each non-empty partition gives one signature, and each set signs for its own
-band and for the next one it can reach. Partitions beyond ``k_i + 1`` make up
-for empty ones; a set with too many empty partitions signs again under the next
-seed, so no pair is lost by skipping them.
+differ in at most ``k`` features. PartEnum cuts the feature domain into ``n1``
+partitions and each of them into ``n2`` subpartitions, and enumerates subsets:
+
+* short sets (``k`` up to ``SUBSETS_UP_TO``): more than ``k / 2`` partitions, so in
+  some partition the two sets differ in at most one feature; of its three
+  subpartitions the subset of the two others is the same in both. Subsets of two
+  hold more features than plain partitions would, so short texts meet less by chance;
+* longer sets: more than ``k`` partitions, one of which is the same in both.
+
+Each non-empty subset gives one signature, and each set signs for its own band
+and for those above that it can reach. Partitions beyond the least number make
+up for empty subsets; a set with too many of them signs again under the next
+seed, so no pair is lost by skipping them. No exact scheme can do with ``k`` or
+fewer signatures, as ``k`` changes could spoil one each: their number grows
+with the length of the text, and subsets, of which there are more, are kept
+for short sets.
 
 Equal sets share a 64-bit fingerprint (their class) and sign once in a task.
 Candidates meet in three rounds:
@@ -38,6 +48,8 @@ gives an empty table; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import math
 from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -47,9 +59,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import cut
+from .common import apart, cut
 
 U = np.uint64
+#: Subpartitions of a partition; subsets leave one of them out.
+SUBPARTS = 3
+#: Bands whose pairs differ in at most so many features use subsets.
+SUBSETS_UP_TO = 24
+#: Tries to fill the partitions of a set.
+SEEDS = 1000
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 #: Ratio of neighbouring band bounds; above 100/threshold a set reaches one more band at most.
 BAND_RATIO = 1.4
@@ -105,26 +123,57 @@ def most_different(total: int, threshold: int) -> int:
     return (100 - threshold) * total // (100 + threshold)
 
 
+@functools.lru_cache(4096)
+def partitions(band: int, threshold: int) -> tuple[int, int, int]:
+    """The most that a pair of the band can differ in, the number of partitions and of subpartitions in each.
+
+    More partitions than can be spoilt are needed, and as many more as hold an
+    empty subset in the smallest sets of the band.
+    """
+    k = most_different(2 * (BOUNDS[band + 1] - 1), threshold)
+    n2 = SUBPARTS if k <= SUBSETS_UP_TO else 1
+    spoilt = k // 2 if n2 > 1 else k
+    smallest = -(-threshold * BOUNDS[band] // 100)
+    best = (-math.inf, 1)
+    for n1 in range(spoilt + 1, 2 * k + 2):
+        empty = math.exp(-smallest / n1 / n2)
+        some = 3 * empty * empty * (1 - empty) + empty**3 if n2 > 1 else empty  # two or three of three subpartitions are empty
+        over, spread = n1 * (1 - some) - spoilt, math.sqrt(n1 * some * (1 - some))
+        if over >= 2 * spread:
+            return k, n1, n2
+        best = max(best, (over - spread, n1))
+    return k, best[1], n2
+
+
 def signatures(features: np.ndarray, threshold: int) -> np.ndarray:
     size = len(features)
     band = bisect_right(BOUNDS, size) - 1
     out = []
     while band == bisect_right(BOUNDS, size) - 1 or 100 * size >= threshold * BOUNDS[band]:
-        k = most_different(2 * (BOUNDS[band + 1] - 1), threshold)
+        k, n1, n2 = partitions(band, threshold)
         if k and size > k:
-            parts = k + 2 + k // 12
-            for seed in range(1 << 20):
+            for seed in range(SEEDS):
                 salt = mix(np.array([band * 1_000_003 + seed], U))[0]
                 hashed = mix(features + salt)
-                part = ((hashed >> U(32)) * U(parts)) >> U(32)
-                order = np.argsort(part.astype(np.uint16) if parts < 65536 else part, kind="stable")
-                part = part[order]
-                starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                out.append(mix(np.add.reduceat(mix(hashed[order] * ODD[2]), starts) + part[starts] * ODD[3] + salt))
-                if parts - len(starts) < parts - k:  # fewer empty partitions than any pair must agree on
+                cell = (((hashed >> U(32)) * U(n1)) >> U(32)) * U(n2) + (((hashed & U(0xFFFFFFFF)) * U(n2)) >> U(32))
+                order = np.argsort(cell.astype(np.uint16) if n1 * n2 < 65536 else cell, kind="stable")
+                cell = cell[order].astype(np.int64)
+                starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+                sums, held = np.zeros(n1 * n2, U), np.zeros(n1 * n2, np.int64)
+                sums[cell[starts]] = np.add.reduceat(mix(hashed[order] * ODD[2]), starts)
+                held[cell[starts]] = 1
+                sums, held = sums.reshape(n1, n2), held.reshape(n1, n2)
+                if n2 > 1:  # a subset of subpartitions is what the one left out leaves of the partition
+                    sums, held = sums.sum(axis=1, keepdims=True, dtype=U) - sums, held.sum(axis=1, keepdims=True) - held
+                filled = held > 0
+                number = np.arange(n1 * n2, dtype=U).reshape(n1, n2)
+                out.append(mix(sums + number * ODD[3] + salt)[filled])
+                if np.count_nonzero(~filled.all(axis=1)) < n1 - (k // 2 if n2 > 1 else k):  # fewer than the partitions that a pair agrees in
                     break
+            else:
+                raise ValueError("partitions stay empty")
         band += 1
-    return np.concatenate(out) if out else np.empty(0, U)
+    return np.concatenate(out).view(np.uint64) if out else np.empty(0, U)
 
 
 def sketch(features: np.ndarray, threshold: int) -> bytes:
@@ -466,8 +515,9 @@ def linked_documents(docs: DataFrame, n: int = 4, threshold: int = 85, id_col: s
 
 
 def one_of_each(docs: DataFrame, n: int = 4, threshold: int = 85) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component. Rows that repeat a kept id are dropped, the one with the smallest text stays."""
-    kept = similar_documents(docs, n, threshold).filter("doc_id = component_id or doc_id is null").select("doc_id").distinct()
+    """The rows of ``docs`` that are the first of their component. Rows that repeat a kept id are dropped, the one with the smallest text stays; rows without an id stay."""
+    kept = similar_documents(docs, n, threshold).filter("doc_id = component_id").select("doc_id").distinct()
+    own, back = apart(docs, "doc_id", "text")
     first = Window.partitionBy("doc_id").orderBy("text")
-    rows = docs.join(kept.filter("doc_id is not null"), "doc_id", "left_semi").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
-    return rows.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    rows = own.join(kept, "doc_id", "left_semi").withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    return rows.select(*back).unionByName(docs.filter("doc_id is null"))
