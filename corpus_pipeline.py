@@ -1,7 +1,13 @@
 """A corpus pipeline of five stages over ``documents``.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as
-Parquet and read again as the next stage's docs.
+Parquet and read again as the next stage's docs. All stages but the last return
+the columns of their input, whatever else these are named.
+
+Cases, for every stage: a null text counts as empty; rows without an id pass
+the first three stages by their text alone; very long texts are handled whole;
+repeated rows are judged row by row until the third stage, which keeps one; an
+empty table gives an empty table. Each stage's docstring says the rest.
 """
 
 from __future__ import annotations
@@ -9,33 +15,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import jaccard, mixing, quality, toxicity
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import apart, cut, table
 from tidemark.llm.queries import encode_and_digest
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the labelled neighbours judge toxic go."""
+    """Documents that the labelled neighbours judge toxic go. Equal texts go or stay together; an empty text stays."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    own, back = apart(docs, "doc_id", "text")
+    return toxicity.score(own, model).filter("predicted = 0").select(*back)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a rule rejects go."""
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    """Documents that a rule rejects go; null and empty texts are among them. Equal texts go or stay together."""
+    own, back = apart(docs, "text")
+    return quality.judge(own).filter("kept").select(*back)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays."""
-    return jaccard.one_of_each(docs)
+    """One document of each group linked by word 5-grams with a similarity of 0.8 or more stays, that of the smallest id.
+
+    Of rows that repeat its id the one with the smallest text stays; rows
+    without an id have no links and stay.
+    """
+    return jaccard.one_of_each(docs, n=5, threshold=80)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of each document, a row for each pass."""
+    """The words that the mix takes of each document, a row for each pass over its source. Documents of which it takes none, empty ones too, go."""
     return mixing.mixed_documents(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the mixed texts, as digests, and what they decode to."""
+    """Token ids of the mixed texts, as digests, and what they decode to: a row for each row, so one for each pass of a document."""
     return encode_and_digest(docs)
 
 
