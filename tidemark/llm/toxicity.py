@@ -15,8 +15,10 @@ from vote to rate, fitted to votes that cross-validation over the examples
 gives, makes them calibrated scores.
 
 Bound (documented parameter): ``MAX_EXAMPLES`` labelled rows, chosen by a hash
-of their id. The vocabulary is bounded by their words. All that is counted over
-the corpus covers all of it.
+of their id, at most half of them toxic. Where labelled rows are left out, the
+counts of a, c and the calibration weigh each example for the rows of its label
+that it stands for. The vocabulary is bounded by the examples' words. All that
+is counted over the corpus covers all of it.
 
 A score is a function of the text alone: equal texts have equal scores, and an
 example whose text equals the scored one is a neighbour like others. Equal
@@ -44,7 +46,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut
 
-MAX_EXAMPLES = 2048
+MAX_EXAMPLES = 1024
 NEIGHBOURS = 25
 #: Examples in a block of the index.
 BLOCK = 64
@@ -75,16 +77,17 @@ class Example:
     doc_id: int
     toxic: int
     counts: dict[bytes, int]
+    weight: float = 1.0  # labelled rows of its label for each example of it
 
     def __post_init__(self):
         self.mark = xxhash.xxh3_64_intdigest(repr(sorted(self.counts.items())).encode()) >> 1
 
 
 def term_factors(examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray) -> np.ndarray:
-    """idf * rf^2 of every word; 0 of a word that no example holds."""
+    """idf * rf^2 of every word, counts weighted back to those of all labelled rows; 0 of a word that no example holds."""
     toxic, other = np.zeros(len(vocabulary)), np.zeros(len(vocabulary))
     for e in examples:
-        (toxic if e.toxic else other)[[vocabulary[w] for w in e.counts]] += 1
+        (toxic if e.toxic else other)[[vocabulary[w] for w in e.counts]] += e.weight
     return idf * np.log2(2 + toxic / np.maximum(1, other)) ** 2 * (toxic + other > 0)
 
 
@@ -100,7 +103,7 @@ class Index:
         self.toxic = np.array([e.toxic for e, _, _ in vectors], np.float64)
         self.marks = np.array([e.mark for e, _, _ in vectors], np.int64)
         self.n_blocks = -(-len(vectors) // BLOCK)
-        self.base = (sum(e.toxic for e in examples) + 0.5) / (len(examples) + 1)
+        self.base = (sum(e.weight for e in examples if e.toxic) + 0.5) / (sum(e.weight for e in examples) + 1)
         term, weight, row = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
         if vectors:
             term, weight = np.concatenate([t for _, t, _ in vectors]), np.concatenate([w for *_, w in vectors])
@@ -176,15 +179,15 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(len(which)) + np.repeat(begin - (np.cumsum(n) - n), n), which
 
 
-def logistic(votes: np.ndarray, toxic: np.ndarray, steps: int = 30) -> tuple[float, float]:
+def logistic(votes: np.ndarray, toxic: np.ndarray, weights: np.ndarray, steps: int = 30) -> tuple[float, float]:
     """Slope and offset of the curve from vote to rate, by Newton's method with a weak ridge on the slope."""
     x = np.stack([votes, np.ones_like(votes)], axis=1)
     ridge = np.diag([1e-2, 1e-6])
     beta = np.array([0.0, 0.0])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge
-        step = np.linalg.solve(hessian, x.T @ (toxic - p) - ridge @ beta)
+        hessian = (x * (weights * p * (1 - p))[:, None]).T @ x + ridge
+        step = np.linalg.solve(hessian, x.T @ (weights * (toxic - p)) - ridge @ beta)
         beta += np.clip(step, -5, 5)
     return float(beta[0]), float(beta[1])
 
@@ -204,7 +207,7 @@ class Model:
 def build(examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray) -> Model:
     """The index, and its calibration by votes of examples that stood in other folds than their neighbours."""
     index = Index(examples, vocabulary, idf)
-    votes, toxic = [], []
+    votes, toxic, weights = [], [], []
     for fold in range(FOLDS):
         rest = [e for e in examples if e.mark % FOLDS != fold]  # equal texts share a fold
         if not 0 < sum(e.toxic for e in rest) < len(rest):
@@ -213,10 +216,11 @@ def build(examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray
         for e in examples:
             if e.mark % FOLDS == fold:
                 votes.append(part.vote(e.counts)[0])
-                toxic.append(e.toxic)
+                toxic.append(float(e.toxic))
+                weights.append(e.weight)
     if not votes:
         return Model(index, 0.0, math.log(index.base / (1 - index.base)))
-    return Model(index, *logistic(np.array(votes), np.array(toxic, np.float64)))
+    return Model(index, *logistic(*map(np.array, (votes, toxic, weights))))
 
 
 def _document_frequencies(shared):
@@ -241,12 +245,18 @@ def _example_words(batches):
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = MAX_EXAMPLES) -> Model:
     """The model of ``labels.toxic``; only labels whose id is not held out are read."""
-    chosen = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)  # the bounded sample
+    labelled = labels.filter(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(id_col)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    bounds = {1: min(rows.get(1, 0), max_examples // 2)}
+    bounds[0] = max_examples - bounds[1]
+    some = lambda toxic: labelled.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bounds[toxic])
+    chosen = some(1).unionByName(some(0))  # the bounded sample
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     found = cut(one.mapInArrow(_example_words, "doc_id long, toxic int, words array<binary>, tf array<int>"), "examples")
-    examples = [Example(r["doc_id"], r["toxic"], dict(zip(map(bytes, r["words"]), r["tf"], strict=True))) for r in found.toLocalIterator()]
+    weights = {t: max(1.0, n / max(1, bounds[t])) for t, n in rows.items()}
+    examples = [Example(r["doc_id"], r["toxic"], dict(zip(map(bytes, r["words"]), r["tf"], strict=True)), weights[r["toxic"]]) for r in found.toLocalIterator()]
+    examples.sort(key=lambda e: (e.mark, e.toxic, e.doc_id))
     vocabulary = {w: i for i, w in enumerate(sorted({w for e in examples for w in e.counts}))}
 
     df, n = np.zeros(len(vocabulary), np.int64), 0
