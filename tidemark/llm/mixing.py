@@ -36,7 +36,7 @@ SHARD_SLOTS = 4096
 WEIGHTS = (5, 2, 1)
 #: No source gives more than so many times its words.
 REPEATS = 3
-BUCKET = 20_000
+BUCKET = 4_000
 ROUNDS = 10
 #: Output shards that one task draws.
 TASK_SHARDS = 32
@@ -143,7 +143,8 @@ def mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHA
     sources = cut(targets(sizes), "sources")
     plan = planned(sources, block_words)
     _, dealt = slots(plan, shard_slots, seed)
-    parts = dealt.join(_pieces(_positions(sizes, sources), plan, block_words), ["s", "block"])
+    # both sides grow with the words: no broadcast, however well they compress
+    parts = dealt.hint("merge").join(_pieces(_positions(sizes, sources), plan, block_words), ["s", "block"])
     return sources, parts.select("shard", "slot", "row", "pass", "first", "n")
 
 
@@ -152,7 +153,7 @@ def taken_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sizes = cut(sized(docs, id_col, text_col, source_col), "sizes")
     sources, parts = mix(sizes, block_words)
     taken = parts.groupBy("row").agg(F.sum("n").alias("taken"))
-    known = sizes.join(taken, "row", "left").join(sources, sizes["source"].eqNullSafe(sources["source"]))
+    known = sizes.join(taken.hint("merge"), "row", "left").join(sources, sizes["source"].eqNullSafe(sources["source"]))
     return known.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
