@@ -67,11 +67,18 @@ def write_by_repo(records: DataFrame, path: str, n: int = 16) -> None:
 
 
 def repartition_collections(df: DataFrame, path: str, names: dict[str, str]) -> None:
-    """Moves collections into partitions of their own; only partitions that change are written."""
+    """Moves collections into partitions of their own; only partitions that rows leave or join are written, and those left empty go."""
     pairs = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
-    moved = df.withColumn("part", F.coalesce(F.element_at(pairs, F.col("collection")), F.col("part")))
-    touched = moved.filter(F.col("part").isin(*names.values(), "default"))
+    to = F.coalesce(F.element_at(pairs, F.col("collection")), F.col("part"))
+    left = [r["part"] for r in df.filter(to != F.col("part")).select("part").distinct().collect()]  # partitions, not rows
+    moved = df.withColumn("part", to)
+    touched = moved.filter(F.col("part").isin(*names.values(), *left))
+    filled = {r["part"] for r in touched.select("part").distinct().collect()}
     touched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    jvm = df.sparkSession._jvm
+    for part in set(left) - filled:
+        folder = jvm.org.apache.hadoop.fs.Path(path, f"part={part}")
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def dump(df: DataFrame, path: str, codec: str = "zstd") -> None:
