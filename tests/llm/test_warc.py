@@ -53,3 +53,33 @@ def test_empty(spark):
     folder = shared_folder(spark)
     assert warc.write(df, folder).count() == 0
     assert warc.read(spark, folder).count() == 0
+
+
+def test_jobs_can_be_repeated(spark, small):
+    import os
+
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    folder = shared_folder(spark)
+    first = warc.write(pages, folder, shard_bytes=40_000).collect()
+    root = folder.removeprefix("file://")
+    with open(f"{root}/.part-000000-00000.warc.gz.9-9-9-9", "wb") as f:
+        f.write(b"left by a dead attempt")
+    # the second job again: all names are given already
+    attempts = spark.read.parquet(f"{folder}/_attempts")
+    assert sorted(map(str, attempts.mapInArrow(warc._publish(folder), warc.MANIFEST).collect())) == sorted(map(str, first))
+    # both jobs again, onto the files that stand there
+    assert sorted(map(str, warc.write(pages, folder, shard_bytes=40_000).collect())) == sorted(map(str, first))
+    assert not [x for x in os.listdir(root) if x.startswith(".part")]
+    assert warc.read(spark, folder).count() == pages.count()
+    shards = {}
+    for f in first:
+        shards[f.shard] = shards.get(f.shard, 0) + f.bytes
+    assert len(shards) > 3 and max(shards.values()) < 2.5 * sum(shards.values()) / len(shards)
+
+
+def test_one_id_and_long_payloads(spark):
+    rows = [(7, f"http://u/{i}", ("z" * 3_000_000 if i == 5 else f"text {i} ") + "é" * 60) for i in range(40)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as kind", "2 as first_id", "3 as n_bytes")
+    folder = shared_folder(spark)
+    warc.write(df, folder, shard_bytes=1000)
+    assert got(warc.read(spark, folder)) == expected(rows)

@@ -1,20 +1,26 @@
 """WARC archives: a deterministic sharded writer, and the reader.
 
-Records are sorted by page id and cut into shards at ids found from a sample
-that depends on the ids alone. Each task writes its shards' records as gzip
-members, rolls files at a compressed size, and regenerates headers, record ids
-and digests from the data. A file is written under a temporary name that holds
-the attempt and renamed when it is complete; the manifest, committed by Spark
-after all tasks, names the files that count. A repeated task writes the same
-bytes under the same names.
+Records are sorted by page id and cut into shards of about equal bytes at ids
+found from a sample that depends on the ids alone; every shard is a partition
+of its own. Each task writes its shard's records as gzip members, rolls files
+at a compressed size, and regenerates headers, record ids and digests from the
+data. Files are written under temporary names that hold the attempt. Spark
+commits the list of complete temporary files, a second job gives these their
+final names, and the manifest, committed by Spark, names the files that count.
+Both jobs can be repeated at any point: a repeated writing task writes the same
+bytes under a temporary name of its own, and renaming skips what is done. What
+dead attempts leave is deleted at the end.
 
 Payloads are shuffled once. What a page refers to travels as a row of its own
 that sorts before its page, so that payloads need no join.
 
-Cases: null payloads are empty; of rows that repeat an id and a payload the
-first in order of URL is the response; a null id sorts first and is never
-referred to while the payload has a row with an id; an empty table gives an
-empty archive; further columns are ignored.
+Cases: null payloads are empty; a very long payload is one record, written and
+read in the memory of a task; of rows that repeat an id and a payload the
+first in order of URL is the response; all rows of one id, and all rows without
+an id, are one shard, whose task sorts them on disk and streams them; a null id
+sorts first and is never referred to while the payload has a row with an id; an
+empty table gives an empty archive; further columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -39,11 +45,14 @@ from .common import cut
 SHARD_BYTES, ROLL_BYTES = 32 << 20, 8 << 20
 #: Smallest payload that may be a revisit.
 MIN_REVISIT = 100
-#: Ids in the sample that shard bounds are taken from, about.
-SAMPLE = 20_000
+#: Ids in the sample that shard bounds are taken from, about: so many, or so many for each shard.
+SAMPLE, SHARD_SAMPLE = 20_000, 20
+#: Most shards; beyond, shards grow. It bounds what the driver collects to MAX_SHARDS * SHARD_SAMPLE ids, about.
+MAX_SHARDS = 50_000
 NAMESPACE = uuid.UUID("5f0f3b52-6a0e-5d0b-9a39-0c1d1f6f8a11")
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+ATTEMPTS = "file string, shard int, records long, bytes long, sha256 string, temporary string"
 MANIFEST = "file string, shard int, records long, bytes long, sha256 string"
 RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
@@ -111,8 +120,7 @@ class _Files:
     def close(self) -> None:
         if self.out:
             self.out.close()
-            self.system.move(f"{self.root}/.{self.name}.{self.mark}", f"{self.root}/{self.name}")
-            self.done.append((self.name, self.shard, self.records, self.size, self.hash.hexdigest()))
+            self.done.append((self.name, self.shard, self.records, self.size, self.hash.hexdigest(), f".{self.name}.{self.mark}"))
             self.out = None
 
 
@@ -136,21 +144,55 @@ def _writer(folder: str, roll: int):
                     first = None
                 files.add(shards[i], _page(page_id, urls[i], batch.column(6)[i].as_py() or b"", first))
         files.close()
-        yield pa.RecordBatch.from_pydict(dict(zip(("file", "shard", "records", "bytes", "sha256"), map(list, zip(*files.done)) if files.done else [[]] * 5, strict=True)), schema=pa.schema([("file", pa.string()), ("shard", pa.int32()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())]))
+        fields = [("file", pa.string()), ("shard", pa.int32()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string()), ("temporary", pa.string())]
+        yield pa.RecordBatch.from_arrays([pa.array([row[i] for row in files.done], t) for i, (_, t) in enumerate(fields)], names=[n for n, _ in fields])
 
     return run
 
 
+def _publish(folder: str):
+    """Gives temporary files their final names. A file that has its name already, from a lost task, is left."""
+
+    def run(batches):
+        system, root = fs.FileSystem.from_uri(folder)
+        exists = lambda name: system.get_file_info(f"{root}/{name}").type == fs.FileType.File
+        for batch in batches:
+            for name, temporary in zip(batch.column("file").to_pylist(), batch.column("temporary").to_pylist(), strict=True):
+                if exists(temporary):
+                    if exists(name):  # of an archive that stood here before; not every file system renames onto a file
+                        system.delete_file(f"{root}/{name}")
+                    system.move(f"{root}/{temporary}", f"{root}/{name}")
+                elif not exists(name):
+                    raise FileNotFoundError(f"{folder}/{temporary}")
+            yield batch.select(["file", "shard", "records", "bytes", "sha256"])
+
+    return run
+
+
+def _sweep(folder: str) -> None:
+    """Deletes temporary files that no attempt will finish."""
+    system, root = fs.FileSystem.from_uri(folder)
+    for info in system.get_file_info(fs.FileSelector(root)):
+        if info.base_name.startswith(".part-"):
+            system.delete_file(info.path)
+
+
 def _bounds(keys: DataFrame, shard_bytes: int) -> np.ndarray:
-    """Smallest ids of all shards but the first, from a sample by a hash of the ids."""
+    """Smallest ids of all shards but the first: weighted quantiles of a sample by a hash of the ids."""
     total = keys.agg(F.count("page_id").alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).first()
-    shards = max(1, -(-total["bytes"] // shard_bytes))
+    shards = min(MAX_SHARDS, max(1, -(-total["bytes"] // shard_bytes)))
     if shards == 1 or not total["n"]:
         return np.empty(0, np.int64)
-    every = max(1, total["n"] // max(SAMPLE, 20 * shards))
-    sample = keys.filter(F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0).filter("page_id is not null").select("page_id").distinct().collect()
-    ids = np.sort(np.array([r["page_id"] for r in sample], np.int64))
-    return np.unique(ids[np.linspace(0, len(ids), shards, endpoint=False).astype(int)[1:]]) if len(ids) else ids
+    every = max(1, total["n"] // max(SAMPLE, SHARD_SAMPLE * shards))
+    chosen = keys.filter("page_id is not null").filter(F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0)
+    sample = chosen.groupBy("page_id").agg((F.sum("n_bytes") + F.count("*")).alias("bytes")).toArrow()
+    if not sample.num_rows:
+        return np.empty(0, np.int64)
+    ids, weights = sample.column("page_id").to_numpy(), sample.column("bytes").to_numpy()
+    order = np.argsort(ids)
+    upto = np.cumsum(weights[order])
+    cuts = np.searchsorted(upto, upto[-1] / shards * np.arange(1, shards), side="right")
+    return np.unique(ids[order][np.minimum(cuts, len(ids) - 1)])
 
 
 def write(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
@@ -171,10 +213,12 @@ def write(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_by
         refers.select("page_id", F.lit(0).alias("kind"), "digest", "first_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("html"))
     )
     dealt = stream.select(shard(F.coalesce("page_id", F.lit(-(1 << 63)))).alias("shard"), "*")
-    dealt = dealt.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "kind", "url", "digest")
+    dealt = dealt.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "page_id", "kind", "url", "digest")
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
-    dealt.mapInArrow(_writer(folder, roll_bytes), MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
+    dealt.mapInArrow(_writer(folder, roll_bytes), ATTEMPTS).write.mode("overwrite").parquet(f"{folder}/_attempts")
+    spark.read.schema(ATTEMPTS).parquet(f"{folder}/_attempts").mapInArrow(_publish(folder), MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
+    _sweep(folder)
     return manifest(spark, folder)
 
 
