@@ -151,12 +151,14 @@ def test_sinks(spark, tmp_path):
     default = stored.filter("part in ('default', 'list')").drop("x").cache()
     n_list = default.filter("part = 'list'").count()
     export.repartition_collections(default, str(tmp_path / "parts"), {"app.bsky.graph.list": "lists"})
+    default.unpersist()  # of files that are gone
     now = spark.read.parquet(str(tmp_path / "parts"))
     assert now.filter("part = 'lists'").count() == n_list > 0
     assert now.count() == records.count() and not (tmp_path / "parts" / "part=list").exists()
     every = now.filter("part = 'like'").cache()
     n_every = every.count()
     export.repartition_collections(every, str(tmp_path / "parts"), {r.collection: "rest" for r in every.select("collection").distinct().collect()})
+    every.unpersist()
     now = spark.read.parquet(str(tmp_path / "parts"))
     assert now.count() == records.count() and now.filter("part = 'rest'").count() == n_every > 0 and now.filter("part = 'like'").count() == 0
     export.write_by_repo(records, str(tmp_path / "buckets"), 4)
