@@ -217,13 +217,30 @@ def test_archives(spark):
     missing = Link(b"nowhere")
     top = cbor({"l": Link(left), "e": [entry(0, b"c.post/m", one, missing), entry(7, b"n", one)]})
     bad_prefix = cbor({"l": None, "e": [entry(3, b"x", one)]})
+    lacking = cbor({"l": None, "e": [{"p": 0, "k": b"c/a", "v": Link(one)}]})
     commit = lambda tree: cbor({"did": "did:x", "version": 3, "data": Link(tree), "rev": "3k1", "prev": None, "sig": b"s"})
     good = car(Link(commit(top)), [commit(top), top, left, one, two])
     spoiled = car(Link(commit(top)), [commit(top), top, left, one, two], spoil=(2,))
     prefixed = car(Link(commit(bad_prefix)), [commit(bad_prefix), bad_prefix, one])
-    rows = [("good", bytearray(good)), ("spoiled", bytearray(spoiled)), ("prefixed", bytearray(prefixed)), ("cut", bytearray(good[:-5])), ("none", bytearray(b""))]
-    records, errors = archive.archive_records(spark.createDataFrame(rows, "archive string, bytes binary"))
+    lacks = car(Link(commit(lacking)), [commit(lacking), lacking, one])
+    unnamed = car(Link(commit(left)), [commit(top), top, commit(left), left, one, two])
+    rootless = car(missing, [commit(top), top, left, one, two])
+    deep = [cbor({"l": None, "e": [entry(0, b"c/z", one)]})]
+    for i in range(4):
+        deep.append(cbor({"l": Link(deep[-1]), "e": [entry(0, b"d/%d" % i, one)]}))
+    tall = car(Link(commit(deep[-1])), [commit(deep[-1]), one, *deep])
+    rows = {"good": good, "spoiled": spoiled, "prefixed": prefixed, "lacks": lacks, "unnamed": unnamed, "rootless": rootless, "cut": good[:-5], "none": b"", "bare": car(missing, [])}
+    records, errors = archive.archive_records(spark.createDataFrame([(k, bytearray(v)) for k, v in rows.items()], "archive string, bytes binary"))
     got = {(r.archive, r.collection, r.rkey, r.rev) for r in records.collect()}
-    assert got == {("good", "c.post", "m", "3k1"), ("good", "c.post", "n", "3k1"), ("good", "c.like", "a", "3k1"), ("good", "c.like", "b", "3k1"), ("spoiled", "c.post", "m", "3k1"), ("spoiled", "c.post", "n", "3k1")}
-    assert {r.archive for r in errors.collect()} == {"cut", "none"}
+    likes, posts = {("c.like", "a", "3k1"), ("c.like", "b", "3k1")}, {("c.post", "m", "3k1"), ("c.post", "n", "3k1")}
+    assert got == {("good", *x) for x in likes | posts} | {("spoiled", *x) for x in posts} | {("unnamed", *x) for x in likes}
+    said = {r.archive: r.error for r in errors.collect()}
+    assert set(said) == {"prefixed", "lacks", "rootless", "cut", "none", "bare"}
+    assert "prefix" in said["prefixed"] and "'t'" in said["lacks"] and "root" in said["rootless"]
+    read = archive.archive_blocks(spark.createDataFrame([("tall", bytearray(tall))], "archive string, bytes binary"))
+    for depth, wrong in ((5, 0), (4, 1)):
+        found, broken = archive.tree_records(archive.nodes(read), read.filter("root"), depth)
+        assert (found.count(), broken.count()) == (depth, wrong)
     assert fmt.text_cid(Link(one).cid.hex()).startswith("bafy")
+    content = fmt.dag_json(fmt.cbor(cbor({"b": b"\x01\x02", "ref": Link(one), "s": "ä"})))
+    assert content == '{"b":{"/":{"bytes":"AQI"}},"ref":{"/":"%s"},"s":"ä"}' % fmt.text_cid(Link(one).cid.hex())

@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import base64
+import json
+
+
+class Link(str):
+    """The id of a block in hex."""
 
 
 def varint(data: bytes, at: int) -> tuple[int, int]:
@@ -53,12 +58,12 @@ def _item(data: bytes, at: int):
         return pairs, at
     if major == 6:
         x, at = _item(data, at)
-        return (x[1:].hex() if n == 42 else x), at  # 42: a link, with a zero byte before the id
+        return (Link(x[1:].hex()) if n == 42 else x), at  # 42: a link, with a zero byte before the id
     return {20: False, 21: True, 22: None}[info], at
 
 
 def cbor(data: bytes):
-    """The value of a block; links are hex ids, byte strings bytes."""
+    """The value of a block; byte strings are bytes."""
     out, end = _item(data, 0)
     if end != len(data):
         raise ValueError("bytes after the value")
@@ -74,10 +79,12 @@ def cid_length(data: bytes, at: int) -> int:
 
 
 def blocks(data: bytes):
-    """(cid in hex, block, whether it is a root) of an archive."""
+    """(cid in hex, block, whether it is the first root) of an archive. The meaning of later roots is not defined; without one it is an error."""
     n, at = varint(data, 0)
     header = cbor(data[at : at + n])
-    roots = set(header["roots"])
+    if not header["roots"]:
+        raise ValueError("the archive has no roots")
+    root = header["roots"][0]
     at += n
     while at < len(data):
         n, at = varint(data, at)
@@ -85,10 +92,33 @@ def blocks(data: bytes):
             raise ValueError("the archive ends within a block")
         width = cid_length(data, at)
         cid = data[at : at + width].hex()
-        yield cid, data[at + width : at + n], cid in roots
+        yield cid, data[at + width : at + n], cid == root
         at += n
 
 
 def text_cid(hex_cid: str) -> str:
     """The usual text of an id: base 32 in lower case after a b."""
     return "b" + base64.b32encode(bytes.fromhex(hex_cid)).decode().lower().rstrip("=")
+
+
+def frame(data: bytes):
+    """Header and body of a stream frame: two values, one after the other."""
+    header, at = _item(data, 0)
+    if not isinstance(header, dict) or "op" not in header:
+        raise ValueError("the frame has no header")
+    return header, cbor(data[at:])
+
+
+def dag_json(x) -> str:
+    """JSON text of a value, with links as ``{"/": id}`` and bytes as ``{"/": {"bytes": base 64 without padding}}``."""
+
+    def plain(x):
+        if isinstance(x, Link):
+            return {"/": text_cid(x)}
+        if isinstance(x, bytes):
+            return {"/": {"bytes": base64.b64encode(x).decode().rstrip("=")}}
+        if isinstance(x, dict):
+            return {k: plain(v) for k, v in x.items()}
+        return [plain(v) for v in x] if isinstance(x, list) else x
+
+    return json.dumps(plain(x), ensure_ascii=False, separators=(",", ":"))

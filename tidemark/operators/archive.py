@@ -6,15 +6,14 @@ their two public formats; everything after that is joins over blocks.
 
 from __future__ import annotations
 
-import json
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import archive_format as fmt
+from ..sources.scratch import shared_folder
 
 BLOCK = "archive string, cid string, digest string, data binary, root boolean, error string"
-NODE = "archive string, cid string, kind string, rev string, data string, l string, e array<struct<p:int,k:binary,v:string,t:string>>, content string"
+NODE = "archive string, cid string, kind string, rev string, data string, l string, e array<struct<p:int,k:binary,v:string,t:string>>, content string, error string"
 
 
 def archive_blocks(archives: DataFrame) -> DataFrame:
@@ -25,7 +24,9 @@ def archive_blocks(archives: DataFrame) -> DataFrame:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 try:
                     rows = [(name, cid, cid[-64:], block, root, None) for cid, block, root in fmt.blocks(data.as_py())]
-                except (ValueError, IndexError, TypeError) as e:
+                    if not rows:
+                        raise ValueError("the archive has no blocks")
+                except (ValueError, IndexError, TypeError, KeyError) as e:
                     rows = [(name, None, None, None, False, str(e))]
                 cols = list(zip(*rows, strict=True)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.string()), strict=True)], names=["archive", "cid", "digest", "data", "root", "error"])
@@ -38,29 +39,42 @@ def verify_blocks(blocks: DataFrame) -> DataFrame:
     return blocks.filter(F.sha2("data", 256) == F.col("digest"))
 
 
+def _node(x) -> tuple:
+    """(kind, rev, data, l, e, content, error) of a decoded block; raises where a tree entry is not whole."""
+    if not isinstance(x, dict):
+        return ("other", None, None, None, None, None, None)
+    if "$type" in x:
+        return ("record", None, None, None, None, fmt.dag_json(x), None)
+    if "data" in x:
+        rev, tree = x.get("rev"), x["data"]
+        return ("commit", rev if isinstance(rev, str) else None, tree if isinstance(tree, fmt.Link) else None, None, None, None, None)
+    if "e" not in x:
+        raise ValueError("the block is of no known kind")
+    link = lambda v: v if isinstance(v, fmt.Link) else None
+    entries = [{"p": e["p"], "k": e["k"], "v": link(e["v"]), "t": link(e["t"])} for e in x["e"] if isinstance(e, dict)]
+    if not all(isinstance(e["p"], int) and 0 <= e["p"] < 1 << 31 and isinstance(e["k"], bytes) and e["v"] for e in entries):
+        raise ValueError("a field of a tree entry has the wrong type or range")
+    return ("tree", None, None, link(x.get("l")), entries, None, None)
+
+
 def nodes(blocks: DataFrame) -> DataFrame:
-    """Decoded blocks: a record has ``$type``, a commit ``data``, a tree node ``e``; others go."""
+    """Decoded blocks: a record has ``$type``, a commit ``data``, a tree node ``e``. One that can't be read is of kind bad, with its error."""
     entry = pa.list_(pa.struct([("p", pa.int32()), ("k", pa.binary()), ("v", pa.string()), ("t", pa.string())]))
-    types = (pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), entry, pa.string())
+    types = (pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), entry, pa.string(), pa.string())
 
     def run(batches):
         for batch in batches:
             out = []
             for name, cid, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 try:
-                    x = fmt.cbor(data)
-                except (ValueError, IndexError):
-                    continue
-                if not isinstance(x, dict):
-                    continue
-                if "$type" in x:
-                    out.append((name, cid, "record", None, None, None, None, json.dumps(x, default=str, ensure_ascii=False, separators=(",", ":"))))
-                elif "data" in x:
-                    out.append((name, cid, "commit", x.get("rev"), x["data"], None, None, None))
-                elif "e" in x:
-                    out.append((name, cid, "tree", None, None, x.get("l"), [{"p": e["p"], "k": e["k"], "v": e["v"], "t": e.get("t")} for e in x["e"]], None))
-            cols = list(zip(*out, strict=True)) or [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["archive", "cid", "kind", "rev", "data", "l", "e", "content"])
+                    out.append((name, cid, *_node(fmt.cbor(data))))
+                except (ValueError, IndexError, TypeError, RecursionError) as e:
+                    out.append((name, cid, "bad", None, None, None, None, None, str(e)))
+                except KeyError as e:
+                    out.append((name, cid, "bad", None, None, None, None, None, f"a tree entry lacks the field {e}"))
+            cols = list(zip(*out, strict=True)) or [[]] * len(types)
+            names = ["archive", "cid", "kind", "rev", "data", "l", "e", "content", "error"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
     return blocks.select("archive", "cid", "data").mapInArrow(run, NODE)
 
@@ -83,37 +97,54 @@ def tree_keys(tree: DataFrame) -> DataFrame:
     return tree.select(*rest, F.explode(full_keys(F.col("e"))).alias("x")).select(*rest, F.col("x.key").cast("string").alias("key"), "x.v", "x.t")
 
 
-def tree_records(found: DataFrame, max_depth: int = 128) -> DataFrame:
-    """(archive, rev, key, cid) reached from the commits: all keys, with missing blocks skipped and each inner node visited once."""
-    tree = found.filter("kind = 'tree'").select("archive", "cid", "l", "e").dropDuplicates(["archive", "cid"])
-    frontier = found.filter("kind = 'commit'").select("archive", "rev", F.col("data").alias("cid"))
-    seen, parts = None, []
-    for _ in range(max_depth):
+def tree_records(found: DataFrame, roots: DataFrame, max_depth: int = 128) -> tuple[DataFrame, DataFrame]:
+    """Rows (archive, rev, key, cid) reached from the root commits, and rows (archive, error).
+
+    ``roots`` (archive, cid) names one block for each archive. All keys count,
+    missing blocks are skipped, each inner node is visited once. Every level is
+    one join; its rows are checkpointed, so the plan of a level stays small.
+    """
+    shared_folder(found.sparkSession)
+    blocks = found.select("archive", "cid", "kind", "l", "e", "error").dropDuplicates(["archive", "cid"])
+    commits = found.filter("kind = 'commit'").select("archive", "cid", "rev", "data").dropDuplicates(["archive", "cid"])
+    started = roots.select("archive", "cid").join(commits, ["archive", "cid"], "left").checkpoint()
+    errors = started.filter("data is null").select("archive", F.lit("the root is missing or no commit").alias("error"))
+    frontier = started.filter("data is not null").select("archive", "rev", F.col("data").alias("cid"))
+    out = frontier.limit(0).select("archive", "rev", F.lit("").alias("key"), "cid")
+    seen, depth = None, 0
+    while True:
         frontier = frontier.distinct()
         if seen is not None:
             frontier = frontier.join(seen, ["archive", "rev", "cid"], "left_anti")
         frontier = frontier.checkpoint()
         if frontier.isEmpty():
-            break
+            return out, errors.distinct()
+        if depth == max_depth:
+            return out, errors.unionByName(frontier.select("archive", F.lit(f"the tree is deeper than {max_depth}").alias("error"))).distinct()
+        depth += 1
         seen = frontier if seen is None else seen.unionByName(frontier)
-        at = frontier.join(tree, ["archive", "cid"])
-        keyed = tree_keys(at)
-        parts.append(keyed.select("archive", "rev", "key", F.col("v").alias("cid")))
-        down = at.select("archive", "rev", F.col("l").alias("cid")).unionByName(keyed.select("archive", "rev", F.col("t").alias("cid")))
+        at = frontier.join(blocks, ["archive", "cid"]).filter("kind in ('tree', 'bad')")
+        keys = F.when(F.col("kind") == "tree", full_keys(F.col("e")))
+        read = at.select("archive", "rev", "l", keys.alias("keys"), F.when(F.col("kind") == "bad", F.col("error")).otherwise("a key's prefix is longer than the key before it").alias("error")).checkpoint()
+        errors = errors.unionByName(read.filter("keys is null").select("archive", "error"))
+        keyed = read.select("archive", "rev", F.explode("keys").alias("x"))
+        out = out.unionByName(keyed.select("archive", "rev", F.col("x.key").cast("string").alias("key"), F.col("x.v").alias("cid")))
+        down = read.select("archive", "rev", F.col("l").alias("cid")).unionByName(keyed.select("archive", "rev", F.col("x.t").alias("cid")))
         frontier = down.filter("cid is not null")
-    empty = found.limit(0).select("archive", "rev", F.lit("").alias("key"), "cid")
-    out = empty
-    for p in parts:
-        out = out.unionByName(p)
-    return out
 
 
 def archive_records(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records (archive, collection, rkey, rev, content), and archives with their error."""
+    """Records (archive, collection, rkey, rev, content), and archives with their error; an archive with an error gives no records."""
+    shared_folder(archives.sparkSession)
     read = archive_blocks(archives)
-    found = nodes(verify_blocks(read.filter("error is null")))
-    reached = tree_records(found)
-    contents = found.filter("kind = 'record'").select("archive", "cid", "content").dropDuplicates(["archive", "cid"])
+    good = verify_blocks(read.filter("error is null"))
+    found = nodes(good).checkpoint()
+    roots = read.filter("error is null and root").select("archive", "cid").dropDuplicates(["archive"])
+    rootless = read.filter("error is null").select("archive").distinct().join(roots, "archive", "left_anti").select("archive", F.lit("the root is missing or no commit").alias("error"))
+    reached, broken = tree_records(found, roots)
+    contents = found.filter("kind in ('record', 'bad')").select("archive", "cid", "content", "error").dropDuplicates(["archive", "cid"])
+    rows = reached.join(contents, ["archive", "cid"])
+    errors = read.select("archive", "error").unionByName(rootless).unionByName(broken).unionByName(rows.select("archive", "error")).filter("error is not null").groupBy("archive").agg(F.min("error").alias("error"))
     part = F.split("key", "/", 2)
-    rows = reached.join(contents, ["archive", "cid"]).filter(F.size(part) == 2)
-    return rows.select("archive", part[0].alias("collection"), part[1].alias("rkey"), "rev", "content"), read.filter("error is not null").select("archive", "error")
+    whole = rows.filter(F.size(part) == 2).join(errors, "archive", "left_anti")
+    return whole.select("archive", part[0].alias("collection"), part[1].alias("rkey"), "rev", "content"), errors

@@ -5,7 +5,13 @@ The same SQL text runs in Spark and in DuckDB (session time zone UTC).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import json
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..archive_format import Link
 
 AS_OF = "2001-08-02"
 BASE = ("nation", "customer", "orders", "events")
@@ -84,4 +90,70 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_views(*names: str) -> str:
     """The opening of a DuckDB query over some of the views."""
-    return "with " + ", ".join(f"{n} as ({SQL[n]})" for n in names) + "\n"
+    return "with recursive " + ", ".join(f"{n} as ({SQL[n]})" for n in names) + "\n"
+
+
+def _block(x) -> bytes:
+    """The block encoding of a value, for archives made of the records."""
+
+    def head(major, n):
+        width = next(w for w, top in ((0, 24), (1, 1 << 8), (2, 1 << 16), (4, 1 << 32)) if n < top)
+        return bytes([major << 5 | 23 + width.bit_length()]) + n.to_bytes(width, "big") if width else bytes([major << 5 | n])
+
+    if x is None:
+        return b"\xf6"
+    if isinstance(x, Link):
+        return b"\xd8\x2a" + head(2, len(x) // 2 + 1) + b"\0" + bytes.fromhex(x)
+    if isinstance(x, int):
+        return head(0, x)
+    if isinstance(x, bytes):
+        return head(2, len(x)) + x
+    if isinstance(x, str):
+        return head(3, len(x.encode())) + x.encode()
+    if isinstance(x, list):
+        return head(4, len(x)) + b"".join(map(_block, x))
+    return head(5, len(x)) + b"".join(_block(k) + _block(v) for k, v in x.items())
+
+
+def _archive(records: list[tuple[str, str]], rev: str, stale: bool) -> bytes:
+    """An archive of (key, content) in order of key: a tree of four-way nodes below a commit; a ``stale`` one starts with a commit that no root names."""
+    out = []
+
+    def put(x) -> Link:
+        data = _block(x)
+        link = Link("01711220" + hashlib.sha256(data).hexdigest())
+        out.append((link, data))
+        return link
+
+    def node(rows):
+        if not rows:
+            return None
+        at = sorted({len(rows) * i // 4 for i in (1, 2, 3)}) if len(rows) > 6 else range(len(rows))
+        entries, last = [], b""
+        for i, (this, following) in enumerate(zip(at, [*at[1:], len(rows)], strict=True)):
+            key = rows[this][0].encode()
+            same = next((n for n, (a, b) in enumerate(zip(last, key, strict=False)) if a != b), min(len(last), len(key)))
+            entries.append({"p": same, "k": key[same:], "v": put(json.loads(rows[this][1])), "t": node(rows[this + 1 : following])})
+            last = key
+        return put({"l": node(rows[: at[0]]), "e": entries})
+
+    if stale:
+        put({"did": "x", "data": put({"l": None, "e": [{"p": 0, "k": b"old/a", "v": put({"$type": "old"}), "t": None}]}), "rev": "1"})
+    root = put({"did": "x", "data": node(records), "rev": rev})
+    size = lambda n: bytes([n]) if n < 128 else bytes([n & 127 | 128]) + size(n >> 7)
+    header = _block({"roots": [root], "version": 1})
+    return size(len(header)) + header + b"".join(size(len(link) // 2 + len(data)) + bytes.fromhex(link) + data for link, data in out)
+
+
+def archives(records: DataFrame) -> DataFrame:
+    """The records of each account as an archive; those of every tenth are cut short, each seventh has a stale commit."""
+    rows = records.groupBy("repo").agg(F.sort_array(F.collect_list(F.struct(F.concat_ws("/", "collection", "rkey").alias("key"), "content"))).alias("rows"), F.max("at_rev").alias("rev"))
+
+    def run(batches):
+        for batch in batches:
+            repos, found, revs = (c.to_pylist() for c in batch.columns)
+            packed = [_archive([(x["key"], x["content"]) for x in r], rev, repo % 7 == 0) for repo, r, rev in zip(repos, found, revs, strict=True)]
+            cut = [data[:-3] if repo % 10 == 0 else data for repo, data in zip(repos, packed, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([str(r) for r in repos]), pa.array(cut, pa.binary())], names=["archive", "bytes"])
+
+    return rows.select("repo", "rows", "rev").mapInArrow(run, "archive string, bytes binary")
