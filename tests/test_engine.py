@@ -104,7 +104,7 @@ def test_streams_start_from_stored_rows(spark, tmp_path, commits):
     some = placed.groupBy("repo").agg(F.min_by("first_cursor_since_reset", "seq").alias("at")).filter("repo % 2 = 0")
     rows = repos.join(some, repos.id == some.repo, "left").withColumn("first_cursor_since_reset", F.coalesce("at", "first_cursor_since_reset")).select(*repos.columns)
     known = spark.createDataFrame(rows.collect(), repos.schema)
-    seen = run_stream(spark, tmp_path, placed, lambda s: stateful.repo_state_stream(s, known, pds), 3, "stored_anchors").cache()
+    seen = run_stream(spark, tmp_path, placed, lambda s: stateful.repo_state_stream(s, known), 3, "stored_anchors").cache()
     anchors = seen.filter("rev is not null")
     last = anchors.groupBy("repo").agg(F.max_by("rev", "rev"), F.max_by("first_cursor_since_reset", "rev"))
     assert {tuple(r) for r in last.collect()} == {tuple(r) for r in stream.repo_anchor(commits, epochs, known).collect()}
@@ -112,7 +112,7 @@ def test_streams_start_from_stored_rows(spark, tmp_path, commits):
     anchored = firsts.join(known.select(F.col("id").alias("repo"), "first_cursor_since_reset"), "repo").filter("at = first_cursor_since_reset and not big").select("repo", "rev")
     assert anchored.count() > 0 and anchored.join(anchors, ["repo", "rev"]).count() == 0
     advanced = seen.filter("last_firehose_rev is not null").groupBy("repo").agg(F.max("last_firehose_rev"))
-    due = {tuple(r) for r in stream.firehose_rev_advance(known, commits, pds).collect()}
+    due = {tuple(r) for r in stream.firehose_rev_advance(known, placed.withColumn("type", F.lit("#commit")), pds).collect()}
     assert due and {tuple(r) for r in advanced.collect()} == due
 
 
@@ -125,6 +125,62 @@ def test_append_stream_is_idempotent(spark, tmp_path, commits):
     assert spark.read.parquet(out).count() == rows.count()
 
 
+def test_live_rev_waits_after_each_advance(spark):
+    repos = spark.createDataFrame([(1, 1, "3b", "3a", 5, "2024-01-01 00:00:00")], "id long, pds int, last_indexed_rev string, first_rev_since_reset string, first_cursor_since_reset long, updated_at string")
+    repos = repos.withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+    pds = spark.createDataFrame([(1, 5)], "id int, first_cursor_since_reset long")
+    rows = [(n, f"3c{n}", f"2024-01-0{d} 0{h}:00:00", big) for n, d, h, big in ((1, 1, 5, False), (2, 2, 1, False), (3, 2, 2, False))]
+    later = [(4, "3c4", "2024-01-03 01:00:01", True), (5, "3c5", "2024-01-09 00:00:00", False)]
+
+    def last(rows):
+        commits = spark.createDataFrame(rows, "seq long, rev string, time string, too_big boolean").selectExpr("seq", "rev", "cast(time as timestamp_ntz) as time", "too_big", "1L as repo", "1 as pds", "'#commit' as type")
+        return [tuple(r) for r in stream.firehose_rev_advance(repos, commits, pds).collect()]
+
+    assert last(rows) == [(1, "3c2")]
+    assert last(rows + later) == [(1, "3c4")]  # what is too big re-anchors the repo after its index
+    assert last(rows[:1]) == []
+
+
+def test_upsert_stream_equals_batch(spark, tmp_path, commits):
+    rows = commits.filter("type = '#commit'")
+    src, out = str(tmp_path / "ops"), str(tmp_path / "current")
+    rows.orderBy("seq").coalesce(1).write.option("maxRecordsPerFile", rows.count() // 3).parquet(src)
+    for attempt in range(2):
+        source = stream.event_stream(spark, src, rows.schema, maxFilesPerTrigger=1)
+        stateful.upsert_batches(source, out, str(tmp_path / f"point{attempt}")).awaitTermination(120)
+    got = store.fold_current(spark.read.parquet(out)).collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in store.fold_current(store.current_parts(rows)).collect()}
+    assert len({r.deleted for r in got}) == 2
+    ops = [("create", 1, "a"), ("delete", 2, None), ("create", 3, "b")]
+    one = spark.createDataFrame([(1, "c", "k", a, str(s), s, t) for a, s, t in ops], "repo long, collection string, rkey string, action string, rev string, seq long, content string")
+    assert [tuple(r) for r in store.fold_current(store.current_parts(one)).collect()] == [(1, "c", "k", "3", "b", True)]
+    assert store.fold_current(store.current_parts(one.filter("seq > 1"))).first().deleted is False  # nothing was there to delete
+
+
+def test_dead_letters(spark, tmp_path):
+    good = cbor({"op": 1, "t": "#commit"}) + cbor({"seq": 1})
+    rows = [(h, i, bytearray(good if i % 3 else [b"", good[:-1], cbor({"t": "x"}) + cbor({})][i // 3 % 3])) for h in (1, 2) for i in range(12 if h == 1 else 40)]
+    frames = spark.createDataFrame(rows, "pds int, cursor long, bytes binary")
+    src = str(tmp_path / "frames")
+    frames.orderBy("cursor").coalesce(1).write.option("maxRecordsPerFile", 20).parquet(src)
+    kept, ended = str(tmp_path / "kept"), str(tmp_path / "ended")
+    for attempt in range(2):
+        source = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        stateful.dead_letter_batches(source, kept, ended, str(tmp_path / f"spot{attempt}"), limit=8).awaitTermination(120)
+    stored = spark.read.parquet(kept)
+    assert sorted((r.pds, r.cursor) for r in stored.collect()) == [(h, i) for h in (1, 2) for i in range(0, 12 if h == 1 else 24, 3)]
+    assert stored.filter("content is null or error is null").count() == 0
+    assert spark.read.parquet(ended).groupBy("pds").agg(F.min("cursor")).collect() == [(2, 24)]
+
+
+def test_event_stream_of_json(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "events.json").write_text('{"seq": 1}\n{"seq": 2}\n{"seq": 3}\n')
+    q = stream.event_stream(spark, str(tmp_path / "in"), "seq long", 1, "json").writeStream.format("memory").queryName("json_events").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert {r.seq for r in spark.table("json_events").collect()} == {2, 3}
+
+
 def test_windows_and_dedup_on_streams(spark, tmp_path, commits):
     got = run_stream(spark, tmp_path, commits.select("pds", "seq", "time"), lambda s: stream.events_per_window(s, "1 day", "1 hour"), 2, "windows")
     want = {tuple(r) for r in stream.events_per_window(commits, "1 day").collect()}

@@ -61,3 +61,8 @@ def normal_error(error: Column) -> Column:
     for pattern, name in ERROR_PATTERNS:
         error = F.regexp_replace(error, pattern, name)
     return error
+
+
+def like(value: Column, pattern: str, fold: bool = False) -> Column:
+    """SQL ``like``, or ``ilike`` with ``fold``; a null value gives null."""
+    return value.ilike(pattern) if fold else value.like(pattern)

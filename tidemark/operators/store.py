@@ -47,6 +47,23 @@ def upsert_current(current: DataFrame, writes: DataFrame, require_change: bool =
     return both.select(*KEY, F.when(newer, F.col("w.at_rev")).otherwise(F.col("at_rev")).alias("at_rev"), F.when(newer, F.col("w.content")).otherwise(F.col("content")).alias("content"), F.coalesce("deleted", F.lit(False)).alias("deleted"))
 
 
+def current_parts(ops: DataFrame) -> DataFrame:
+    """Per key of a batch of operations: its newest write, its first write and its last delete, from which ``fold_current`` gets the row.
+
+    Of writes of equal rev the first counts. Parts of different batches merge
+    in any order, so a stream only appends them.
+    """
+    write, gone = F.col("action").isin("create", "update"), F.col("action") == "delete"
+    newest = F.max(F.when(write, F.struct(F.col("rev").alias("at_rev"), (-F.col("seq")).alias("order"), "content"))).alias("newest")
+    return ops.groupBy(*KEY).agg(newest, F.min(F.when(write, F.col("seq"))).alias("first_write"), F.max(F.when(gone, F.col("seq"))).alias("last_delete"))
+
+
+def fold_current(parts: DataFrame) -> DataFrame:
+    """Current rows from all parts: a delete marks a row that was there before it, and the mark stays."""
+    rows = parts.groupBy(*KEY).agg(F.max("newest").alias("newest"), F.min("first_write").alias("first_write"), F.max("last_delete").alias("last_delete")).filter("first_write is not null")
+    return rows.select(*KEY, "newest.at_rev", "newest.content", F.coalesce(F.col("last_delete") > F.col("first_write"), F.lit(False)).alias("deleted"))
+
+
 def same_json(a, b):
     """Equal by meaning; text that is no JSON compares as text."""
     normal = lambda x: F.coalesce(F.to_json(F.try_parse_json(x)), x)
@@ -64,11 +81,12 @@ def versions_sorted(versions: DataFrame) -> DataFrame:
 
 
 def snapshot_diff(fetched: DataFrame, versions: DataFrame, mark_missing: bool = False) -> DataFrame:
-    """Fetched rows to append: not those whose newest stored row has a larger rev, or is live with equal content.
+    """Fetched rows to append (only versions of their repos are folded): not those whose newest stored row has a larger rev, or is live with equal content.
 
     With ``mark_missing`` live stored rows of fetched repos that the snapshot lacks come back as tombstones.
     """
-    stored = latest_version(versions).select(*KEY, F.col("at_rev").alias("_rev"), F.col("deleted").alias("_deleted"), F.col("content").alias("_content"))
+    of_fetched = versions.join(fetched.select("repo").distinct(), "repo", "left_semi")
+    stored = latest_version(of_fetched).select(*KEY, F.col("at_rev").alias("_rev"), F.col("deleted").alias("_deleted"), F.col("content").alias("_content"))
     joined = fetched.join(stored, list(KEY), "left")
     skip = (F.col("_rev") > F.col("at_rev")) | (~F.col("_deleted") & (F.col("_content") == F.col("content")))
     kept = joined.filter(F.col("_rev").isNull() | ~F.coalesce(skip, F.lit(False))).select(*fetched.columns)

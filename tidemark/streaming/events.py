@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from .. import archive_format as fmt
 from ..functions.text import collection_of, rkey_of
 
 #: Event types that move a host's cursor, and all that are known (fixed values).
@@ -12,9 +15,46 @@ KNOWN = (*SEQUENCED, "#identity", "#account", "#info")
 DELETES, WRITES = ("delete",), ("create", "update")
 
 
-def event_stream(spark: SparkSession, path: str, schema, start_seq: int = 0) -> DataFrame:
-    """A stream of event files after a sequence number; Spark's checkpoint keeps the position."""
-    return spark.readStream.schema(schema).parquet(path).filter(F.col("seq") > start_seq)
+def event_stream(spark: SparkSession, path: str, schema, start_seq: int = 0, source: str = "parquet", **options) -> DataFrame:
+    """A stream of event files of any format after a sequence number; Spark's checkpoint keeps the position."""
+    return spark.readStream.schema(schema).format(source).options(**options).load(path).filter(F.col("seq") > start_seq)
+
+
+def decode_frames(frames: DataFrame) -> DataFrame:
+    """Batch or stream: ``op`` and ``type`` of each frame (pds, cursor, bytes), or the ``error`` for which it can't be read."""
+    schema = "pds int, cursor long, bytes binary, op int, type string, error string"
+
+    def read(data):
+        try:
+            header, _ = fmt.frame(data)
+            op, kind = header["op"], header.get("t")
+            if op not in (1, -1) or not isinstance(kind, (str, type(None))):
+                raise ValueError(f"unknown op {op}")
+            return op, kind, None
+        except (ValueError, IndexError, KeyError, TypeError, RecursionError) as e:
+            return None, None, f"{type(e).__name__}: {e}"
+
+    def run(batches):
+        for batch in batches:
+            op, kind, error = zip(*(read(x or b"") for x in batch.column(2).to_pylist()), strict=True) if len(batch) else ((), (), ())
+            columns = [*batch.columns, pa.array(op, pa.int32()), pa.array(kind, pa.string()), pa.array(error, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["pds", "cursor", "bytes", "op", "type", "error"])
+
+    return frames.select(F.col("pds").cast("int").alias("pds"), F.col("cursor").cast("long").alias("cursor"), "bytes").mapInArrow(run, schema)
+
+
+def quarantine(bad: DataFrame, stored: DataFrame | None = None, limit: int = 500) -> tuple[DataFrame, DataFrame]:
+    """Bad frames to store (pds, cursor, error, content), and for each host beyond ``limit`` the first frame that fails its run.
+
+    ``stored`` (pds, n) counts what each host has already. The rank has a fixed
+    limit, so Spark drops rows beyond it before the shuffle.
+    """
+    nth = F.row_number().over(Window.partitionBy("pds").orderBy("cursor"))
+    first = bad.select("pds", "cursor", "error", F.col("bytes").alias("content")).withColumn("nth", nth).filter(F.col("nth") <= limit + 1)
+    if stored is not None:
+        before = stored.select("pds", F.least("n", F.lit(limit)).alias("_n"))
+        first = first.join(before, "pds", "left").withColumn("nth", F.col("nth") + F.coalesce("_n", F.lit(0))).drop("_n")
+    return first.filter(F.col("nth") <= limit).drop("nth"), first.filter(F.col("nth") == limit + 1).drop("nth", "content")
 
 
 def json_events(lines: DataFrame) -> DataFrame:
@@ -83,11 +123,72 @@ def gap_free(repos: DataFrame, pds: DataFrame) -> DataFrame:
     return repos.join(hosts, "pds").filter("first_cursor_since_reset > 0 and first_rev_since_reset <> '' and last_indexed_rev <> '' and host_first > 0 and first_cursor_since_reset >= host_first and first_rev_since_reset <= last_indexed_rev")
 
 
+class Repo:
+    """What the stream knows of one repo; times are microseconds.
+
+    A commit advances the live rev if the repo misses nothing and was idle, and
+    re-anchors the repo if it is too big or its host's cursor is another one.
+    Both touch the repo, so the next advance waits for another idle time.
+    """
+
+    def __init__(self, cursor, first_rev, indexed, touched, idle):
+        self.cursor, self.first_rev, self.indexed, self.touched, self.idle = cursor, first_rev, indexed, touched, idle
+
+    def commit(self, time, rev, host_first, big) -> tuple[bool, bool]:
+        """Whether the commit anchors, and whether it advances."""
+        free = self.cursor > 0 and host_first > 0 and self.cursor >= host_first and bool(self.first_rev) and bool(self.indexed) and self.first_rev <= self.indexed
+        advances = free and self.touched is not None and time - self.touched > self.idle
+        anchors = big or self.cursor != host_first
+        if anchors:
+            self.cursor, self.first_rev = host_first, rev
+        if anchors or advances:
+            self.touched = time
+        return anchors, advances
+
+
+def micros(time: Column) -> Column:
+    return F.unix_micros(time.cast("timestamp"))
+
+
+def stored_state(repos: DataFrame, touched_col: str) -> DataFrame:
+    """Stored columns that a ``Repo`` starts from."""
+    return repos.select(
+        F.col("id").alias("repo"), F.coalesce(F.col("first_cursor_since_reset").cast("long"), F.lit(0)).alias("stored"), F.coalesce("first_rev_since_reset", F.lit("")).alias("stored_rev"),
+        F.coalesce("last_indexed_rev", F.lit("")).alias("indexed"), micros(F.col(touched_col)).alias("touched"),
+    )
+
+
 def firehose_rev_advance(repos: DataFrame, commits: DataFrame, pds: DataFrame, idle: str = "24 hours", touched_col: str = "updated_at") -> DataFrame:
-    """Repos whose last live rev advances to a commit's: gap-free, and not touched for ``idle`` before it. The last such commit counts."""
-    free = gap_free(repos, pds)
-    due = commits.filter(F.col("type") == "#commit").join(free.select(F.col("id").alias("repo"), F.col(touched_col).alias("_touched")), "repo").filter(F.col("time") - F.expr(f"interval {idle}") > F.col("_touched"))
-    return due.groupBy("repo").agg(F.max_by("rev", "seq").alias("last_firehose_rev"))
+    """Repos with the last live rev that their commits advance to.
+
+    The host's cursor is that of ``commits`` if they have one, else the stored
+    one. Only repos with an indexed rev can advance. Commits are sorted by repo
+    and seq within partitions and read once, with one repo in memory.
+    """
+    known = stored_state(repos, touched_col).filter("indexed <> '' and touched is not null")
+    placed = commits.filter(F.col("type") == "#commit")
+    if "first_cursor_since_reset" not in commits.columns:
+        hosts = pds.select(F.col("id").alias("_pds"), F.col("first_cursor_since_reset"))
+        known = known.join(repos.select(F.col("id").alias("repo"), F.col("pds").alias("_pds")), "repo").join(hosts, "_pds")
+    due = placed.join(known, "repo").select("repo", "seq", micros(F.col("time")).alias("at"), "rev", F.coalesce(F.col("first_cursor_since_reset").cast("long"), F.lit(0)).alias("host"), "too_big", "stored", "stored_rev", "indexed", "touched")
+    wait = int(pd.Timedelta(idle) / pd.Timedelta(microseconds=1))
+
+    def run(frames):
+        at, state, last = None, None, None
+        for frame in frames:
+            out = []
+            for repo, _, time, rev, host, big, *stored in frame.itertuples(index=False, name=None):
+                if repo != at:
+                    if last is not None:
+                        out.append((at, last))
+                    at, state, last = repo, Repo(*stored, wait), None
+                if state.commit(time, rev, host, big)[1]:
+                    last = rev
+            yield pd.DataFrame(out, columns=["repo", "last_firehose_rev"])
+        if last is not None:
+            yield pd.DataFrame([(at, last)], columns=["repo", "last_firehose_rev"])
+
+    return due.repartition("repo").sortWithinPartitions("repo", "seq").mapInPandas(run, "repo long, last_firehose_rev string")
 
 
 def host_cursor(events: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from .events import SEQUENCED, gap_free
+from ..sources.scratch import exists
+from .events import SEQUENCED, Repo, decode_frames, micros, quarantine, stored_state
 
 EPOCHS = "pds int, epoch int, first_cursor_since_reset long"
 ANCHORS = "repo long, rev string, first_cursor_since_reset long, last_firehose_rev string"
@@ -52,39 +53,76 @@ def cursor_reset_stream(stream: DataFrame, pds: DataFrame | None = None) -> Data
     return needed.groupBy("pds").applyInPandasWithState(_epochs, EPOCHS, "epoch int, waiting boolean, last long", "append", GroupStateTimeout.NoTimeout)
 
 
-def _anchors(key, parts, state: GroupState):
-    """State: cursor that the repo is anchored at, last seq."""
-    rows = pd.concat(list(parts)).sort_values("seq")
-    cursor, last = state.get if state.exists else (int(rows["stored"].iloc[0]), -1)
-    out = []
-    for seq, rev, first, big, advances in zip(*(rows[c].tolist() for c in ("seq", "rev", "first_cursor_since_reset", "too_big", "advances")), strict=True):
-        if seq <= last:
-            continue
-        last = seq
-        anchors = first != cursor or big
-        if anchors or advances:
-            out.append((key[0], rev if anchors else None, first if anchors else None, rev if advances else None))
-        if anchors:
-            cursor = first
-    state.update((cursor, last))
-    frame = pd.DataFrame(out, columns=["repo", "rev", "first_cursor_since_reset", "last_firehose_rev"])
-    yield frame.astype({"first_cursor_since_reset": "Int64"})
-
-
-def repo_state_stream(stream: DataFrame, repos: DataFrame | None = None, pds: DataFrame | None = None, idle: str = "24 hours", touched_col: str = "updated_at") -> DataFrame:
+def _anchors(idle: int):
+    def step(key, parts, state: GroupState):
+        """State: cursor and rev that the repo is anchored at, when it was touched, last seq."""
+        rows = pd.concat(list(parts)).sort_values("seq")
+        top = rows.iloc[0]
+        start = (int(top["stored"]), top["stored_rev"], None if pd.isna(top["touched"]) else int(top["touched"]), -1)
+        cursor, rev, touched, last = state.get if state.exists else start
+        repo = Repo(cursor, rev, top["indexed"], touched, idle)
+        out = []
+        for seq, at, rev, first, big in zip(*(rows[c].tolist() for c in ("seq", "at", "rev", "host", "too_big")), strict=True):
+            if seq <= last:
+                continue
+            last = seq
+            anchors, advances = repo.commit(at, rev, first, big)
+            if anchors or advances:
+                out.append((key[0], rev if anchors else None, first if anchors else None, rev if advances else None))
+        state.update((repo.cursor, repo.first_rev, repo.touched, last))
+        frame = pd.DataFrame(out, columns=["repo", "rev", "first_cursor_since_reset", "last_firehose_rev"])
+        yield frame.astype({"first_cursor_since_reset": "Int64"})
+
+    return step
+
+
+def repo_state_stream(stream: DataFrame, repos: DataFrame | None = None, idle: str = "24 hours", touched_col: str = "updated_at") -> DataFrame:
     """Emits each re-anchoring of a repo (rev and cursor) and each advance of its ``last_firehose_rev``; what does not change is null.
 
     ``stream`` has repo, seq, rev, too_big and the host's cursor at that event,
-    and ``time`` where ``repos`` and ``pds`` are given. As in
-    ``firehose_rev_advance``, the stored rows tell which repos are free of gaps.
+    and ``time`` where ``repos`` is given; without stored rows nothing advances.
+    """
+    if repos is not None:
+        placed = stream.join(stored_state(repos, touched_col), "repo", "left").withColumn("at", micros(F.col("time")))
+    else:
+        placed = stream.selectExpr("*", "0L as stored", "'' as stored_rev", "'' as indexed", "cast(null as long) as touched", "0L as at")
+    filled = {"stored": 0, "stored_rev": "", "indexed": ""}
+    needed = placed.select("repo", "seq", "at", "rev", "too_big", F.col("first_cursor_since_reset").cast("long").alias("host"), "touched", *(F.coalesce(c, F.lit(v)).alias(c) for c, v in filled.items()))
+    wait = int(pd.Timedelta(idle) / pd.Timedelta(microseconds=1))
+    return needed.groupBy("repo").applyInPandasWithState(_anchors(wait), ANCHORS, "cursor long, rev string, touched long, last long", "append", GroupStateTimeout.NoTimeout)
+
+
+def _numbered(spark, path: str, below: int, schema) -> DataFrame:
+    """What the batches before ``below`` wrote."""
+    if below == 0 or not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, batch int").parquet(path).filter(F.col("batch") < below)
+
+
+def upsert_batches(stream: DataFrame, path: str, checkpoint: str):
+    """Merges the operations of a stream into a table of current rows, which ``store.fold_current`` reads back.
+
+    Each batch appends one part for each of its keys, in a folder of its own, so
+    no batch rewrites the table and a repeated one overwrites itself.
     """
-    placed = _with_stored(stream, "repo", repos)
-    advances = F.lit(False)
-    if repos is not None and pds is not None:
-        placed = placed.join(gap_free(repos, pds).select(F.col("id").alias("repo"), F.col(touched_col).alias("_touched")), "repo", "left")
-        advances = F.coalesce(F.col("time") - F.expr(f"interval {idle}") > F.col("_touched"), F.lit(False))
-    needed = placed.select("repo", "seq", "rev", "too_big", "first_cursor_since_reset", "stored", advances.alias("advances"))
-    return needed.groupBy("repo").applyInPandasWithState(_anchors, ANCHORS, "cursor long, last long", "append", GroupStateTimeout.NoTimeout)
+    from ..operators.store import current_parts
+
+    def put(batch: DataFrame, number: int) -> None:
+        current_parts(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def dead_letter_batches(frames: DataFrame, path: str, failed: str, checkpoint: str, limit: int = 500):
+    """Stores frames that can't be read, at most ``limit`` for each host, and in ``failed`` the frame that ends a host's run."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        before = _numbered(batch.sparkSession, path, number, "pds int, cursor long, error string, content binary").groupBy("pds").agg(F.count("*").alias("n"))
+        kept, ended = quarantine(decode_frames(batch).filter("error is not null"), before, limit)
+        kept.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        ended.write.mode("overwrite").parquet(f"{failed}/batch={number}")
+
+    return frames.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def merge_batches(stream: DataFrame, path: str, checkpoint: str):
