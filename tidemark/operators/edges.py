@@ -96,10 +96,21 @@ def edges_reply_ladder(records, repos, as_of, steps=LADDER):
     return _ladder(records, repos, POST, json_text("content", "$.reply.parent.uri"), as_of, steps)
 
 
-def dids(repos: DataFrame, *edges: DataFrame) -> DataFrame:
-    """Accounts and all edge ends, each once."""
-    ends = (e.select(F.col("dst").alias("did")) for e in edges)
-    return reduce(DataFrame.unionByName, ends, repos.select("did")).distinct()
+def dids(records: DataFrame, repos: DataFrame, as_of=None, days=None, prefix: str | None = None) -> DataFrame:
+    """Accounts and all ends of their edges, each once, from one scan of the records.
+
+    Edges to oneself need no test, as every account is in the result. With
+    ``prefix`` likes and replies count only of accounts whose DID starts so.
+    """
+    kind = F.col("collection")
+    plain = kind.isin(FOLLOW, BLOCK)
+    uri = F.when(kind == LIKE, json_text("content", "$.subject.uri")).otherwise(json_text("content", "$.reply.parent.uri"))
+    rows = records.filter(kind.isin(FOLLOW, BLOCK, LIKE, POST))
+    if days is not None:
+        rows = filter_recent(rows, as_of, days)
+    ends = rows.select("repo", plain.alias("plain"), F.when(plain, json_text("content", "$.subject")).otherwise(uri_did(uri)).alias("did")).filter("did is not null")
+    known = repos.select(F.col("id").alias("repo"), (F.col("did").startswith(prefix) if prefix else F.lit(True)).alias("counts"))
+    return ends.join(known, "repo").filter("plain or counts").select("did").unionByName(repos.select("did")).distinct()
 
 
 def optouts(repos: DataFrame, records: DataFrame, did: str) -> DataFrame:

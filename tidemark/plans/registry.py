@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import text
 from ..operators import archive, edges, identity, metrics, reconcile, state, store, views
 from ..sources import export
+from ..sources.scratch import shared_folder
 from ..streaming import events as stream
 from .fixtures import AS_OF, archives, view, with_views
 
@@ -64,8 +65,8 @@ EDGES = {
 for name, f in EDGES.items():
     add(name, "records repos", f, EDGE_SQL[name])
 add("edges_like_live", "records repos", lambda r, p: edges.edges_like(r, p, include_deleted=False), counted_edges(edges.LIKE, LIKE_URI, more=" and not deleted"))
-for name, parts in {"dids": ("follow", "like", "reply", "block"), "dids_month": ("follow_month", "like_month", "reply_month", "block_month"), "dids_ladder": ("follow", "like_ladder", "reply_ladder", "block")}.items():
-    add(name, "records repos", (lambda parts: lambda r, p: edges.dids(p, *(EDGES[f"edges_{x}"](r, p) for x in parts)))(parts), "select did from repos" + "".join(f" union select dst from ({EDGE_SQL[f'edges_{x}']})" for x in parts))
+for name, how, parts in (("dids", {}, ("follow", "like", "reply", "block")), ("dids_month", {"as_of": AS_OF, "days": 30}, ("follow_month", "like_month", "reply_month", "block_month")), ("dids_ladder", {"prefix": "did:"}, ("follow", "like_ladder", "reply_ladder", "block"))):
+    add(name, "records repos", (lambda how: lambda r, p: edges.dids(r, p, **how))(how), "select did from repos" + "".join(f" union select dst from ({EDGE_SQL[f'edges_{x}']})" for x in parts))
 add("optouts", "repos records", lambda p, r: edges.optouts(p, r, "1" * 2), f"select did from records join repos on repo = repos.id where collection = '{edges.BLOCK}' and contains(json_extract_string(content, '$.subject'), '11')")
 add("filter_collection", "records", lambda r: edges.filter_collection(r, edges.LIKE).select("id", "rkey"), f"select id, rkey from records where collection = '{edges.LIKE}'")
 add("filter_self_edges", "records repos", lambda r, p: edges.filter_self_edges(edges.join_records_repos(edges.filter_collection(r, edges.FOLLOW).select("repo", text.json_text("content", "$.subject").alias("dst")), p).select(F.col("did").alias("src"), "dst")), EDGE_SQL["edges_follow"])
@@ -260,6 +261,28 @@ add("tree_records", "records", reached, f"select cast(repo as varchar) as archiv
 # Functions and layouts
 add("nul_escape", "records", lambda r: r.select("id", text.nul_escape(F.concat("content", F.lit("\\u0000"))).alias("content")), "select id, content || '<0x00>' as content from records")
 add("sink_partition_collection", "records", lambda r: export.with_part(r).groupBy("part").agg(F.count("*").alias("n")), "select case collection " + " ".join(f"when '{k}' then '{v}'" for k, v in export.PARTS.items()) + " else 'default' end as part, count(*) as n from records group by 1")
+
+
+def stored(df: DataFrame, write: Callable[[DataFrame, str], None], read: str = "parquet", **options) -> DataFrame:
+    """What ``write`` puts into a fresh folder, read back."""
+    path = shared_folder(df.sparkSession)
+    write(df, path)
+    return df.sparkSession.read.options(**options).format(read).load(path)
+
+
+def moved_parts(r: DataFrame) -> DataFrame:
+    path = shared_folder(r.sparkSession)
+    export.write_by_collection(r, path)
+    export.repartition_collections(r.sparkSession.read.parquet(path).filter("part in ('default', 'list')"), path, {"app.bsky.graph.list": "lists"})
+    return r.sparkSession.read.parquet(path).groupBy("part", "collection").agg(F.count("*").alias("n"))
+
+
+PART = "case collection " + " ".join(f"when '{k}' then '{v}'" for k, v in export.PARTS.items()) + " else 'default' end"
+add("sink_csv_edges", "records repos", lambda r, p: stored(edges.edges_like(r, p), export.export_csv, "csv", header=True).toDF("src", "dst", "count").withColumn("count", F.col("count").cast("long")), EDGE_SQL["edges_like"])
+add("sink_csv_handles", "plc_log", lambda g: stored(identity.handles(g), export.export_handles, "csv", header=True, escape='"').toDF("did", "handle"), f"select g.did, replace(json_extract_string(operation, '$.alsoKnownAs[0]'), 'at://', '') as handle from plc_log g join (select did, max(plc_timestamp) as ts from plc_log where not nullified group by did) t on g.did = t.did and g.plc_timestamp = t.ts")
+add("sink_partition_hash", "records", lambda r: stored(r, export.write_by_repo).groupBy("repo").agg(F.countDistinct("bucket").alias("buckets"), F.count("*").alias("n")), "select repo, 1::bigint as buckets, count(*) as n from records group by repo")
+add("sink_move_partition", "records", moved_parts, f"select case when collection = 'app.bsky.graph.list' then 'lists' else {PART} end as part, collection, count(*) as n from records group by all")
+add("sink_dump", "records", lambda r: stored(r, export.dump).select("id", "content"), "select id, content from records")
 add("sink_run_log", "commits", lambda c: export.run_log(c.filter("seq % 2 = 0").select("collection", F.col("pds").alias("to_tsmp"), F.col("time").cast("timestamp").alias("at")), c.filter("seq % 2 = 1").select("collection", F.col("pds").alias("to_tsmp"), F.col("time").cast("timestamp").alias("at"))).withColumns({x: F.col(x).cast("timestamp_ntz") for x in ("started", "finished")}), "select collection, pds as to_tsmp, min(case when seq % 2 = 0 then time end) as started, max(case when seq % 2 = 1 then time end) as finished from commits group by 1, 2")
 add("src_multi_host", "commits pds", lambda c, p: stream.enabled_events(c, p).groupBy("pds").agg(F.count("*").alias("n")), f"select c.pds, count(*) as n from commits c join pds p on c.pds = p.id where {ENABLED} group by c.pds")
 add("src_changes_since", "versions", lambda v: store.changes_since(v, v.groupBy("repo").agg(F.min("at_rev").alias("since_rev"))).groupBy("repo").agg(F.count("*").alias("n")), "select repo, count(*) as n from versions v join (select repo, min(at_rev) as s from versions group by repo) using (repo) where at_rev > s group by repo")

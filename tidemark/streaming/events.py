@@ -12,6 +12,8 @@ from ..functions.text import collection_of, rkey_of
 #: Event types that move a host's cursor, and all that are known (fixed values).
 SEQUENCED = ("#commit", "#handle", "#migrate", "#tombstone")
 KNOWN = (*SEQUENCED, "#identity", "#account", "#info")
+#: Sequence numbers of a host that one sort or join takes together.
+SPAN = 1 << 20
 DELETES, WRITES = ("delete",), ("create", "update")
 
 
@@ -87,20 +89,25 @@ def wrong_host_events(events: DataFrame, repos: DataFrame) -> DataFrame:
 def cursor_epochs(events: DataFrame, pds: DataFrame) -> DataFrame:
     """Per host and epoch: the first sequence number since the reset and the range of the epoch.
 
-    An ``#info`` starts an epoch, and the next sequenced event names it. Only
-    resets and minima are kept per host: each event's epoch is found by the
-    resets before it, not by a window over all of the host's events.
+    An ``#info`` starts an epoch, and the next sequenced event names it. That
+    event is sought among the events of the reset's own stretch of ``SPAN``
+    numbers, and beyond it among the first numbers of the stretches, so no
+    task holds a host's whole history and no event meets all resets.
     """
+    stretch = F.floor(F.col("seq") / SPAN).alias("b")
     resets = events.filter(F.col("type") == "#info").select("pds", F.col("seq").alias("low"))
     zero = events.select("pds").distinct().withColumn("low", F.lit(-1).cast("long"))
     by_host = Window.partitionBy("pds").orderBy("low")
-    ranges = resets.unionByName(zero).withColumns({"epoch": F.row_number().over(by_host) - 1, "high": F.coalesce(F.lead("low").over(by_host), F.lit((1 << 63) - 1))})
-    sequenced = events.filter(F.col("type").isin(*SEQUENCED)).select("pds", "seq")
-    firsts = ranges.join(sequenced, "pds").filter("seq > low and seq < high").groupBy("pds", "epoch").agg(F.min("seq").alias("first_seq"))
+    ranges = resets.unionByName(zero).withColumns({"epoch": F.row_number().over(by_host) - 1, "high": F.coalesce(F.lead("low").over(by_host), F.lit((1 << 63) - 1)), "b": F.floor(F.col("low") / SPAN)})
+    sequenced = events.filter(F.col("type").isin(*SEQUENCED)).select("pds", "seq", stretch)
+    near = ranges.join(sequenced, ["pds", "b"]).filter("seq > low and seq < high").groupBy("pds", "epoch").agg(F.min("seq").alias("near"))
+    starts = sequenced.groupBy("pds", "b").agg(F.min("seq").alias("start"))
+    after = Window.partitionBy("pds").orderBy(F.desc("b")).rangeBetween(Window.unboundedPreceding, -1)
+    both = ranges.unionByName(starts, allowMissingColumns=True).withColumn("far", F.last("start", ignorenulls=True).over(after))
+    found = both.filter("epoch is not null").join(near, ["pds", "epoch"], "left").withColumn("first_seq", F.coalesce("near", F.when(F.col("far") < F.col("high"), F.col("far"))))
     stored = pds.select(F.col("id").alias("pds"), F.col("first_cursor_since_reset").alias("stored"))
-    named = ranges.join(firsts, ["pds", "epoch"], "left").join(stored, "pds", "left")
     first = F.when((F.col("epoch") == 0) & (F.coalesce("stored", F.lit(0)) != 0), F.col("stored")).otherwise(F.col("first_seq"))
-    return named.filter("first_seq is not null").select("pds", "epoch", "low", "high", first.alias("first_cursor_since_reset"))
+    return found.filter("first_seq is not null").join(stored, "pds", "left").select("pds", "epoch", "low", "high", first.alias("first_cursor_since_reset"))
 
 
 def repo_anchor(commits: DataFrame, epochs: DataFrame, repos: DataFrame) -> DataFrame:
@@ -196,9 +203,12 @@ def host_cursor(events: DataFrame) -> DataFrame:
 
 
 def detect_seq_gap(events: DataFrame) -> DataFrame:
-    """Events that do not follow their host's event before them by one."""
-    before = F.lag("seq").over(Window.partitionBy("pds").orderBy("seq"))
-    return events.withColumn("before", before).filter("before is not null and seq <> before + 1").select("pds", "before", "seq")
+    """Events that do not follow their host's event before them by one. Each stretch of ``SPAN`` numbers is sorted by itself; only their ends are compared by host."""
+    placed = events.select("pds", "seq", F.floor(F.col("seq") / SPAN).alias("b"))
+    inner = placed.select("pds", F.lag("seq").over(Window.partitionBy("pds", "b").orderBy("seq")).alias("before"), "seq")
+    ends = placed.groupBy("pds", "b").agg(F.min("seq").alias("seq"), F.max("seq").alias("end"))
+    outer = ends.select("pds", F.lag("end").over(Window.partitionBy("pds").orderBy("b")).alias("before"), "seq")
+    return inner.unionByName(outer).filter("before is not null and seq <> before + 1")
 
 
 def dead_letter(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
