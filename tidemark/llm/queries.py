@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, jaccard, mixing, quality, tokencount, toxicity, urlfilter, warc, webp
+from . import bpe, chat, clustering, jaccard, mixing, quality, tokencount, toxicity, urlfilter, warc, webp
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,8 +84,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op8_ngram_links, op9_url_filters, op10_token_counts)
+    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op8_ngram_links, op9_url_filters, op10_token_counts, op12_centroid_clustering)
     return {f.__name__: f for f in found}
 
 
@@ -103,6 +107,7 @@ def oracle_sql() -> dict[str, str]:
     for control, letter in chat.LETTERS.items():
         replaced = f"replace({replaced}, '{control}', '\\{letter}')"
     return {
+        "op12_centroid_clustering": clustering.clusters_sql(),
         "op2_warc": """
 with p as (select page_id, coalesce(html, '') as t, sha256(coalesce(html, '')) as d from pages),
 f as (select *, octet_length(t::blob) as n, min(page_id) over (partition by d) as first from (select page_id, d, encode(t) as t from p))
