@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, clustering, jaccard, mixing, quality, tokencount, toxicity, urlfilter, warc, webp
+from . import alignment, bpe, chat, clustering, jaccard, mixing, quality, tokencount, toxicity, urlfilter, warc, webp
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,8 +88,12 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.centroid_clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op8_ngram_links, op9_url_filters, op10_token_counts, op12_centroid_clustering)
+    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op8_ngram_links, op9_url_filters, op10_token_counts, op12_centroid_clustering, op13_token_alignment)
     return {f.__name__: f for f in found}
 
 
