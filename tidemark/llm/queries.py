@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, bpe, chat, clustering, jaccard, mixing, quality, tokencount, toxicity, urlfilter, warc, webp
+from . import alignment, bpe, chat, clustering, jaccard, language, mixing, quality, tokencount, toxicity, urlfilter, warc, webp
 from .common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs, _tokenizer("piece_bpe_32k.model")))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.centroid_clusters(table(spark, sf_dir, "embeddings"))
 
@@ -93,7 +98,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op8_ngram_links, op9_url_filters, op10_token_counts, op12_centroid_clustering, op13_token_alignment)
+    found = (op1_toxicity, op2_warc, op3_quality_rules, op4_byte_bpe, op5_mixing, op6_chat_format, op7_webp_media, op8_ngram_jaccard, op8_ngram_links, op9_url_filters, op10_token_counts, op11_language_id, op12_centroid_clustering, op13_token_alignment)
     return {f.__name__: f for f in found}
 
 
