@@ -51,7 +51,7 @@ from .common import cut
 from .pretokens import pack, unpack
 from .tokencount import BYTE_LEVEL, byte_letters, read_merges
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 5_000_000
 #: Unicode's white space (fixed value).
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: What stands for a space in the pieces of the second tokenizer.
