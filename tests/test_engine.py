@@ -10,7 +10,8 @@ from tidemark.functions import text
 from tidemark.operators import archive, edges, state, store
 from tidemark.plans import registry
 from tidemark.plans.fixtures import view
-from tidemark.sources import export
+from tidemark.sources import export, snapshots
+from tidemark.sources.merge_table import MergeTable
 from tidemark.streaming import events as stream, stateful
 
 SF = "/root/testdata/sf0.001"
@@ -147,8 +148,8 @@ def test_upsert_stream_equals_batch(spark, tmp_path, commits):
     rows.orderBy("seq").coalesce(1).write.option("maxRecordsPerFile", rows.count() // 3).parquet(src)
     for attempt in range(2):
         source = stream.event_stream(spark, src, rows.schema, maxFilesPerTrigger=1)
-        stateful.upsert_batches(source, out, str(tmp_path / f"point{attempt}")).awaitTermination(120)
-    got = store.fold_current(spark.read.parquet(out)).collect()
+        stateful.upsert_batches(source, MergeTable(spark, out, buckets=4), str(tmp_path / f"point{attempt}"), compact_every=2).awaitTermination(120)
+    got = MergeTable(spark, out).rows().collect()
     assert {tuple(r) for r in got} == {tuple(r) for r in store.fold_current(store.current_parts(rows)).collect()}
     assert len({r.deleted for r in got}) == 2
     ops = [("create", 1, "a"), ("delete", 2, None), ("create", 3, "b")]
@@ -200,7 +201,7 @@ def test_sinks(spark, tmp_path):
     export.export_handles(handles, str(tmp_path / "handles"))
     assert '"x\\\\"' in "".join(p.read_text() for p in (tmp_path / "handles").glob("*.csv"))
     export.export_marker(spark, str(tmp_path / "marker"), "2024-01-01")
-    assert spark.read.option("header", True).csv(str(tmp_path / "marker")).first()[0] == "2024-01-01"
+    assert snapshots.snapshot(spark, str(tmp_path / "marker")).collect() == [("2024-01-01",)]
     export.write_by_collection(records, str(tmp_path / "parts"))
     stored = spark.read.parquet(str(tmp_path / "parts"))
     assert stored.count() == records.count() and "PartitionFilters: [isnotnull(part" in stored.filter("part = 'like'")._jdf.queryExecution().executedPlan().toString()
@@ -221,8 +222,8 @@ def test_sinks(spark, tmp_path):
     assert {p.name for p in (tmp_path / "buckets").glob("bucket=*")} == {f"bucket={i}" for i in range(4)}
     export.dump(records, str(tmp_path / "dump"))
     assert export.load(spark, str(tmp_path / "dump")).count() == records.count()
-    export.refresh(e, str(tmp_path / "view"))
-    export.release(spark, str(tmp_path / "view"))
+    snapshots.refresh(e, str(tmp_path / "view"))
+    snapshots.release(spark, str(tmp_path / "view"))
     assert not (tmp_path / "view").exists()
 
 

@@ -6,8 +6,11 @@ their two public formats; everything after that is joins over blocks.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import archive_format as fmt
 from ..sources.scratch import shared_folder
@@ -79,66 +82,93 @@ def nodes(blocks: DataFrame) -> DataFrame:
     return blocks.select("archive", "cid", "data").mapInArrow(run, NODE)
 
 
-def full_keys(entries: Column) -> Column:
-    """Entries with whole keys: each key is the first ``p`` bytes of the key before it and ``k``. Null where a prefix is too long."""
-    start = F.struct(F.lit(b"").alias("last"), F.array().cast("array<struct<key:binary,v:string,t:string>>").alias("out"), F.lit(True).alias("good"))
+def with_keys(tree: DataFrame) -> DataFrame:
+    """``tree`` with ``keys`` (key, v, t) in place of its entries ``e``; null where a prefix is longer than the key before it, or without entries.
 
-    def step(s, e):
-        key = F.concat(F.substring(s["last"], F.lit(1), e["p"]), e["k"])
-        return F.struct(key.alias("last"), F.concat(s["out"], F.array(F.struct(key.alias("key"), e["v"].alias("v"), e["t"].alias("t")))).alias("out"), (s["good"] & (e["p"] <= F.octet_length(s["last"]))).alias("good"))
+    Each key is the first ``p`` bytes of the key before it and ``k``, so a node
+    is read once, in time in proportion to the bytes of its keys.
+    """
+    rest = [c for c in tree.columns if c != "e"]
+    schema = tree.select(*rest, F.lit(None).cast("array<struct<key:binary,v:string,t:string>>").alias("keys")).schema
 
-    done = F.aggregate(entries, start, step)
-    return F.when(F.transform(F.array(done), lambda d: d["good"])[0], done["out"])
+    def decoded(entries: pa.Array) -> list[bytes] | None:
+        last, out = b"", []
+        for p, k in zip(*(entries.field(f).to_pylist() for f in ("p", "k")), strict=True):
+            if p > len(last):
+                return None
+            last = last[:p] + k
+            out.append(last)
+        return out
+
+    def run(batches):
+        kind = pa.list_(pa.struct([("key", pa.binary()), ("v", pa.string()), ("t", pa.string())]))
+        for batch in batches:
+            keys = []
+            for x in batch.column(len(rest)):
+                entries = x.values if x.is_valid else None
+                own = decoded(entries) if entries is not None else None
+                keys.append(None if own is None else pa.StructArray.from_arrays([pa.array(own, pa.binary()), entries.field("v"), entries.field("t")], names=["key", "v", "t"]))
+            ends = np.cumsum([0, *(len(k) if k is not None else 0 for k in keys)])
+            flat = pa.concat_arrays([k for k in keys if k is not None]) if any(k is not None for k in keys) else pa.array([], kind.value_type)
+            mask = pa.array([k is None for k in keys], pa.bool_())
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=mask)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], lists], names=[*rest, "keys"])
+
+    return tree.select(*rest, "e").mapInArrow(run, schema)
 
 
 def tree_keys(tree: DataFrame) -> DataFrame:
     """``tree`` (with ``e``) exploded to rows (…, key, v, t)."""
     rest = [c for c in tree.columns if c != "e"]
-    return tree.select(*rest, F.explode(full_keys(F.col("e"))).alias("x")).select(*rest, F.col("x.key").cast("string").alias("key"), "x.v", "x.t")
+    return with_keys(tree).select(*rest, F.explode("keys").alias("x")).select(*rest, F.col("x.key").cast("string").alias("key"), "x.v", "x.t")
 
 
 def tree_records(found: DataFrame, roots: DataFrame, max_depth: int = 128) -> tuple[DataFrame, DataFrame]:
     """Rows (archive, rev, key, cid) reached from the root commits, and rows (archive, error).
 
     ``roots`` (archive, cid) names one block for each archive. All keys count,
-    missing blocks are skipped, each inner node is visited once. Every level is
-    one join; its rows are checkpointed, so the plan of a level stays small.
+    missing blocks are skipped, a node that several links reach counts once.
+    Every level is one join of its nodes with the blocks, written to the shared
+    folder; what lies above is not read again. A link can't lead up, as it is
+    the hash of what it links to; in blocks that were not verified a circle
+    ends at ``max_depth`` with an error.
     """
     shared_folder(found.sparkSession)
     blocks = found.select("archive", "cid", "kind", "l", "e", "error").dropDuplicates(["archive", "cid"])
     commits = found.filter("kind = 'commit'").select("archive", "cid", "rev", "data").dropDuplicates(["archive", "cid"])
     started = roots.select("archive", "cid").join(commits, ["archive", "cid"], "left").checkpoint()
     errors = started.filter("data is null").select("archive", F.lit("the root is missing or no commit").alias("error"))
-    frontier = started.filter("data is not null").select("archive", "rev", F.col("data").alias("cid"))
-    out = frontier.limit(0).select("archive", "rev", F.lit("").alias("key"), "cid")
-    seen, depth = None, 0
-    while True:
-        frontier = frontier.distinct()
-        if seen is not None:
-            frontier = frontier.join(seen, ["archive", "rev", "cid"], "left_anti")
-        frontier = frontier.checkpoint()
-        if frontier.isEmpty():
-            return out, errors.distinct()
-        if depth == max_depth:
-            return out, errors.unionByName(frontier.select("archive", F.lit(f"the tree is deeper than {max_depth}").alias("error"))).distinct()
-        depth += 1
-        seen = frontier if seen is None else seen.unionByName(frontier)
+    frontier = started.filter("data is not null").select("archive", "rev", F.col("data").alias("cid")).distinct()
+    levels = []
+    while not frontier.isEmpty():
+        if len(levels) == max_depth:
+            errors = errors.unionByName(frontier.select("archive", F.lit(f"the tree is deeper than {max_depth}").alias("error")))
+            break
         at = frontier.join(blocks, ["archive", "cid"]).filter("kind in ('tree', 'bad')")
-        keys = F.when(F.col("kind") == "tree", full_keys(F.col("e")))
-        read = at.select("archive", "rev", "l", keys.alias("keys"), F.when(F.col("kind") == "bad", F.col("error")).otherwise("a key's prefix is longer than the key before it").alias("error")).checkpoint()
-        errors = errors.unionByName(read.filter("keys is null").select("archive", "error"))
-        keyed = read.select("archive", "rev", F.explode("keys").alias("x"))
-        out = out.unionByName(keyed.select("archive", "rev", F.col("x.key").cast("string").alias("key"), F.col("x.v").alias("cid")))
-        down = read.select("archive", "rev", F.col("l").alias("cid")).unionByName(keyed.select("archive", "rev", F.col("x.t").alias("cid")))
-        frontier = down.filter("cid is not null")
+        read = with_keys(at.select("archive", "rev", "cid", "kind", "l", "error", "e")).checkpoint()
+        levels.append(read)
+        links = read.select("archive", "rev", F.col("l").alias("cid")).unionByName(read.select("archive", "rev", F.explode("keys.t").alias("cid")))
+        frontier = links.filter("cid is not null").distinct()
+    empty = started.limit(0).select("archive", "rev", F.lit("").alias("key"), "cid")
+    if not levels:
+        return empty, errors.distinct()
+    nodes_read = reduce(DataFrame.unionByName, levels)
+    said = F.when(F.col("kind") == "bad", F.col("error")).otherwise("a key's prefix is longer than the key before it")
+    errors = errors.unionByName(nodes_read.filter("keys is null").select("archive", said.alias("error")))
+    once = nodes_read.filter("keys is not null").dropDuplicates(["archive", "rev", "cid"]) if len(levels) > 1 else nodes_read
+    return once.select("archive", "rev", F.explode("keys").alias("x")).select("archive", "rev", F.col("x.key").cast("string").alias("key"), F.col("x.v").alias("cid")), errors.distinct()
 
 
 def archive_records(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records (archive, collection, rkey, rev, content), and archives with their error; an archive with an error gives no records."""
-    shared_folder(archives.sparkSession)
-    read = archive_blocks(archives)
-    good = verify_blocks(read.filter("error is null"))
-    found = nodes(good).checkpoint()
+    """Records (archive, collection, rkey, rev, content), and archives with their error; an archive with an error gives no records.
+
+    Archives are read once, into blocks in the shared folder, and blocks are decoded once.
+    """
+    spark = archives.sparkSession
+    path = f"{shared_folder(spark)}/blocks"
+    archive_blocks(archives).write.parquet(path)
+    read = spark.read.parquet(path)
+    found = nodes(verify_blocks(read.filter("error is null"))).checkpoint()
     roots = read.filter("error is null and root").select("archive", "cid").dropDuplicates(["archive"])
     rootless = read.filter("error is null").select("archive").distinct().join(roots, "archive", "left_anti").select("archive", F.lit("the root is missing or no commit").alias("error"))
     reached, broken = tree_records(found, roots)

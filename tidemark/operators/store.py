@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import is_unset
 
 KEY = ("repo", "collection", "rkey")
+#: What ``current_parts`` gives and a table of parts holds.
+PARTS = "repo long, collection string, rkey string, newest struct<at_rev:string,order:long,content:string>, first_write long, last_delete long"
 
 
 def fold_versions(versions: DataFrame) -> DataFrame:
@@ -23,7 +25,8 @@ def latest_version(versions: DataFrame, key=KEY) -> DataFrame:
 
 
 def current_records(versions: DataFrame) -> DataFrame:
-    return latest_version(versions).filter(~F.col("deleted"))
+    """Newest versions that are not deleted; without a mark a row is live."""
+    return latest_version(versions).filter(~F.coalesce("deleted", F.lit(False)))
 
 
 def append_versions(ops: DataFrame) -> DataFrame:
@@ -58,12 +61,22 @@ def current_parts(ops: DataFrame) -> DataFrame:
     return ops.groupBy(*KEY).agg(newest, F.min(F.when(write, F.col("seq"))).alias("first_write"), F.max(F.when(gone, F.col("seq"))).alias("last_delete"))
 
 
-def fold_current(parts: DataFrame) -> DataFrame:
-    """Current rows from all parts: a delete marks a row that was there before it, and the mark stays."""
-    rows = parts.groupBy(*KEY).agg(F.max("newest").alias("newest"), F.min("first_write").alias("first_write"), F.max("last_delete").alias("last_delete")).filter("first_write is not null")
+def fold_parts(parts: DataFrame) -> DataFrame:
+    """One part for each key: largest and smallest values, so parts that are there twice change nothing."""
+    return parts.groupBy(*KEY).agg(F.max("newest").alias("newest"), F.min("first_write").alias("first_write"), F.max("last_delete").alias("last_delete"))
+
+
+def current_rows(folded: DataFrame) -> DataFrame:
+    """Rows from whole parts: a delete marks a row that was there before it, and the mark stays."""
+    rows = folded.filter("first_write is not null")
     return rows.select(*KEY, "newest.at_rev", "newest.content", F.coalesce(F.col("last_delete") > F.col("first_write"), F.lit(False)).alias("deleted"))
 
 
+def fold_current(parts: DataFrame) -> DataFrame:
+    """Current rows from all parts."""
+    return current_rows(fold_parts(parts))
+
+
 def same_json(a, b):
     """Equal by meaning; text that is no JSON compares as text."""
     normal = lambda x: F.coalesce(F.to_json(F.try_parse_json(x)), x)

@@ -31,9 +31,13 @@ def listitems_view(records: DataFrame) -> DataFrame:
 
 
 def has_lang(lang: str):
-    """An array element or a scalar text equal to ``lang``."""
-    array = F.array_contains(F.from_json("langs", "array<string>"), lang)
-    return F.coalesce(array, F.lit(False)) | F.coalesce(F.col("langs") == lang, F.lit(False))
+    """An array element, a scalar text or an object key equal to ``lang``, by the JSON of ``langs`` as a variant."""
+    value = F.try_parse_json("langs")
+    kind = F.schema_of_variant(value)
+    array = F.exists(F.try_variant_get(value, "$", "array<variant>"), lambda x: (F.schema_of_variant(x) == "STRING") & (F.try_variant_get(x, "$", "string") == lang))
+    key = F.map_contains_key(F.try_variant_get(value, "$", "map<string,variant>"), lang)
+    found = F.when(kind.startswith("ARRAY"), array).when(kind.startswith("OBJECT"), key).otherwise(F.coalesce(F.try_variant_get(value, "$", "string"), F.col("langs")) == lang)
+    return F.coalesce(found, F.lit(False))
 
 
 def posts_by_lang_recent(posts: DataFrame, lang: str, as_of: str, days: int = 1) -> DataFrame:
@@ -55,7 +59,7 @@ def collection_blacklist(df: DataFrame, names: list[str]) -> DataFrame:
 
 def listblock_by_prefix(records: DataFrame, prefix: str, include_deleted: bool = False) -> DataFrame:
     rows = filter_collection(records, LISTBLOCK).filter(json_text("content", "$.subject").startswith(prefix))
-    return rows if include_deleted else rows.filter(~F.col("deleted"))
+    return rows if include_deleted else rows.filter(~F.coalesce("deleted", F.lit(False)))
 
 
 def listblock_repos(records: DataFrame, owner_did: str, approx: bool = False) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .snapshots import refresh
+
 #: Partition of each collection; the rest goes to "default" (fixed values).
 PARTS = {
     "app.bsky.feed.like": "like", "app.bsky.feed.post": "post", "app.bsky.graph.follow": "follow", "app.bsky.graph.block": "block", "app.bsky.feed.repost": "repost",
@@ -31,17 +33,8 @@ def export_handles(df: DataFrame, path: str) -> None:
 
 
 def export_marker(spark: SparkSession, path: str, ts: str) -> None:
-    spark.createDataFrame([(ts,)], "export_start string").write.mode("overwrite").option("header", True).csv(path)
-
-
-def refresh(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def release(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    """The start of an export, as a snapshot: the marker before it stays until this one is whole."""
+    refresh(spark.createDataFrame([(ts,)], "export_start string"), path, "csv", header=True)
 
 
 def run_log(starts: DataFrame, finishes: DataFrame) -> DataFrame:

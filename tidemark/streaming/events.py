@@ -17,9 +17,10 @@ SPAN = 1 << 20
 DELETES, WRITES = ("delete",), ("create", "update")
 
 
-def event_stream(spark: SparkSession, path: str, schema, start_seq: int = 0, source: str = "parquet", **options) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, schema, start_seq: int = 0, source: str = "parquet", seq_col: str | None = "seq", **options) -> DataFrame:
     """A stream of event files of any format after a sequence number; Spark's checkpoint keeps the position."""
-    return spark.readStream.schema(schema).format(source).options(**options).load(path).filter(F.col("seq") > start_seq)
+    read = spark.readStream.schema(schema).format(source).options(**options).load(path)
+    return read.filter(F.col(seq_col) > start_seq) if seq_col else read
 
 
 def decode_frames(frames: DataFrame) -> DataFrame:
@@ -110,10 +111,32 @@ def cursor_epochs(events: DataFrame, pds: DataFrame) -> DataFrame:
     return found.filter("first_seq is not null").join(stored, "pds", "left").select("pds", "epoch", "low", "high", first.alias("first_cursor_since_reset"))
 
 
+def with_epoch(commits: DataFrame, epochs: DataFrame) -> DataFrame:
+    """``commits`` with the ``first_cursor_since_reset`` of the one epoch that each lies in.
+
+    A fill of two levels: inside a stretch of ``SPAN`` numbers of a host the
+    last epoch start before a commit counts, and where there is none, the last
+    one of the stretches before it. Only stretches, a row each, are ordered by
+    host; commits are dealt by host and stretch, once for both levels.
+    """
+    rest = [c for c in commits.columns if c != "first_cursor_since_reset"]
+    stretch = F.floor(F.col("seq") / SPAN)
+    own = commits.select(*rest, stretch.alias("_b"), F.lit(True).alias("_own"))
+    starts = epochs.select("pds", F.col("low").alias("seq"), F.col("first_cursor_since_reset").alias("_first")).withColumn("_b", stretch)
+    marks = own.select("pds", "_b", "seq", F.lit(None).cast("long").alias("_first")).unionByName(starts.select("pds", "_b", "seq", "_first"))
+    heads = marks.groupBy("pds", "_b").agg(F.max_by("_first", F.when(F.col("_first").isNotNull(), F.col("seq"))).alias("_last"))
+    before = Window.partitionBy("pds").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = heads.select("pds", "_b", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    inside = Window.partitionBy("pds", "_b").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    filled = own.unionByName(starts, allowMissingColumns=True).withColumn("_near", F.last("_first", ignorenulls=True).over(inside)).filter("_own")
+    placed = filled.join(carried, ["pds", "_b"]).withColumn("first_cursor_since_reset", F.coalesce("_near", "_carried"))
+    return placed.filter("first_cursor_since_reset is not null").select(*rest, "first_cursor_since_reset")
+
+
 def repo_anchor(commits: DataFrame, epochs: DataFrame, repos: DataFrame) -> DataFrame:
     """First rev and cursor since the reset of each repo that a commit re-anchors: the last commit at which its host's cursor changed, or that was too big."""
     known = repos.select(F.col("id").alias("repo"), F.col("first_cursor_since_reset").alias("stored"))
-    placed = commits.filter(F.col("type") == "#commit").join(epochs, "pds").filter("seq > low and seq < high").join(known, "repo", "left")
+    placed = with_epoch(commits.filter(F.col("type") == "#commit"), epochs).join(known, "repo", "left")
     before = F.lag("first_cursor_since_reset").over(Window.partitionBy("repo").orderBy("seq"))
     changed = F.coalesce(before, F.col("stored"), F.lit(0)) != F.col("first_cursor_since_reset")
     anchors = placed.withColumn("changed", changed).filter("changed or too_big")
@@ -124,12 +147,6 @@ def too_big(commits: DataFrame) -> DataFrame:
     return commits.filter((F.col("type") == "#commit") & F.col("too_big")).select("repo", "rev", "seq")
 
 
-def gap_free(repos: DataFrame, pds: DataFrame) -> DataFrame:
-    """Repos that miss no commit between their index and their host's stream."""
-    hosts = pds.select(F.col("id").alias("pds"), F.col("first_cursor_since_reset").alias("host_first"))
-    return repos.join(hosts, "pds").filter("first_cursor_since_reset > 0 and first_rev_since_reset <> '' and last_indexed_rev <> '' and host_first > 0 and first_cursor_since_reset >= host_first and first_rev_since_reset <= last_indexed_rev")
-
-
 class Repo:
     """What the stream knows of one repo; times are microseconds.
 

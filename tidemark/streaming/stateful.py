@@ -1,126 +1,230 @@
-"""Streaming forms of the cursor and repository state, keyed by host and by repo.
+"""Streaming forms of the cursor and repository state, keyed by host and by repo, and the stream sinks.
 
-Stored cursors come by a join of the stream with the tables and are a key's
-first state; from then on its state counts. A key's rows of one micro-batch are
-sorted by seq, as their order in the parts is not known. A row of a later
-micro-batch whose seq is not above the key's last one counts as a replay and is
-dropped, so each key's events must reach the stream in order of seq.
+The stored tables are read once, as the initial state of their keys; from then
+on the state counts. A key's rows of one micro-batch are sorted by seq, as
+their order in the parts is not known. A row of a later micro-batch whose seq
+is not above the key's last one counts as a replay and is dropped, so each
+key's events must reach the stream in order of seq.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-from ..sources.scratch import exists
+from ..sources.merge_table import MergeTable
+from ..sources.scratch import shared_folder
 from .events import SEQUENCED, Repo, decode_frames, micros, quarantine, stored_state
 
 EPOCHS = "pds int, epoch int, first_cursor_since_reset long"
 ANCHORS = "repo long, rev string, first_cursor_since_reset long, last_firehose_rev string"
+CURSORS = "pds int, cursor long"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _epochs(key, parts, state: GroupState):
-    """State: epoch, whether it waits for its first sequenced event, last seq. Replays change nothing."""
-    epoch, waiting, last = state.get if state.exists else (0, True, -1)
-    out = []
-    rows = pd.concat(list(parts)).sort_values("seq")
-    stored = int(rows["stored"].iloc[0])
-    for seq, kind in zip(rows["seq"].tolist(), rows["type"].tolist(), strict=True):
-        if seq <= last:
-            continue
-        last = seq
-        if kind == "#info":
-            epoch, waiting = epoch + 1, True
-        elif waiting:
-            waiting = False
-            out.append((key[0], epoch, stored if epoch == 0 and stored else seq))
-    state.update((epoch, waiting, last))
-    yield pd.DataFrame(out, columns=["pds", "epoch", "first_cursor_since_reset"])
-
-
-def _with_stored(stream: DataFrame, key: str, table: DataFrame | None) -> DataFrame:
-    """``stream`` with the ``stored`` cursor of its host or repo, 0 where there is none."""
-    if table is None:
-        return stream.withColumn("stored", F.lit(0).cast("long"))
-    known = table.select(F.col("id").alias(key), F.col("first_cursor_since_reset").cast("long").alias("_stored"))
-    return stream.join(known, key, "left").withColumn("stored", F.coalesce("_stored", F.lit(0).cast("long"))).drop("_stored")
+def _keyed(df: DataFrame, key: str, processor: StatefulProcessor, schema: str, time: str, initial: DataFrame | None = None) -> DataFrame:
+    """``processor`` over the rows of each key; its kind of state needs the store that keeps state variables."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    return df.groupBy(key).transformWithStateInPandas(processor, schema, "append", time, initialState=initial.groupBy(key) if initial is not None else None)
+
+
+def _sorted(parts) -> pd.DataFrame:
+    return pd.concat(list(parts)).sort_values("seq")
+
+
+class Epochs(StatefulProcessor):
+    """State: epoch, whether it waits for its first sequenced event, last seq, stored cursor. Replays change nothing."""
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("host", "epoch int, waiting boolean, last long, stored long")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.state.update((0, True, -1, int(initialState["stored"].iloc[0])))
+
+    def handleInputRows(self, key, rows, timerValues):
+        epoch, waiting, last, stored = self.state.get() or (0, True, -1, 0)
+        out = []
+        frame = _sorted(rows)
+        for seq, kind in zip(frame["seq"].tolist(), frame["type"].tolist(), strict=True):
+            if seq <= last:
+                continue
+            last = seq
+            if kind == "#info":
+                epoch, waiting = epoch + 1, True
+            elif waiting:
+                waiting = False
+                out.append((key[0], epoch, stored if epoch == 0 and stored else seq))
+        self.state.update((epoch, waiting, last, stored))
+        yield pd.DataFrame(out, columns=["pds", "epoch", "first_cursor_since_reset"])
+
+    def close(self) -> None:
+        pass
 
 
 def cursor_reset_stream(stream: DataFrame, pds: DataFrame | None = None) -> DataFrame:
     """Emits each host epoch once, at its first sequenced event; the epoch before any reset has the cursor that ``pds`` stores. Only resets and sequenced events reach the state."""
-    needed = _with_stored(stream.filter(F.col("type").isin("#info", *SEQUENCED)).select("pds", "seq", "type"), "pds", pds)
-    return needed.groupBy("pds").applyInPandasWithState(_epochs, EPOCHS, "epoch int, waiting boolean, last long", "append", GroupStateTimeout.NoTimeout)
-
-
-def _anchors(idle: int):
-    def step(key, parts, state: GroupState):
-        """State: cursor and rev that the repo is anchored at, when it was touched, last seq."""
-        rows = pd.concat(list(parts)).sort_values("seq")
-        top = rows.iloc[0]
-        start = (int(top["stored"]), top["stored_rev"], None if pd.isna(top["touched"]) else int(top["touched"]), -1)
-        cursor, rev, touched, last = state.get if state.exists else start
-        repo = Repo(cursor, rev, top["indexed"], touched, idle)
+    needed = stream.filter(F.col("type").isin("#info", *SEQUENCED)).select(F.col("pds").cast("int").alias("pds"), "seq", "type")
+    stored = pds.filter("first_cursor_since_reset <> 0").select(F.col("id").cast("int").alias("pds"), F.col("first_cursor_since_reset").cast("long").alias("stored")) if pds is not None else None
+    return _keyed(needed, "pds", Epochs(), EPOCHS, "None", stored)
+
+
+class Anchors(StatefulProcessor):
+    """State: the cursor and rev that a repo is anchored at, its indexed rev, when it was touched, last seq.
+
+    With ``expire_ms`` the state of a repo without commits for so long is
+    dropped; its next commit then anchors it anew, which asks for another
+    index of it and loses nothing.
+    """
+
+    def __init__(self, idle: int, expire_ms: int | None):
+        self.idle, self.expire_ms = idle, expire_ms
+
+    def init(self, handle) -> None:
+        schema = "cursor long, rev string, indexed string, touched long, last long"
+        self.state = handle.getValueState("repo", schema, self.expire_ms) if self.expire_ms else handle.getValueState("repo", schema)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        row = initialState.iloc[0]
+        self.state.update((int(row["stored"]), row["stored_rev"], row["indexed"], None if pd.isna(row["touched"]) else int(row["touched"]), -1))
+
+    def handleInputRows(self, key, rows, timerValues):
+        cursor, rev, indexed, touched, last = self.state.get() or (0, "", "", None, -1)
+        repo = Repo(cursor, rev, indexed, touched, self.idle)
         out = []
-        for seq, at, rev, first, big in zip(*(rows[c].tolist() for c in ("seq", "at", "rev", "host", "too_big")), strict=True):
+        frame = _sorted(rows)
+        for seq, at, rev, first, big in zip(*(frame[c].tolist() for c in ("seq", "at", "rev", "host", "too_big")), strict=True):
             if seq <= last:
                 continue
             last = seq
             anchors, advances = repo.commit(at, rev, first, big)
             if anchors or advances:
                 out.append((key[0], rev if anchors else None, first if anchors else None, rev if advances else None))
-        state.update((repo.cursor, repo.first_rev, repo.touched, last))
-        frame = pd.DataFrame(out, columns=["repo", "rev", "first_cursor_since_reset", "last_firehose_rev"])
-        yield frame.astype({"first_cursor_since_reset": "Int64"})
+        self.state.update((repo.cursor, repo.first_rev, indexed, repo.touched, last))
+        found = pd.DataFrame(out, columns=["repo", "rev", "first_cursor_since_reset", "last_firehose_rev"])
+        yield found.astype({"first_cursor_since_reset": "Int64"})
 
-    return step
+    def close(self) -> None:
+        pass
 
 
-def repo_state_stream(stream: DataFrame, repos: DataFrame | None = None, idle: str = "24 hours", touched_col: str = "updated_at") -> DataFrame:
+def repo_state_stream(stream: DataFrame, repos: DataFrame | None = None, idle: str = "24 hours", touched_col: str = "updated_at", expire: str | None = None) -> DataFrame:
     """Emits each re-anchoring of a repo (rev and cursor) and each advance of its ``last_firehose_rev``; what does not change is null.
 
     ``stream`` has repo, seq, rev, too_big and the host's cursor at that event,
     and ``time`` where ``repos`` is given; without stored rows nothing advances.
     """
-    if repos is not None:
-        placed = stream.join(stored_state(repos, touched_col), "repo", "left").withColumn("at", micros(F.col("time")))
-    else:
-        placed = stream.selectExpr("*", "0L as stored", "'' as stored_rev", "'' as indexed", "cast(null as long) as touched", "0L as at")
-    filled = {"stored": 0, "stored_rev": "", "indexed": ""}
-    needed = placed.select("repo", "seq", "at", "rev", "too_big", F.col("first_cursor_since_reset").cast("long").alias("host"), "touched", *(F.coalesce(c, F.lit(v)).alias(c) for c, v in filled.items()))
+    at = micros(F.col("time")) if repos is not None else F.lit(0).cast("long")
+    needed = stream.select(F.col("repo").cast("long").alias("repo"), "seq", at.alias("at"), "rev", "too_big", F.coalesce(F.col("first_cursor_since_reset").cast("long"), F.lit(0)).alias("host"))
+    stored = stored_state(repos, touched_col).withColumn("repo", F.col("repo").cast("long")) if repos is not None else None
     wait = int(pd.Timedelta(idle) / pd.Timedelta(microseconds=1))
-    return needed.groupBy("repo").applyInPandasWithState(_anchors(wait), ANCHORS, "cursor long, rev string, touched long, last long", "append", GroupStateTimeout.NoTimeout)
+    expire_ms = int(pd.Timedelta(expire) / pd.Timedelta(milliseconds=1)) if expire else None
+    return _keyed(needed, "repo", Anchors(wait, expire_ms), ANCHORS, "ProcessingTime" if expire else "None", stored)
 
 
-def _numbered(spark, path: str, below: int, schema) -> DataFrame:
-    """What the batches before ``below`` wrote."""
-    if below == 0 or not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(f"{schema}, batch int").parquet(path).filter(F.col("batch") < below)
+class Throttle:
+    """When the cursor of a host is stored; times are microseconds.
 
+    A jump is stored at once, otherwise the newest cursor once in a ``width``:
+    at the first event after it, and what then still waits at its end.
+    """
 
-def upsert_batches(stream: DataFrame, path: str, checkpoint: str):
-    """Merges the operations of a stream into a table of current rows, which ``store.fold_current`` reads back.
+    def __init__(self, last, saved_at, waits, width, jump):
+        self.last, self.saved_at, self.waits, self.width, self.jump = last, saved_at, waits, width, jump
 
-    Each batch appends one part for each of its keys, in a folder of its own, so
-    no batch rewrites the table and a repeated one overwrites itself.
-    """
+    def event(self, seq, time) -> list[int]:
+        out = self.due(time)
+        if self.saved_at is None or abs(seq - self.last) >= self.jump or time - self.saved_at >= self.width:
+            out.append(seq)
+            self.saved_at, self.waits = time, False
+        else:
+            self.waits = True
+        self.last = seq
+        return out
+
+    def due(self, time) -> list[int]:
+        """What the end of the width stores, if ``time`` has reached it."""
+        if not self.waits or time < self.saved_at + self.width:
+            return []
+        self.saved_at, self.waits = self.saved_at + self.width, False
+        return [self.last]
+
+
+class Cursors(StatefulProcessor):
+    """State: a host's newest cursor, when one was stored, whether the newest waits. A timer ends the wait of a host that falls silent."""
+
+    def __init__(self, width: int, jump: int):
+        self.width, self.jump = width, jump
+
+    def init(self, handle) -> None:
+        self.handle, self.state = handle, handle.getValueState("cursor", "last long, saved_at long, waits boolean")
+
+    def _put(self, key, throttle: Throttle, out: list[int]):
+        self.state.update((throttle.last, throttle.saved_at, throttle.waits))
+        if throttle.waits:
+            self.handle.registerTimer(-(-(throttle.saved_at + self.width) // 1000))
+        return pd.DataFrame([(key[0], seq) for seq in out], columns=["pds", "cursor"])
+
+    def handleInputRows(self, key, rows, timerValues):
+        throttle = Throttle(*(self.state.get() or (-1, None, False)), self.width, self.jump)
+        out: list[int] = []
+        frame = _sorted(rows)
+        for seq, at in zip(frame["seq"].tolist(), frame["at"].tolist(), strict=True):
+            if seq > throttle.last:
+                out += throttle.event(seq, at)
+        yield self._put(key, throttle, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        throttle = Throttle(*self.state.get(), self.width, self.jump)
+        yield self._put(key, throttle, throttle.due(expiredTimerInfo.getExpiryTimeInMs() * 1000))
+
+    def close(self) -> None:
+        pass
+
+
+def host_cursor_stream(stream: DataFrame, width: str = "15 seconds", jump: int = 100_000, late: str = "0 seconds") -> DataFrame:
+    """The cursors of each host that are stored: at most one in a ``width`` of event time unless it jumps; see ``Throttle``."""
+    timed = stream.filter(F.col("type").isin(*SEQUENCED)).withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", late)
+    needed = timed.select(F.col("pds").cast("int").alias("pds"), "seq", "time", micros(F.col("time")).alias("at"))
+    return _keyed(needed, "pds", Cursors(int(pd.Timedelta(width) / pd.Timedelta(microseconds=1)), jump), CURSORS, "EventTime")
+
+
+def waiting_cursors(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Cursors that a stopped ``host_cursor_stream`` still held back, from its state, so that a shutdown loses none."""
+    held = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "cursor").load()
+    return held.filter("value.waits").select(F.col("key.pds").alias("pds"), F.col("value.last").alias("cursor"))
+
+
+def upsert_batches(stream: DataFrame, table: MergeTable, checkpoint: str, compact_every: int = 16):
+    """Merges the operations of a stream into a table of current rows: each batch is a delta, and each ``compact_every`` batches they are folded into the base."""
     from ..operators.store import current_parts
 
     def put(batch: DataFrame, number: int) -> None:
-        current_parts(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        table.append(current_parts(batch))
+        if (number + 1) % compact_every == 0:
+            table.compact()
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def dead_letter_batches(frames: DataFrame, path: str, failed: str, checkpoint: str, limit: int = 500):
-    """Stores frames that can't be read, at most ``limit`` for each host, and in ``failed`` the frame that ends a host's run."""
+    """Stores frames that can't be read, at most ``limit`` for each host, and in ``failed`` the frame that ends a host's run.
+
+    A batch decodes its frames once and reads only what the batch before it has
+    left: a row for each host with the number of its stored frames.
+    """
+    counts = f"{path}-counts"
 
     def put(batch: DataFrame, number: int) -> None:
-        before = _numbered(batch.sparkSession, path, number, "pds int, cursor long, error string, content binary").groupBy("pds").agg(F.count("*").alias("n"))
-        kept, ended = quarantine(decode_frames(batch).filter("error is not null"), before, limit)
+        spark = batch.sparkSession
+        bad = f"{shared_folder(spark)}/bad"
+        decode_frames(batch).filter("error is not null").write.parquet(bad)
+        before = spark.read.parquet(f"{counts}/batch={number - 1}") if number else spark.createDataFrame([], "pds int, n long")
+        kept, ended = quarantine(spark.read.parquet(bad), before, limit)
         kept.write.mode("overwrite").parquet(f"{path}/batch={number}")
         ended.write.mode("overwrite").parquet(f"{failed}/batch={number}")
+        own = spark.read.schema("pds int").parquet(f"{path}/batch={number}").groupBy("pds").agg(F.count("*").alias("n"))
+        own.unionByName(before).groupBy("pds").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{counts}/batch={number}")
 
     return frames.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
