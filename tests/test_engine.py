@@ -219,7 +219,7 @@ def test_sinks(spark, tmp_path):
     now = spark.read.parquet(str(tmp_path / "parts"))
     assert now.count() == records.count() and now.filter("part = 'rest'").count() == n_every > 0 and now.filter("part = 'like'").count() == 0
     export.write_by_repo(records, str(tmp_path / "buckets"), 4)
-    assert {p.name for p in (tmp_path / "buckets").glob("bucket=*")} == {f"bucket={i}" for i in range(4)}
+    assert len([p for p in (tmp_path / "buckets" / "data").glob("*.parquet")]) == 4
     export.dump(records, str(tmp_path / "dump"))
     assert export.load(spark, str(tmp_path / "dump")).count() == records.count()
     snapshots.refresh(e, str(tmp_path / "view"))

@@ -136,3 +136,36 @@ def test_snapshots(spark, tmp_path):
     assert len([d for d in os.listdir(path) if d.startswith("snapshot-")]) == 1
     snapshots.release(spark, path)
     assert not os.path.exists(path)
+
+
+def exchanged_scans(df):
+    """Scans of buckets that lie below an exchange in the plan, and how many there are."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    below = [a for n, a in enumerate(lines) if "Bucketed: true" in a for up in lines[:n] if "Exchange" in up and depth(up) < depth(a) and all(depth(x) > depth(up) for x in lines[lines.index(up) + 1 : n + 1])]
+    return below, sum("Bucketed: true" in x for x in lines)
+
+
+def test_buckets_are_joined_in_place(spark, tmp_path):
+    from tidemark.sources import bucketed
+
+    versions = view(spark, SF, "versions").select("repo", "collection", "rkey", "at_rev", "deleted", "content")
+    bucketed.write(versions, str(tmp_path), 8)
+    table = bucketed.open_table(spark, str(tmp_path))
+    one_repo = versions.first().repo
+    fetched = store.latest_version(versions).filter(F.col("repo") <= one_repo).withColumn("at_rev", F.concat("at_rev", F.lit("z")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        diff = store.snapshot_diff(fetched, bucketed.of_repos(table, fetched, named=0))
+        assert exchanged_scans(diff) == ([], 1)
+        assert rows(diff) == rows(store.snapshot_diff(fetched, versions))
+        since = versions.groupBy("repo").agg(F.min("at_rev").alias("since_rev"))
+        assert exchanged_scans(store.changes_since(table, since)) == ([], 1)
+        assert rows(store.changes_since(table, since)) == rows(store.changes_since(versions, since))
+        assert exchanged_scans(store.latest_version(table)) == ([], 1)
+        few = bucketed.of_repos(table, fetched.filter(F.col("repo") == one_repo))
+        assert "SelectedBucketsCount: 1 out of 8" in store.latest_version(few)._jdf.queryExecution().executedPlan().toString()
+        assert rows(few) == rows(versions.filter(F.col("repo") == one_repo))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert bucketed.of_repos(table, fetched.limit(0)).count() == 0

@@ -153,3 +153,28 @@ def test_languages_by_postgres_containment(spark):
     given = {'["uk","en"]': True, '"uk"': True, "uk": True, '{"uk":1}': True, '{"en":{"uk":1}}': False, '["en"]': False, '[["uk"]]': False, '[1,null,{"uk":2},"uk"]': True, "[]": False, "{}": False, "7": False, "": False, "[broken": False, None: False}
     df = spark.createDataFrame([(k,) for k in given], "langs string")
     assert {r.langs: r.found for r in df.select("langs", views.has_lang("uk").alias("found")).collect()} == given
+
+
+def test_first_seen_keeps_a_fixed_state(spark, tmp_path):
+    batches = [[(f"did:{i}",) for i in range(a, b)] for a, b in ((0, 50), (0, 50), (0, 4000), (0, 50))]
+    sizes, seen = [], []
+    for _, rows in replayed(spark, tmp_path, "seen", batches, "did string", lambda s: stateful.first_seen_cached(s, shards=2, places=100)):
+        held = spark.read.format("statestore").option("path", f"{tmp_path}/seen-state").option("stateVarName", "seen").load()
+        sizes.append(held.agg(F.sum(F.length("value.table"))).first()[0])
+        seen.append([r[0] for r in rows])
+    assert set(sizes) == {2 * 100 * 16}
+    assert set(seen[-1]) == {f"did:{i}" for i in range(4000)}  # each at least once
+    assert len(seen[1]) - len(seen[0]) < 40 and len(seen[3]) > len(seen[2])  # again only after another took the place
+
+
+def test_sketches_are_within_two_percent(spark):
+    from tidemark.operators import sketches, views as v
+
+    rows = spark.range(200_000).selectExpr("id % 60000 as repo", f"'{v.LISTBLOCK}' as collection", "concat('{\"subject\":\"at://did:', id % 3, '/c/r\"}') as content", "cast(null as boolean) as deleted", "timestamp_ntz'2024-01-01 05:00:00' + make_dt_interval(cast(id % 30 as int)) as created_at")
+    stored = sketches.listblock_sketches(rows)
+    for since, until in ((None, None), ("2024-01-05", "2024-01-11")):
+        near = rows.filter(f"created_at >= '{since or '2000-01-01'}' and created_at < '{until or '2030-01-01'}'")
+        exact = {r[0]: r[1] for r in near.groupBy(F.expr("concat('did:', regexp_extract(content, 'did:([0-9])', 1))")).agg(F.countDistinct("repo")).collect()}
+        got = {r.owner: r.n for r in sketches.merged_counts(stored, since, until).collect()}
+        assert got.keys() == exact.keys() and all(abs(got[k] / exact[k] - 1) < 0.02 for k in exact)
+    assert sketches.merged_counts(stored, owner="did:1").count() == 1

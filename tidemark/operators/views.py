@@ -62,9 +62,9 @@ def listblock_by_prefix(records: DataFrame, prefix: str, include_deleted: bool =
     return rows if include_deleted else rows.filter(~F.coalesce("deleted", F.lit(False)))
 
 
-def listblock_repos(records: DataFrame, owner_did: str, approx: bool = False) -> DataFrame:
-    rows = listblock_by_prefix(records, f"at://{owner_did}/")
-    return rows.agg((F.approx_count_distinct("repo") if approx else F.countDistinct("repo")).alias("n"))
+def listblock_repos(records: DataFrame, owner_did: str) -> DataFrame:
+    """Repos that block a list of an owner, exactly; ``sketches`` has the estimate over stored days."""
+    return listblock_by_prefix(records, f"at://{owner_did}/").agg(F.countDistinct("repo").alias("n"))
 
 
 def list_size(listitems: DataFrame, list_uri: str | None = None) -> DataFrame:

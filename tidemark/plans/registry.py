@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text
-from ..operators import archive, edges, identity, metrics, reconcile, state, store, views
-from ..sources import export, snapshots
+from ..operators import archive, edges, identity, metrics, reconcile, sketches, state, store, views
+from ..sources import bucketed, export, snapshots
 from ..sources.merge_table import MergeTable
 from ..sources.scratch import shared_folder
 from ..streaming import events as stream, stateful
@@ -379,13 +379,45 @@ def read_tables(r: DataFrame, p: DataFrame, c: DataFrame) -> DataFrame:
 
 
 add("sink_matview", "records repos", refreshed, EDGE_SQL["edges_like"])
+def sketched(r: DataFrame) -> DataFrame:
+    path = shared_folder(r.sparkSession)
+    return sketches.merged_counts(snapshots.refresh(sketches.listblock_sketches(r), path), "1996-01-01", AS_OF)
+
+
+def first_seen(g: DataFrame) -> DataFrame:
+    """DIDs that a stream through the bounded cache gives, without repeats."""
+    spark, path = g.sparkSession, shared_folder(g.sparkSession)
+    g.select("did").repartition(6).write.parquet(f"{path}/in")
+    source = stateful.first_seen_cached(stream.event_stream(spark, f"{path}/in", "did string", seq_col=None, maxFilesPerTrigger=2), places=64)
+    source.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    return spark.read.parquet(f"{path}/out").distinct()
+
+
+add("listblock_sketches", "records", sketched, f"select owner, count(distinct repo) as n from (select repo, split_part(json_extract_string(content, '$.subject'), '/', 3) as owner from records where collection = '{views.LISTBLOCK}' and not deleted and created_at >= date '1996-01-01' and created_at < date '{AS_OF}') where owner <> '' group by owner")
+add("first_seen_stream", "plc_log", first_seen, "select distinct did from plc_log")
 add("sink_timestamp", "records", marked, f"select collection, count(*) as n from records where created_at < timestamp '{AS_OF}' group by collection")
 add("src_tables", "records repos pds", read_tables, "select host, count(*) as n from records r join repos p on r.repo = p.id join pds h on h.id = p.pds group by host")
 PART = "case collection " + " ".join(f"when '{k}' then '{v}'" for k, v in export.PARTS.items()) + " else 'default' end"
 add("sink_csv_edges", "records repos", lambda r, p: stored(edges.edges_like(r, p), export.export_csv, "csv", header=True).toDF("src", "dst", "count").withColumn("count", F.col("count").cast("long")), EDGE_SQL["edges_like"])
 add("sink_csv_handles", "plc_log", lambda g: stored(identity.handles(g), export.export_handles, "csv", header=True, escape='"').toDF("did", "handle"), f"select g.did, replace(json_extract_string(operation, '$.alsoKnownAs[0]'), 'at://', '') as handle from plc_log g join (select did, max(plc_timestamp) as ts from plc_log where not nullified group by did) t on g.did = t.did and g.plc_timestamp = t.ts")
 add("sink_partition_collection", "records", lambda r: stored(r, export.write_by_collection).groupBy("part").agg(F.count("*").alias("n"), F.sum("id").alias("ids")), f"select {PART} as part, count(*) as n, sum(id)::bigint as ids from records group by 1")
-add("sink_partition_hash", "records", lambda r: stored(r, export.write_by_repo).groupBy("repo").agg(F.countDistinct("bucket").alias("buckets"), F.count("*").alias("n")), "select repo, 1::bigint as buckets, count(*) as n from records group by repo")
+
+
+def in_buckets(df: DataFrame) -> DataFrame:
+    """The table in hash buckets by repo, opened again from its folder."""
+    path = shared_folder(df.sparkSession)
+    export.write_by_repo(df, path)
+    return bucketed.open_table(df.sparkSession, path)
+
+
+def bucketed_diff(v: DataFrame) -> DataFrame:
+    fetched = store.latest_version(v.filter(FETCHED)).select("repo", "collection", "rkey", "at_rev", "deleted", "content")
+    return cols(store.snapshot_diff(fetched, bucketed.of_repos(in_buckets(half(v)), fetched)))
+
+
+add("sink_partition_hash", "records", lambda r: in_buckets(r).select("repo", F.regexp_extract(F.input_file_name(), "_([0-9]+)[.]c", 1).alias("bucket")).groupBy("repo").agg(F.countDistinct("bucket").alias("buckets"), F.count("*").alias("n")), "select repo, 1::bigint as buckets, count(*) as n from records group by repo")
+add("bucketed_snapshot_diff", "versions", bucketed_diff, FOUND["snapshot_diff"][2])
+add("bucketed_changes_since", "versions", lambda v: cols(store.changes_since(in_buckets(v), v.groupBy("repo").agg(F.min("at_rev").alias("since_rev")).filter("repo % 2 = 0"))), FOUND["changes_since"][2])
 add("sink_move_partition", "records", moved_parts, f"select case when collection = 'app.bsky.graph.list' then 'lists' else {PART} end as part, collection, count(*) as n from records group by all")
 add("sink_dump", "records", lambda r: stored(r, export.dump).select("id", "content"), "select id, content from records")
 add("sink_run_log", "commits", lambda c: export.run_log(c.filter("seq % 2 = 0").select("collection", F.col("pds").alias("to_tsmp"), F.col("time").cast("timestamp").alias("at")), c.filter("seq % 2 = 1").select("collection", F.col("pds").alias("to_tsmp"), F.col("time").cast("timestamp").alias("at"))).withColumns({x: F.col(x).cast("timestamp_ntz") for x in ("started", "finished")}), "select collection, pds as to_tsmp, min(case when seq % 2 = 0 then time end) as started, max(case when seq % 2 = 1 then time end) as finished from commits group by 1, 2")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import bucketed
 from .snapshots import refresh
 
 #: Partition of each collection; the rest goes to "default" (fixed values).
@@ -54,9 +55,9 @@ def write_by_collection(records: DataFrame, path: str) -> None:
     dealt.write.mode("overwrite").partitionBy("part").parquet(path)
 
 
-def write_by_repo(records: DataFrame, path: str, n: int = 16) -> None:
-    bucket = F.pmod(F.hash("repo"), F.lit(n))
-    records.withColumn("bucket", bucket).repartition("bucket", F.pmod(F.hash("rkey"), F.lit(8))).write.mode("overwrite").partitionBy("bucket").parquet(path)
+def write_by_repo(records: DataFrame, path: str, n: int = 16) -> DataFrame:
+    """Hash buckets by repo; see ``bucketed``."""
+    return bucketed.write(records, path, n)
 
 
 def repartition_collections(df: DataFrame, path: str, names: dict[str, str]) -> None:
