@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text
 from ..operators import archive, edges, identity, metrics, reconcile, sketches, state, store, views
-from ..sources import bucketed, export, snapshots
+from ..sources import bucketed, export, hosts, snapshots
 from ..sources.merge_table import MergeTable
 from ..sources.scratch import shared_folder
 from ..streaming import events as stream, stateful
@@ -205,7 +205,6 @@ add("large_archives", "records", lambda r: metrics.large_archives(sizes(r)), f"s
 
 # Reconciliation
 LISTED = "l as (select distinct pds, did, rev from listing where did is not null)"
-add("src_listing", "listing", reconcile.listing, "select pds, did, rev from listing where did is not null")
 add("repos_listed", "listing", lambda g: metrics.repos_listed(reconcile.listing(g)), "select pds, count(*) as n from listing where did is not null group by pds")
 add("new_repos", "listing repos", lambda g, r: reconcile.new_repos(g, r).select("pds", "did", "rev"), "select pds, did, rev from listing g where did is not null and not exists (select 1 from repos r where r.did = g.did)")
 add("repos_discovered", "listing repos", lambda g, r: metrics.repos_discovered(reconcile.new_repos(g, r)), "select pds, count(*) as n from listing g where did is not null and not exists (select 1 from repos r where r.did = g.did) group by pds")
@@ -395,6 +394,33 @@ def first_seen(g: DataFrame) -> DataFrame:
 
 add("listblock_sketches", "records", sketched, f"select owner, count(distinct repo) as n from (select repo, split_part(json_extract_string(content, '$.subject'), '/', 3) as owner from records where collection = '{views.LISTBLOCK}' and not deleted and created_at >= date '1996-01-01' and created_at < date '{AS_OF}') where owner <> '' group by owner")
 add("first_seen_stream", "plc_log", first_seen, "select distinct did from plc_log")
+def paged(g: DataFrame) -> DataFrame:
+    """Entries and skipped entries of hosts' pages."""
+    path = shared_folder(g.sparkSession)
+    hosts.write_pages(g, path)
+    pages = hosts.listing_pages(g.sparkSession, path)
+    skipped = pages.filter("skipped > 0").groupBy("pds").agg(F.sum("skipped").cast("string").alias("rev"))
+    return reconcile.listing(pages).unionByName(skipped.select("pds", F.lit("skipped").alias("did"), "rev"))
+
+
+def from_hosts(c: DataFrame, p: DataFrame) -> DataFrame:
+    """Frames of the enabled hosts after their stored cursors, by two runs of a stream that keeps each host's offset."""
+    spark, path = c.sparkSession, shared_folder(c.sparkSession)
+    made = frames(c).withColumnRenamed("cursor", "seq")
+    middle = c.agg(F.max("seq")).first()[0] // 2
+    for part in (made.filter(F.col("seq") <= middle), made.filter(F.col("seq") > middle)):
+        hosts.write_frames(part, f"{path}/in", per_file=500)
+        q = hosts.frame_stream(spark, f"{path}/in", p, f"{path}/positions.json", limit=4000).writeStream.format("parquet").option("checkpointLocation", f"{path}/state").start(f"{path}/out")
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    return stream.decode_frames(spark.read.parquet(f"{path}/out")).filter("error is null").select("pds", "cursor", "type")
+
+
+add("src_listing", "listing", paged, "select pds, did, rev from listing where did is not null union all select pds, 'skipped', count(*)::varchar from listing where did is null group by pds")
+add("src_event_stream", "commits pds", from_hosts, f"select c.pds, seq as cursor, '#commit' as type from commits c join pds p on c.pds = p.id where {ENABLED} and seq > p.cursor and seq % 7 <> 0")
+add("wrong_host_refresh", "commits repos pds", lambda c, r, p: stream.wrong_host_events(c, r, moved(r, p), p).select("seq"), ", f as (select distinct c.repo from commits c join repos r on c.repo = r.id where c.pds <> r.pds) select seq from commits c join repos r on c.repo = r.id left join pds p on r.id % 4 = 0 and r.id in (select repo from f) and rtrim(p.host, '/') = 'https://nation-3.example.net' where c.pds = coalesce(p.id, r.pds)")
 add("sink_timestamp", "records", marked, f"select collection, count(*) as n from records where created_at < timestamp '{AS_OF}' group by collection")
 add("src_tables", "records repos pds", read_tables, "select host, count(*) as n from records r join repos p on r.repo = p.id join pds h on h.id = p.pds group by host")
 PART = "case collection " + " ".join(f"when '{k}' then '{v}'" for k, v in export.PARTS.items()) + " else 'default' end"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import archive_format as fmt
 from ..functions.text import collection_of, rkey_of
+from ..operators.reconcile import migrate_repos
 
 #: Event types that move a host's cursor, and all that are known (fixed values).
 SEQUENCED = ("#commit", "#handle", "#migrate", "#tombstone")
@@ -82,9 +83,19 @@ def split_path(ops: DataFrame) -> DataFrame:
     return ops.withColumns({"collection": collection_of(F.col("path")), "rkey": rkey_of(F.col("path"))}).filter("rkey is not null")
 
 
-def wrong_host_events(events: DataFrame, repos: DataFrame) -> DataFrame:
-    """Events from the host that their repo (after migration) lives on; the others are dropped."""
-    return events.join(repos.select(F.col("id").alias("repo"), "pds"), ["repo", "pds"], "left_semi")
+def wrong_host_events(events: DataFrame, repos: DataFrame, identity: DataFrame | None = None, pds: DataFrame | None = None) -> DataFrame:
+    """Events from the host that their repo lives on; the others are dropped.
+
+    With ``identity`` (and ``pds``) a repo is looked up anew before an event of
+    it is dropped: one that has an event from another host than the stored one
+    lives where its identity says, any other one where it did.
+    """
+    home = repos.select(F.col("id").alias("repo"), F.col("pds").alias("_home"))
+    if identity is not None:
+        foreign = events.select("repo", "pds").distinct().join(home, "repo").filter(F.col("pds") != F.col("_home")).select(F.col("repo").alias("id")).distinct()
+        fresh = migrate_repos(repos.join(foreign, "id", "left_semi"), identity, pds).select(F.col("id").alias("repo"), F.col("pds").alias("_fresh"))
+        home = home.join(fresh, "repo", "left").select("repo", F.coalesce("_fresh", "_home").alias("_home"))
+    return events.join(home.withColumnRenamed("_home", "pds"), ["repo", "pds"], "left_semi")
 
 
 def cursor_epochs(events: DataFrame, pds: DataFrame) -> DataFrame:
