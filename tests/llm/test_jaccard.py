@@ -84,6 +84,48 @@ def test_linked_sets_share_a_signature(size, changes, seed):
         assert set(jaccard.signatures(a, 85).tolist()) & set(jaccard.signatures(b, 85).tolist())
 
 
+@pytest.mark.parametrize("threshold", [80, 85, 90])
+def test_every_band_enumerates_subsets(threshold):
+    for size in (150, 400, 1500, 6000):  # sets that sign under one seed
+        features = np.unique(np.random.default_rng(size).integers(0, 2**63, size=size, dtype=np.uint64))
+        band = jaccard.bisect_right(jaccard.BOUNDS, len(features)) - 1
+        k, spoilt, n1 = jaccard.partitions(band, threshold)
+        got = jaccard.signatures(features, threshold)
+        assert 2 * spoilt + 2 > k and n1 > spoilt
+        assert len(got) >= 2 * n1  # subsets of two of three subpartitions, few of them empty
+        # one feature spoils two of a partition's three subsets, in each of the bands that the set signs for
+        without = jaccard.signatures(features[1:], threshold) if jaccard.bisect_right(jaccard.BOUNDS, len(features) - 1) - 1 == band else got[2:]
+        assert len(got) - len(np.intersect1d(got, without)) in (1, 2, 3, 4)
+
+
+@pytest.mark.parametrize("size", [1_000, 5_000, 40_000])
+@pytest.mark.parametrize("threshold", [80, 85])
+def test_long_sets_at_the_threshold_share_a_signature(size, threshold):
+    rng = np.random.default_rng(size + threshold)
+    pool = np.unique(rng.integers(0, 2**63, size=2 * size, dtype=np.uint64))
+    rng.shuffle(pool)
+    for grown in (0.0, 0.5, 1.0):  # the share of the difference that the larger set holds alone
+        union = size
+        differ = (100 - threshold) * union // 100
+        only_b = int(differ * grown)
+        a, b = np.sort(pool[: union - only_b]), np.sort(np.concatenate([pool[: union - differ], pool[union - only_b : union]]))
+        assert 100 * len(np.intersect1d(a, b)) >= threshold * len(np.union1d(a, b))
+        assert set(jaccard.signatures(a, threshold).tolist()) & set(jaccard.signatures(b, threshold).tolist())
+
+
+def test_very_long_texts_and_ties(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(50_000)}" for _ in range(60_000)]
+    near = list(base)
+    for at in range(0, 60_000, 60):
+        near[at] = f"n{at}"
+    far = list(base)
+    for at in range(0, 60_000, 8):
+        far[at] = f"n{at}"
+    texts = [" ".join(x) for x in (base, near, far)]
+    check(spark, [(5, texts[0]), (4, texts[1]), (3, texts[2]), (5, texts[0]), (7, texts[0].upper()), (8, "a b c d")])
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(i, i + 1) for i in range(40)], [(5, i) for i in range(5)] + [(9, 8), (8, 9), (7, 7)]])
 def test_components(spark, edges):
     got = {tuple(r) for r in jaccard.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

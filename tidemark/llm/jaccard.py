@@ -1,22 +1,19 @@
 """Exact Jaccard self-join of documents on word n-grams, by PartEnum signatures.
 
 Sets fall into size bands. A pair whose larger set lies in band ``i`` can
-differ in at most ``k`` features. PartEnum cuts the feature domain into ``n1``
-partitions and each of them into ``n2`` subpartitions, and enumerates subsets:
-
-* short sets (``k`` up to ``SUBSETS_UP_TO``): more than ``k / 2`` partitions, so in
-  some partition the two sets differ in at most one feature; of its three
-  subpartitions the subset of the two others is the same in both. Subsets of two
-  hold more features than plain partitions would, so short texts meet less by chance;
-* longer sets: more than ``k`` partitions, one of which is the same in both.
+differ in at most ``k`` features. PartEnum cuts the feature domain into more
+than ``k / 2`` partitions, so in some partition the two sets differ in at most
+one feature; of its three subpartitions the subset of the two others is the
+same in both. Every band enumerates these subsets of two of three. They hold
+more features than the ``k + 1`` plain partitions that would also do (about a
+third more), so texts meet less by chance, for half as many signatures more.
 
 Each non-empty subset gives one signature, and each set signs for its own band
 and for those above that it can reach. Partitions beyond the least number make
 up for empty subsets; a set with too many of them signs again under the next
 seed, so no pair is lost by skipping them. No exact scheme can do with ``k`` or
 fewer signatures, as ``k`` changes could spoil one each: their number grows
-with the length of the text, and subsets, of which there are more, are kept
-for short sets.
+with the length of the text.
 
 Equal sets share a 64-bit fingerprint (their class) and sign once in a task.
 Candidates meet in three rounds:
@@ -64,8 +61,6 @@ from .common import apart, cut
 U = np.uint64
 #: Subpartitions of a partition; subsets leave one of them out.
 SUBPARTS = 3
-#: Bands whose pairs differ in at most so many features use subsets.
-SUBSETS_UP_TO = 24
 #: Tries to fill the partitions of a set.
 SEEDS = 1000
 ODD = [U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
@@ -125,24 +120,23 @@ def most_different(total: int, threshold: int) -> int:
 
 @functools.lru_cache(4096)
 def partitions(band: int, threshold: int) -> tuple[int, int, int]:
-    """The most that a pair of the band can differ in, the number of partitions and of subpartitions in each.
+    """The most that a pair of the band can differ in, how many partitions such a pair can spoil, and the number of partitions.
 
-    More partitions than can be spoilt are needed, and as many more as hold an
-    empty subset in the smallest sets of the band.
+    More partitions than can be spoilt (by two differing features each) are
+    needed, and as many more as hold an empty subset in the smallest sets of the band.
     """
     k = most_different(2 * (BOUNDS[band + 1] - 1), threshold)
-    n2 = SUBPARTS if k <= SUBSETS_UP_TO else 1
-    spoilt = k // 2 if n2 > 1 else k
+    spoilt = k // 2
     smallest = -(-threshold * BOUNDS[band] // 100)
     best = (-math.inf, 1)
     for n1 in range(spoilt + 1, 2 * k + 2):
-        empty = math.exp(-smallest / n1 / n2)
-        some = 3 * empty * empty * (1 - empty) + empty**3 if n2 > 1 else empty  # two or three of three subpartitions are empty
+        empty = math.exp(-smallest / n1 / SUBPARTS)
+        some = 3 * empty * empty * (1 - empty) + empty**3  # two or three of three subpartitions are empty
         over, spread = n1 * (1 - some) - spoilt, math.sqrt(n1 * some * (1 - some))
         if over >= 2 * spread:
-            return k, n1, n2
+            return k, spoilt, n1
         best = max(best, (over - spread, n1))
-    return k, best[1], n2
+    return k, spoilt, best[1]
 
 
 def signatures(features: np.ndarray, threshold: int) -> np.ndarray:
@@ -150,25 +144,26 @@ def signatures(features: np.ndarray, threshold: int) -> np.ndarray:
     band = bisect_right(BOUNDS, size) - 1
     out = []
     while band == bisect_right(BOUNDS, size) - 1 or 100 * size >= threshold * BOUNDS[band]:
-        k, n1, n2 = partitions(band, threshold)
+        k, spoilt, n1 = partitions(band, threshold)
+        cells = n1 * SUBPARTS
         if k and size > k:
             for seed in range(SEEDS):
                 salt = mix(np.array([band * 1_000_003 + seed], U))[0]
                 hashed = mix(features + salt)
-                cell = (((hashed >> U(32)) * U(n1)) >> U(32)) * U(n2) + (((hashed & U(0xFFFFFFFF)) * U(n2)) >> U(32))
-                order = np.argsort(cell.astype(np.uint16) if n1 * n2 < 65536 else cell, kind="stable")
+                cell = (((hashed >> U(32)) * U(n1)) >> U(32)) * U(SUBPARTS) + (((hashed & U(0xFFFFFFFF)) * U(SUBPARTS)) >> U(32))
+                order = np.argsort(cell.astype(np.uint16) if cells < 65536 else cell, kind="stable")
                 cell = cell[order].astype(np.int64)
                 starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
-                sums, held = np.zeros(n1 * n2, U), np.zeros(n1 * n2, np.int64)
+                sums, held = np.zeros(cells, U), np.zeros(cells, np.int64)
                 sums[cell[starts]] = np.add.reduceat(mix(hashed[order] * ODD[2]), starts)
                 held[cell[starts]] = 1
-                sums, held = sums.reshape(n1, n2), held.reshape(n1, n2)
-                if n2 > 1:  # a subset of subpartitions is what the one left out leaves of the partition
-                    sums, held = sums.sum(axis=1, keepdims=True, dtype=U) - sums, held.sum(axis=1, keepdims=True) - held
+                sums, held = sums.reshape(n1, SUBPARTS), held.reshape(n1, SUBPARTS)
+                # a subset of subpartitions is what the one left out leaves of the partition
+                sums, held = sums.sum(axis=1, keepdims=True, dtype=U) - sums, held.sum(axis=1, keepdims=True) - held
                 filled = held > 0
-                number = np.arange(n1 * n2, dtype=U).reshape(n1, n2)
+                number = np.arange(cells, dtype=U).reshape(n1, SUBPARTS)
                 out.append(mix(sums + number * ODD[3] + salt)[filled])
-                if np.count_nonzero(~filled.all(axis=1)) < n1 - (k // 2 if n2 > 1 else k):  # fewer than the partitions that a pair agrees in
+                if np.count_nonzero(~filled.all(axis=1)) < n1 - spoilt:  # fewer than the partitions that a pair agrees in
                     break
             else:
                 raise ValueError("partitions stay empty")
