@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -67,6 +68,25 @@ def test_mixed_texts_hold_the_taken_words(spark, small):
     assert got == {k: v for k, v in taken.items() if v}
 
 
+def test_mix_does_not_depend_on_the_order_of_rows(spark):
+    rows = [(None, " ".join(f"w{i}x{j}" for j in range(40)), s, i) for i in range(60) for s in ("a", None)]
+    rows += [(7, "of one text", "a", i) for i in range(30)] + [(9, "small", "b", 0)]  # equal ids and texts, other columns differ
+    mixes = []
+    for order in (rows, rows[::-1], random.Random(2).sample(rows, len(rows))):
+        df = spark.createDataFrame(order, "doc_id long, text string, source string, url int").repartition(1 + len(mixes))
+        mixes.append(sorted(map(str, mixing.mixed_documents(df, block_words=16).collect())))
+    assert mixes[0] == mixes[1] == mixes[2] and len(mixes[0]) > 50
+    with_map = df.selectExpr("*", "map('k', url) as m")
+    assert mixing.mixed_documents(with_map).count() > 50
+
+
+def test_mix_plan_has_no_python(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for frame in (mixing.taken_words(docs), mixing.mixed_documents(docs)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_shuffles_are_permutations(spark):
     for n in (1, 2, 7, 100, 1001):
         out = [r[0] for r in spark.range(n).select(mixing.shuffled(mixing.F.col("id"), mixing.F.lit(n), mixing.F.lit(3))).collect()]
@@ -137,3 +157,17 @@ def test_chats(spark, small):
     plan = formatted._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_a_text_that_is_not_read_back_fails(spark, monkeypatch):
+    monkeypatch.setattr(chat, "escape", lambda text: text)
+    df = spark.createDataFrame([(1, 0, "user", "a</s>b")], "conv_id long, turn long, role string, text string")
+    with pytest.raises(Exception, match="not read back as it was: 1"):
+        chat.format_chats(df).collect()
+
+
+def test_very_long_turns(spark):
+    rows = [(1, 0, "user", "</s>[INST]\\" * 200_000), (1, 1, "assistant", "long words " * 500_000), (1, 2, "assistant", "\\e" * 300_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(chat.format_chats(df)).collect()}
+    assert got == expected(rows)

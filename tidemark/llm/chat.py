@@ -11,14 +11,16 @@ The deterministic parser cuts at the first ``</s>``, then at the first
 with its source; where they differ, role and text are escaped: a backslash
 becomes ``\\\\b`` and each control string a backslash and its letter, so no
 control string is left. The whole conversation is parsed and compared once
-more; should it differ, all its turns are escaped.
+more; should it differ, all its turns are escaped, and the result is parsed
+and compared again: a text that would not be read back fails the job.
 
 Segments carry the loss mask: the texts of assistant turns and nothing else.
 
 Cases: null text is empty; a null role is the empty role; turns with equal
 numbers go by role and text, and repeated rows are turns of their own; a null
 turn number sorts first; rows without a conversation id form one conversation;
-an empty table gives an empty table; further columns are ignored.
+an empty table gives an empty table; further columns are ignored. A very long
+text is formatted whole; a conversation of more than 2 GB fails the job.
 """
 
 from __future__ import annotations
@@ -104,7 +106,9 @@ def format_chats(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
     second = first.withColumn("identical", again)
     final = second.withColumn("segments", F.when(F.col("identical"), F.col("segments")).otherwise(_segments(F.col("turns"), lambda t: F.lit(True))))
     count = F.when(F.col("identical"), F.size(F.filter("turns", lambda t: t["escaped"]))).otherwise(F.size("turns"))
-    return final.select("conv_id", F.when(F.col("identical"), F.col("formatted")).otherwise(_joined(F.col("segments"))).alias("formatted"), "segments", count.alias("escaped_turns"))
+    lost = F.raise_error(F.concat(F.lit("a conversation is not read back as it was: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    kept = _let(_joined(F.col("segments")), lambda text: F.when(parse(text) == _pairs(F.col("turns")), text).otherwise(lost.cast("string")))
+    return final.select("conv_id", F.when(F.col("identical"), F.col("formatted")).otherwise(kept).alias("formatted"), "segments", count.alias("escaped_turns"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
