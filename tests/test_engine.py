@@ -57,6 +57,11 @@ def test_delete_and_create_in_one_rev(spark):
     assert (late.first().deleted, late.first().content) == (True, "new")
     missing = store.snapshot_diff(spark.createDataFrame([(1, "c", "other", "3c", False, "y")], v.schema), v.filter("not deleted"), mark_missing=True)
     assert {(r.rkey, r.deleted) for r in missing.collect()} == {("other", False), ("k", True)}
+    unmarked = v.filter("not deleted").withColumn("deleted", F.lit(None).cast("boolean"))  # as live as a false mark
+    missing = store.snapshot_diff(spark.createDataFrame([(1, "c", "other", "3c", False, "y")], v.schema), unmarked, mark_missing=True)
+    assert {(r.rkey, r.deleted) for r in missing.collect()} == {("other", False), ("k", True)}
+    same = store.snapshot_diff(store.current_records(unmarked).withColumn("deleted", F.lit(False)), unmarked)
+    assert same.count() == 0 < store.current_records(unmarked).count()
 
 
 @pytest.fixture(scope="module")

@@ -96,10 +96,10 @@ def versions_sorted(versions: DataFrame) -> DataFrame:
 def snapshot_diff(fetched: DataFrame, versions: DataFrame, mark_missing: bool = False) -> DataFrame:
     """Fetched rows to append (only versions of their repos are folded): not those whose newest stored row has a larger rev, or is live with equal content.
 
-    With ``mark_missing`` live stored rows of fetched repos that the snapshot lacks come back as tombstones.
+    A stored row without a mark is live. With ``mark_missing`` live stored rows of fetched repos that the snapshot lacks come back as tombstones.
     """
     of_fetched = versions.join(fetched.select("repo").distinct(), "repo", "left_semi")
-    stored = latest_version(of_fetched).select(*KEY, F.col("at_rev").alias("_rev"), F.col("deleted").alias("_deleted"), F.col("content").alias("_content"))
+    stored = latest_version(of_fetched).select(*KEY, F.col("at_rev").alias("_rev"), F.coalesce("deleted", F.lit(False)).alias("_deleted"), F.col("content").alias("_content"))
     joined = fetched.join(stored, list(KEY), "left")
     skip = (F.col("_rev") > F.col("at_rev")) | (~F.col("_deleted") & (F.col("_content") == F.col("content")))
     kept = joined.filter(F.col("_rev").isNull() | ~F.coalesce(skip, F.lit(False))).select(*fetched.columns)
