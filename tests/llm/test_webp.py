@@ -282,9 +282,101 @@ def test_more_rows_than_one_image(monkeypatch):
     assert h == len(payload) // 192 and (pixels & 255).astype(np.uint8).tobytes() == payload
 
 
+PARTS = ("cache", "copies", "cross-colour", "mixed", "palette", "predictor")
+
+
+def prose(words, seed, vocabulary=400):
+    rng = random.Random(seed)
+    known = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(1, 9))) for _ in range(vocabulary)]
+    out = [rng.choice(known) for _ in range(words)]
+    return " ".join(out + out[: words // 3]).encode()
+
+
+def test_forms_of_the_encoder(monkeypatch):
+    """Every form, by arrays and symbol by symbol, in one stretch and in many."""
+    payloads = [webp.padded(prose(n, n)) for n in (1, 30, 200, 3000)] + [webp.padded("é".encode() * 700), webp.padded(b"ab" * 4000), webp.padded(bytes(range(256)) * 40), webp.padded(b"")]
+    seen = set()
+    for forms in (("cross-colour",), ("cache",), ("predictor",)):
+        monkeypatch.setattr(webp, "FORMS", forms)
+        for payload in payloads:
+            media = webp.encode(payload)
+            for stretch, few in ((1 << 15, 64), (100, 64), (1 << 15, 1 << 40)):
+                monkeypatch.setattr(webp, "STRETCH", stretch)
+                monkeypatch.setattr(webp, "FEW_PIXELS", few)
+                w, h, pixels, made_of = webp._decode(media)
+                assert pixels.astype(np.uint8).tobytes() == payload and ((pixels >> 24) == 255).all()
+                seen |= set(made_of.split("+"))
+    assert seen == set(PARTS)
+
+
+def test_modes_by_bands():
+    """A band of equal columns follows the upper pixel, one of equal rows the left one."""
+    rng = np.random.default_rng(3)
+    columns = np.tile(rng.integers(0, 256, 192, np.uint8), (512, 1))
+    rows = np.repeat(rng.integers(0, 256, 300, np.uint8)[:, None], 192, axis=1)
+    grey = np.vstack([columns, rows])
+    residual, modes = webp._predict(grey)
+    assert modes == [2, 1] and np.count_nonzero(residual) < 1000
+    argb = webp.unpredict(residual.ravel().astype(np.uint32) * 0x010101, np.array(modes), webp.BAND, 192, 812)
+    assert argb.astype(np.uint8).tobytes() == grey.tobytes()
+
+
+@given(st.lists(st.integers(0, 10**6), min_size=2, max_size=300).filter(any))
+@settings(max_examples=100, deadline=None)
+def test_code_lengths_are_complete(counts):
+    lengths = webp.code_lengths(np.array(counts))
+    used = lengths[lengths > 0]
+    assert len(used) == np.count_nonzero(counts) and lengths.max() <= 14
+    assert len(used) == 1 or sum(1 << (15 - int(n)) for n in used) == 1 << 15
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_typed_vector(monkeypatch, few):
+    """Bits written out by hand from the public text of the format: greens 7, 9, and a copy of three from two before."""
+    monkeypatch.setattr(webp, "FEW_PIXELS", few)
+    bits = "".join(
+        (
+            "11110100",  # 0x2F, low bit first
+            "00100000000000" + "00000000000000",  # five pixels wide, one high
+            "1" + "000",  # alpha in use, version 0
+            "0" + "0" + "0",  # no transform, no colour cache, one group of codes
+            "0" + "1000",  # green: lengths of the code-length code for 17, 18, 0, 1, 2
+            "000" + "010" + "010" + "010" + "010",
+            "1" + "100" + "1101",  # 2 + 11 code lengths follow, the count in four bits
+            "00" * 7 + "10" + "00" + "10",  # 7 and 9: two bits
+            "11" + "1111111" + "11" + "1100011",  # 138 and 110 zeros
+            "01",  # 258, a length of three: one bit
+            "1000" + "1000",  # red and blue: 0
+            "101" + "11111111",  # alpha: 255
+            "101" + "00100000",  # distance: prefix 4
+            "10" + "11" + "0" + "1",  # 7, 9, copy; distance code 6 is two to the left
+        )
+    )
+    bits += "0" * (-len(bits) % 8)
+    data = bytes(int(bits[i : i + 8][::-1], 2) for i in range(0, len(bits), 8))
+    w, h, pixels = webp.decode(container(data))
+    assert (w, h, pixels.tolist()) == (5, 1, [0xFF000000 | g << 8 for g in (7, 9, 7, 9, 7)])
+
+
+def test_added_columns_replace_others(spark):
+    rows = spark.createDataFrame([(1, bytearray(b"some text"), "x"), (2, None, "y")], "id int, payload binary, width string")
+    back = webp.load_bytes(webp.store_bytes(rows, "payload"))
+    assert sorted(back.columns) == ["feature", "id", "made_of", "media", "payload", "width"]
+    assert {r.id: bytes(r.payload).rstrip() for r in back.collect()} == {1: b"some text", 2: b""}
+    own = webp.store_bytes(rows.withColumnRenamed("payload", "media"), "media")
+    assert own.columns == ["id", "width", "media"]
+    shown = webp.decode_column(own)
+    assert shown.columns == ["id", "media", "width", "height", "pixels"] and {r.width for r in shown.collect()} == {192}
+
+
+def test_every_part_runs_over_the_table(spark, small):
+    found = webp.media_digests(spark.read.parquet(f"{small}/documents.parquet")).select("made_of").distinct().collect()
+    assert {part for r in found for part in r.made_of.split("+")} >= set(PARTS)
+
+
 def test_columns(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
-    own = spark.createDataFrame([(-1, None), (-2, ""), (-3, "é" * 20000), (-3, "é" * 20000)], "doc_id long, text string")
+    own = spark.createDataFrame([(-1, None), (-2, ""), (-3, "é" * 20000), (-3, "é" * 20000), (-4, prose(600_000, 1).decode())], "doc_id long, text string")
     rows = docs.unionByName(own).selectExpr("*", "1 as media", "'x' as payload")
     texts = {r.doc_id: r.text for r in rows.collect()}
     got = webp.media_digests(rows).collect()
