@@ -124,3 +124,28 @@ def test_cases(spark):
     empty = toxicity.fit(docs, labels.limit(0))
     assert {r.predicted for r in toxicity.score(docs, empty).collect()} <= {0, 1}
     assert math.isfinite(toxicity.fit(docs.limit(0), labels).index.base)
+
+
+def test_blocks_below_the_threshold_are_not_read(monkeypatch):
+    """Rounds over blocks find the neighbours of one block that holds all, ties included, and read fewer postings."""
+    rng = np.random.default_rng(5)
+    topic = lambda t: {b"t%d_%d" % (t, rng.integers(12)): int(rng.integers(1, 5)) for _ in range(9)} | {b"c%d" % rng.integers(9): 1}
+    examples = [toxicity.Example(i, int(i % 3 == 0), topic(i % 40)) for i in range(1600)]
+    examples += [toxicity.Example(5000 + i, 0, dict(examples[7].counts)) for i in range(60)]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for e in examples for w in e.counts}))}
+    idf = np.ones(len(vocabulary))
+    index = toxicity.Index(examples, vocabulary, idf)
+    monkeypatch.setattr(toxicity, "BLOCK", 1 << 20)
+    whole = toxicity.Index(examples, vocabulary, idf)
+    read, scores = [0, 0], toxicity.Index._scores
+
+    def counted(self, cells, per_cell, use):
+        read[self is whole] += int((self.cell_start[cells[use] + 1] - self.cell_start[cells[use]]).sum())
+        return scores(self, cells, per_cell, use)
+
+    monkeypatch.setattr(toxicity.Index, "_scores", counted)
+    for e in examples[:200] + examples[-2:]:
+        near, cosines = index.nearest(*index.vector(e.counts))
+        other, expected = whole.nearest(*whole.vector(e.counts))
+        assert index.ids[near].tolist() == whole.ids[other].tolist() and cosines.tolist() == expected.tolist()
+    assert 0 < read[0] < read[1]

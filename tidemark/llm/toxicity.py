@@ -9,8 +9,9 @@ toxic and c other examples that hold the word. No feature is dropped.
 The examples' unit vectors lie in a block-max inverted index: postings by word,
 cut into blocks of example numbers, with the largest weight of every block.
 ``score`` finds the nearest examples of each text: the blocks of the highest
-bounds give a cosine to beat, then every block whose bound reaches it is
-scored, so the neighbours are exact. Votes weigh by cosine. A logistic curve
+bounds give a cosine to beat, then blocks whose bounds reach it are scored in
+rounds, the highest first, each of which may raise it; blocks below it are never
+read, so the neighbours are exact. Votes weigh by cosine. A logistic curve
 from vote to rate, fitted to votes that cross-validation over the examples
 gives, makes them calibrated scores.
 
@@ -49,11 +50,9 @@ from .common import cut
 MAX_EXAMPLES = 1024
 NEIGHBOURS = 25
 #: Examples in a block of the index.
-BLOCK = 64
-#: Blocks that are scored first, to know which others may hold a nearer example.
-GROUP = 4
-#: Where more than one of so many blocks is left, whole lists are read.
-FEW = 4
+BLOCK = 8
+#: Blocks that are scored first, to know which others may hold a nearer example; each later round takes twice as many.
+GROUP = 16
 #: Weight of the base rate among the votes.
 PRIOR_WEIGHT = 0.05
 FOLDS = 5
@@ -136,17 +135,18 @@ class Index:
         per_cell = weights[of_term]
         blocks = self.cell_block[cells]
         bounds = np.bincount(blocks, per_cell * self.cell_max[cells], self.n_blocks)
-        best = np.argpartition(-bounds, GROUP)[:GROUP] if self.n_blocks > GROUP else np.arange(self.n_blocks)
-        chosen = np.zeros(self.n_blocks, bool)
-        chosen[best] = True
-        scores = self._scores(cells, per_cell, chosen[blocks])
-        seen = scores[scores > 0]
-        enough = max(np.partition(seen, -k)[-k] - 1e-9, 1e-300) if len(seen) >= k else 1e-300
-        more = (bounds >= enough) & ~chosen
-        if FEW * np.count_nonzero(more) > self.n_blocks:
-            scores = self._whole_lists(a, b, weights)
-        elif more.any():
-            scores += self._scores(cells, per_cell, more[blocks])
+        scores, left, group, enough = np.zeros(len(self.ids)), bounds > 0, GROUP, 1e-300
+        while left.any():
+            open_blocks = np.flatnonzero(left)
+            if len(open_blocks) > group:
+                open_blocks = open_blocks[np.argpartition(-bounds[open_blocks], group)[:group]]
+            chosen = np.zeros(self.n_blocks, bool)
+            chosen[open_blocks] = True
+            scores += self._scores(cells, per_cell, chosen[blocks])
+            if len(scores) >= k:
+                enough = max(np.partition(scores, -k)[-k] - 1e-9, 1e-300)
+            left &= ~chosen & (bounds >= enough)
+            group *= 2
         hit = np.flatnonzero(scores >= enough)
         cosines = np.round(scores[hit], 9)
         first = np.lexsort((self.ids[hit], self.toxic[hit], self.marks[hit], -cosines))[:k]
@@ -158,11 +158,6 @@ class Index:
         at, of_cell = _ranges(self.cell_start[cells], self.cell_start[cells + 1])
         return np.bincount(self.rows[at], per_cell[use][of_cell] * self.weights[at], len(self.ids))
 
-    def _whole_lists(self, a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Cosines of all examples: whole lists are read faster than many blocks of them."""
-        at, of_term = _ranges(self.cell_start[a], self.cell_start[b])
-        return np.bincount(self.rows[at], weights[of_term] * self.weights[at], len(self.ids))
-
     def vote(self, counts: dict[bytes, int]) -> tuple[float, np.ndarray, np.ndarray]:
         """The weighted share of toxic neighbours, and the neighbours."""
         terms, weights = self.vector(counts)
