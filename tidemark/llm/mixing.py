@@ -81,14 +81,14 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """(row, doc_id, source, size, tie): row is a number of its own for every input row, tie a hash that orders rows of equal id."""
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.size(words(F.col(text_col))), F.lit(0)).cast("long").alias("size"), F.xxhash64(F.col(text_col)).alias("tie"))
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.size(words(F.col(text_col))), F.lit(0)).cast("long").alias("size"), F.xxhash64(F.col(text_col)).alias("tie"), F.lit(0).cast("long").alias("rest"))
     return chosen.withColumn("row", F.monotonically_increasing_id())
 
 
 def _positions(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """(s, row, size, start): where each document starts in its source's stream."""
-    known = sizes.filter("size > 0").join(sources, sizes["source"].eqNullSafe(sources["source"])).select("s", "row", "size", F.xxhash64("doc_id", "tie").alias("at"), "doc_id", "tie", F.pmod(F.xxhash64("doc_id", "tie", F.lit(7)), F.ceil(F.col("docs") / BUCKET)).alias("bucket"))
-    inside = Window.partitionBy("s", "bucket").orderBy("at", "doc_id", "tie", "row")
+    known = sizes.filter("size > 0").join(sources, sizes["source"].eqNullSafe(sources["source"])).select("s", "row", "size", F.xxhash64("doc_id", "tie").alias("at"), "doc_id", "tie", "rest", F.pmod(F.xxhash64("doc_id", "tie", F.lit(7)), F.ceil(F.col("docs") / BUCKET)).alias("bucket"))
+    inside = Window.partitionBy("s", "bucket").orderBy("at", "doc_id", "tie", "rest", "row")
     local = known.withColumn("upto", F.sum("size").over(inside))
     buckets = known.groupBy("s", "bucket").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("s").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -166,8 +166,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     """
     rows = cut(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
     of = lambda c: F.col("doc").getField(c)
-    tie = F.xxhash64(*(of(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t))
-    sizes = cut(rows.select("row", of("doc_id").alias("doc_id"), of("source").alias("source"), F.coalesce(F.size(words(of("text"))), F.lit(0)).cast("long").alias("size"), tie.alias("tie")), "sizes")
+    rest = F.xxhash64(*(of(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t))
+    sizes = cut(rows.select("row", of("doc_id").alias("doc_id"), of("source").alias("source"), F.coalesce(F.size(words(of("text"))), F.lit(0)).cast("long").alias("size"), F.xxhash64(of("text")).alias("tie"), rest.alias("rest")), "sizes")
     _, parts = mix(sizes, block_words)
     # all blocks below the target are taken, so a document's parts of one pass stand in a row
     chosen = parts.groupBy("row", "pass").agg(F.min("first").cast("int").alias("first"), F.sum("n").cast("int").alias("n"))
