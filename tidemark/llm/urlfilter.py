@@ -60,7 +60,7 @@ def token_rule(word: str, verdict: str = "block") -> tuple:
 
 
 def default_rules() -> list[HostRule]:
-    return [HostRule("block", "com", "/en/"), HostRule("allow", "example.com", "/en/7"), HostRule("block", "net", "/de/"), HostRule("block", "example.net", "/de/8"), HostRule("block", "org", "/es/")]
+    return [HostRule("block", "com", "/en/"), HostRule("allow", "example.com", "/en/7"), HostRule("allow", "net", "/de/"), HostRule("block", "example.net", "/de/8"), HostRule("block", "org", "/es/")]
 
 
 def host(url: Column) -> Column:
