@@ -178,3 +178,16 @@ def test_sketches_are_within_two_percent(spark):
         got = {r.owner: r.n for r in sketches.merged_counts(stored, since, until).collect()}
         assert got.keys() == exact.keys() and all(abs(got[k] / exact[k] - 1) < 0.02 for k in exact)
     assert sketches.merged_counts(stored, owner="did:1").count() == 1
+
+
+def test_streams_take_the_event_of_number_0(spark):
+    from tidemark.plans import registry
+
+    rows = [(1, 7, n, f"3k{n}", "#commit", "create", "c", f"r{n}", "{}", None) for n in range(4)]
+    commits = spark.createDataFrame(rows, "pds int, repo long, seq long, rev string, type string, action string, collection string, rkey string, content string, time timestamp_ntz").withColumn("time", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, seq)"))
+    assert registry.queries().keys() >= {"sink_append", "cursor_reset_stream", "host_cursor_stream"}
+    assert sorted(r.rkey for r in registry.appended(commits).collect()) == ["r0", "r1", "r2", "r3"]
+    none = spark.createDataFrame([], "id int, first_cursor_since_reset long")
+    assert [tuple(r) for r in registry.streamed(commits.select("pds", "seq", "type"), lambda s: stateful.cursor_reset_stream(s, none)).collect()] == [(1, 0, 0)]
+    stored = registry.streamed(commits.select("pds", "seq", "type", "time"), stateful.host_cursor_stream, stateful.waiting_cursors)
+    assert sorted(r.cursor for r in stored.collect()) == [0, 3]

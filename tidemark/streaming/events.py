@@ -18,10 +18,10 @@ SPAN = 1 << 20
 DELETES, WRITES = ("delete",), ("create", "update")
 
 
-def event_stream(spark: SparkSession, path: str, schema, start_seq: int = 0, source: str = "parquet", seq_col: str | None = "seq", **options) -> DataFrame:
-    """A stream of event files of any format after a sequence number; Spark's checkpoint keeps the position."""
+def event_stream(spark: SparkSession, path: str, schema, start_seq: int | None = None, source: str = "parquet", seq_col: str | None = "seq", **options) -> DataFrame:
+    """A stream of event files of any format, of all events or those after ``start_seq``; Spark's checkpoint keeps the position. A host's numbers may start at 0."""
     read = spark.readStream.schema(schema).format(source).options(**options).load(path)
-    return read.filter(F.col(seq_col) > start_seq) if seq_col else read
+    return read if start_seq is None or not seq_col else read.filter(F.col(seq_col) > start_seq)
 
 
 def decode_frames(frames: DataFrame) -> DataFrame:
