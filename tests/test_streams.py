@@ -191,3 +191,17 @@ def test_streams_take_the_event_of_number_0(spark):
     assert [tuple(r) for r in registry.streamed(commits.select("pds", "seq", "type"), lambda s: stateful.cursor_reset_stream(s, none)).collect()] == [(1, 0, 0)]
     stored = registry.streamed(commits.select("pds", "seq", "type", "time"), stateful.host_cursor_stream, stateful.waiting_cursors)
     assert sorted(r.cursor for r in stored.collect()) == [0, 3]
+
+
+def test_events_older_than_the_watermark_count(spark, tmp_path):
+    at = lambda s: f"2024-01-01 00:{s // 60:02d}:{s % 60:02d}"
+    batches = [[(1, 10, "#commit", at(600)), (1, 11, "#commit", at(601)), (2, 1, "#commit", at(900))], [(1, 12, "#commit", at(0)), (2, 2, "#commit", at(901))], [(1, 13, "#commit", at(5)), (1, 14, "#commit", at(620))]]
+    path = str(tmp_path / "in")
+    schema = "pds int, seq long, type string, time string"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path).withColumn("time", F.col("time").cast("timestamp_ntz"))
+    q = stateful.host_cursor_stream(source).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    q.awaitTermination(120)
+    seen = spark.read.parquet(str(tmp_path / "out")).unionByName(stateful.waiting_cursors(spark, str(tmp_path / "state"))).collect()
+    assert sorted((r.pds, r.cursor) for r in seen) == [(1, 10), (1, 13), (1, 14), (2, 1), (2, 2)]

@@ -153,13 +153,18 @@ class Throttle:
 
 
 class Cursors(StatefulProcessor):
-    """State: a host's newest cursor, when one was stored, whether the newest waits. A timer ends the wait of a host that falls silent."""
+    """State: a host's newest cursor, when one was stored, whether the newest waits.
+
+    A timer ends the wait of a host that falls silent. One that had events in
+    the batch is not: its next event decides, so a timer that ends there is put
+    off until the watermark moves on, as its events may lie before that.
+    """
 
     def __init__(self, width: int, jump: int):
         self.width, self.jump = width, jump
 
     def init(self, handle) -> None:
-        self.handle, self.state = handle, handle.getValueState("cursor", "last long, saved_at long, waits boolean")
+        self.handle, self.state, self.heard = handle, handle.getValueState("cursor", "last long, saved_at long, waits boolean"), set()
 
     def _put(self, key, throttle: Throttle, out: list[int]):
         self.state.update((throttle.last, throttle.saved_at, throttle.waits))
@@ -168,6 +173,7 @@ class Cursors(StatefulProcessor):
         return pd.DataFrame([(key[0], seq) for seq in out], columns=["pds", "cursor"])
 
     def handleInputRows(self, key, rows, timerValues):
+        self.heard.add(key)
         throttle = Throttle(*(self.state.get() or (-1, None, False)), self.width, self.jump)
         out: list[int] = []
         frame = _sorted(rows)
@@ -177,6 +183,10 @@ class Cursors(StatefulProcessor):
         yield self._put(key, throttle, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if key in self.heard:
+            self.handle.registerTimer(timerValues.getCurrentWatermarkInMs() + 1)
+            yield pd.DataFrame([], columns=["pds", "cursor"])
+            return
         throttle = Throttle(*self.state.get(), self.width, self.jump)
         yield self._put(key, throttle, throttle.due(expiredTimerInfo.getExpiryTimeInMs() * 1000))
 
@@ -185,9 +195,13 @@ class Cursors(StatefulProcessor):
 
 
 def host_cursor_stream(stream: DataFrame, width: str = "15 seconds", jump: int = 100_000, late: str = "0 seconds") -> DataFrame:
-    """The cursors of each host that are stored: at most one in a ``width`` of event time unless it jumps; see ``Throttle``."""
+    """The cursors of each host that are stored: at most one in a ``width`` of event time unless it jumps; see ``Throttle``.
+
+    Events older than the watermark count too, as hosts' clocks differ: the
+    state reads the time as a number, so the watermark only ends waits.
+    """
     timed = stream.filter(F.col("type").isin(*SEQUENCED)).withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", late)
-    needed = timed.select(F.col("pds").cast("int").alias("pds"), "seq", "time", micros(F.col("time")).alias("at"))
+    needed = timed.select(F.col("pds").cast("int").alias("pds"), "seq", micros(F.col("time")).alias("at"))
     return _keyed(needed, "pds", Cursors(int(pd.Timedelta(width) / pd.Timedelta(microseconds=1)), jump), CURSORS, "EventTime")
 
 
