@@ -205,3 +205,28 @@ def test_events_older_than_the_watermark_count(spark, tmp_path):
     q.awaitTermination(120)
     seen = spark.read.parquet(str(tmp_path / "out")).unionByName(stateful.waiting_cursors(spark, str(tmp_path / "state"))).collect()
     assert sorted((r.pds, r.cursor) for r in seen) == [(1, 10), (1, 13), (1, 14), (2, 1), (2, 2)]
+
+
+def test_tree_and_record_runs_decode_archives_once_in_small_pieces(spark, tmp_path):
+    import pyarrow as pa
+
+    from tidemark import archive_format as fmt
+    from tidemark.plans import registry
+
+    parts = list(fmt.slices([pa.RecordBatch.from_pydict({"a": list(range(2500))})], 1024))
+    assert [p.num_rows for p in parts] == [1024, 1024, 452]
+    records = spark.createDataFrame([(r, "c", f"k{i:02d}", f"3k{i}", '{"$type":"c"}') for r in (1, 2) for i in range(9)], "repo long, collection string, rkey string, at_rev string, content string")
+    count = spark.sparkContext.accumulator(0)
+
+    def probe(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    made = registry.archives
+    try:
+        registry.archives = lambda r: made(r).mapInArrow(probe, "archive string, bytes binary")
+        assert sorted(r.key for r in registry.reached(records).collect()) == sorted(f"c/k{i:02d}" for _ in (1, 2) for i in range(9))
+    finally:
+        registry.archives = made
+    assert count.value == 2

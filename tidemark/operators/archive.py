@@ -22,7 +22,13 @@ NODE = "archive string, cid string, kind string, rev string, data string, l stri
 def archive_blocks(archives: DataFrame) -> DataFrame:
     """Blocks of each archive (columns archive, bytes); an archive that can't be read gives one row with an error."""
 
+    types = (pa.string(), pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.string())
+
+    def packed(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["archive", "cid", "digest", "data", "root", "error"])
+
     def run(batches):
+        out, size = [], 0
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 try:
@@ -31,8 +37,13 @@ def archive_blocks(archives: DataFrame) -> DataFrame:
                         raise ValueError("the archive has no blocks")
                 except (ValueError, IndexError, TypeError, KeyError) as e:
                     rows = [(name, None, None, None, False, str(e))]
-                cols = list(zip(*rows, strict=True)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.string()), strict=True)], names=["archive", "cid", "digest", "data", "root", "error"])
+                out += rows
+                size += len(data.as_buffer() or b"") if data.is_valid else 0
+                if len(out) >= 4096 or size >= 1 << 22:
+                    yield packed(out)
+                    out, size = [], 0
+        if out:
+            yield packed(out)
 
     return archives.select("archive", "bytes").mapInArrow(run, BLOCK)
 
@@ -66,7 +77,7 @@ def nodes(blocks: DataFrame) -> DataFrame:
     types = (pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), entry, pa.string(), pa.string())
 
     def run(batches):
-        for batch in batches:
+        for batch in fmt.slices(batches, 1024):
             out = []
             for name, cid, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 try:
@@ -102,7 +113,7 @@ def with_keys(tree: DataFrame) -> DataFrame:
 
     def run(batches):
         kind = pa.list_(pa.struct([("key", pa.binary()), ("v", pa.string()), ("t", pa.string())]))
-        for batch in batches:
+        for batch in fmt.slices(batches, 1024):
             keys = []
             for x in batch.column(len(rest)):
                 entries = x.values if x.is_valid else None
@@ -128,13 +139,13 @@ def tree_records(found: DataFrame, roots: DataFrame, max_depth: int = 128) -> tu
 
     ``roots`` (archive, cid) names one block for each archive. All keys count,
     missing blocks are skipped, a node that several links reach counts once.
-    Every level is one join of its nodes with the blocks, written to the shared
-    folder; what lies above is not read again. A link can't lead up, as it is
+    The tree's blocks are set apart once. Every level is one join of its nodes
+    with them, written to the shared folder; what lies above is not read again. A link can't lead up, as it is
     the hash of what it links to; in blocks that were not verified a circle
     ends at ``max_depth`` with an error.
     """
     shared_folder(found.sparkSession)
-    blocks = found.select("archive", "cid", "kind", "l", "e", "error").dropDuplicates(["archive", "cid"])
+    blocks = found.filter("kind in ('tree', 'bad')").select("archive", "cid", "kind", "l", "e", "error").dropDuplicates(["archive", "cid"]).checkpoint()
     commits = found.filter("kind = 'commit'").select("archive", "cid", "rev", "data").dropDuplicates(["archive", "cid"])
     started = roots.select("archive", "cid").join(commits, ["archive", "cid"], "left").checkpoint()
     errors = started.filter("data is null").select("archive", F.lit("the root is missing or no commit").alias("error"))
@@ -144,7 +155,7 @@ def tree_records(found: DataFrame, roots: DataFrame, max_depth: int = 128) -> tu
         if len(levels) == max_depth:
             errors = errors.unionByName(frontier.select("archive", F.lit(f"the tree is deeper than {max_depth}").alias("error")))
             break
-        at = frontier.join(blocks, ["archive", "cid"]).filter("kind in ('tree', 'bad')")
+        at = frontier.join(blocks, ["archive", "cid"])
         read = with_keys(at.select("archive", "rev", "cid", "kind", "l", "error", "e")).checkpoint()
         levels.append(read)
         links = read.select("archive", "rev", F.col("l").alias("cid")).unionByName(read.select("archive", "rev", F.explode("keys.t").alias("cid")))
@@ -159,22 +170,28 @@ def tree_records(found: DataFrame, roots: DataFrame, max_depth: int = 128) -> tu
     return once.select("archive", "rev", F.explode("keys").alias("x")).select("archive", "rev", F.col("x.key").cast("string").alias("key"), F.col("x.v").alias("cid")), errors.distinct()
 
 
+def read_archives(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the archives and their verified nodes, each made once and kept in the shared folder."""
+    spark = archives.sparkSession
+    path = shared_folder(spark)
+    archive_blocks(archives).write.parquet(f"{path}/blocks")
+    read = spark.read.parquet(f"{path}/blocks")
+    nodes(verify_blocks(read.filter("error is null"))).write.parquet(f"{path}/nodes")
+    return read, spark.read.schema(NODE).parquet(f"{path}/nodes")
+
+
 def archive_records(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records (archive, collection, rkey, rev, content), and archives with their error; an archive with an error gives no records.
 
     Archives are read once, into blocks in the shared folder, and blocks are decoded once.
     """
-    spark = archives.sparkSession
-    path = f"{shared_folder(spark)}/blocks"
-    archive_blocks(archives).write.parquet(path)
-    read = spark.read.parquet(path)
-    found = nodes(verify_blocks(read.filter("error is null"))).checkpoint()
+    read, found = read_archives(archives)
     roots = read.filter("error is null and root").select("archive", "cid").dropDuplicates(["archive"])
     rootless = read.filter("error is null").select("archive").distinct().join(roots, "archive", "left_anti").select("archive", F.lit("the root is missing or no commit").alias("error"))
     reached, broken = tree_records(found, roots)
-    contents = found.filter("kind in ('record', 'bad')").select("archive", "cid", "content", "error").dropDuplicates(["archive", "cid"])
-    rows = reached.join(contents, ["archive", "cid"])
-    errors = read.select("archive", "error").unionByName(rootless).unionByName(broken).unionByName(rows.select("archive", "error")).filter("error is not null").groupBy("archive").agg(F.min("error").alias("error"))
+    of_kind = lambda kind, col: found.filter(F.col("kind") == kind).select("archive", "cid", col).dropDuplicates(["archive", "cid"])
+    unread = reached.join(of_kind("bad", "error"), ["archive", "cid"]).select("archive", "error")
+    errors = read.select("archive", "error").unionByName(rootless).unionByName(broken).unionByName(unread).filter("error is not null").groupBy("archive").agg(F.min("error").alias("error"))
     part = F.split("key", "/", 2)
-    whole = rows.filter(F.size(part) == 2).join(errors, "archive", "left_anti")
+    whole = reached.join(of_kind("record", "content"), ["archive", "cid"]).filter(F.size(part) == 2).join(errors, "archive", "left_anti")
     return whole.select("archive", part[0].alias("collection"), part[1].alias("rkey"), "rev", "content"), errors

@@ -11,7 +11,7 @@ import json
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..archive_format import Link
+from ..archive_format import Link, slices
 
 AS_OF = "2001-08-02"
 BASE = ("nation", "customer", "orders", "events")
@@ -93,26 +93,28 @@ def with_views(*names: str) -> str:
     return "with recursive " + ", ".join(f"{n} as ({SQL[n]})" for n in names) + "\n"
 
 
+def _head(major: int, n: int) -> bytes:
+    if n < 24:
+        return bytes((major << 5 | n,))
+    width = next(w for w, top in ((1, 1 << 8), (2, 1 << 16), (4, 1 << 32)) if n < top)
+    return bytes((major << 5 | 23 + width.bit_length(),)) + n.to_bytes(width, "big")
+
+
 def _block(x) -> bytes:
     """The block encoding of a value, for archives made of the records."""
-
-    def head(major, n):
-        width = next(w for w, top in ((0, 24), (1, 1 << 8), (2, 1 << 16), (4, 1 << 32)) if n < top)
-        return bytes([major << 5 | 23 + width.bit_length()]) + n.to_bytes(width, "big") if width else bytes([major << 5 | n])
-
-    if x is None:
-        return b"\xf6"
-    if isinstance(x, Link):
-        return b"\xd8\x2a" + head(2, len(x) // 2 + 1) + b"\0" + bytes.fromhex(x)
-    if isinstance(x, int):
-        return head(0, x)
-    if isinstance(x, bytes):
-        return head(2, len(x)) + x
-    if isinstance(x, str):
-        return head(3, len(x.encode())) + x.encode()
-    if isinstance(x, list):
-        return head(4, len(x)) + b"".join(map(_block, x))
-    return head(5, len(x)) + b"".join(_block(k) + _block(v) for k, v in x.items())
+    kind = type(x)
+    if kind is str:
+        raw = x.encode()
+        return _head(3, len(raw)) + raw
+    if kind is dict:
+        return _head(5, len(x)) + b"".join([_block(y) for pair in x.items() for y in pair])
+    if kind is Link:
+        return b"\xd8\x2a" + _head(2, len(x) // 2 + 1) + b"\0" + bytes.fromhex(x)
+    if kind is int:
+        return _head(0, x)
+    if kind is bytes:
+        return _head(2, len(x)) + x
+    return b"\xf6" if x is None else _head(4, len(x)) + b"".join(map(_block, x))
 
 
 def _archive(records: list[tuple[str, str]], rev: str, stale: bool) -> bytes:
@@ -150,7 +152,7 @@ def archives(records: DataFrame) -> DataFrame:
     rows = records.groupBy("repo").agg(F.sort_array(F.collect_list(F.struct(F.concat_ws("/", "collection", "rkey").alias("key"), "content"))).alias("rows"), F.max("at_rev").alias("rev"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 256):
             repos, found, revs = (c.to_pylist() for c in batch.columns)
             packed = [_archive([(x["key"], x["content"]) for x in r], rev, repo % 7 == 0) for repo, r, rev in zip(repos, found, revs, strict=True)]
             cut = [data[:-3] if repo % 10 == 0 else data for repo, data in zip(repos, packed, strict=True)]
