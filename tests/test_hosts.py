@@ -75,3 +75,11 @@ def test_unknown_schemes_fail_before_a_job(spark):
         hosts.listing_pages(spark, "dbfs:/listing")
     with pytest.raises(ValueError, match="can't read"):
         hosts.write_pages(spark.createDataFrame([], "pds int, did string, rev string"), "dbfs:/listing")
+
+
+def test_longer_runs_of_hosts_take_no_more_batches():
+    from tidemark.plans import registry
+
+    batches = lambda last: -(-last // registry.host_limit(last))
+    assert [registry.host_limit(n) for n in (0, 5_000, 48_000)] == [4000] * 3
+    assert all(batches(last) <= 13 for last in (50_000, 3_000_000, 18_000_000))

@@ -403,6 +403,11 @@ def paged(g: DataFrame) -> DataFrame:
     return reconcile.listing(pages).unionByName(skipped.select("pds", F.lit("skipped").alias("did"), "rev"))
 
 
+def host_limit(last: int) -> int:
+    """How many numbers of a host a batch takes: a twelfth of a run, so that a longer run has larger batches, not more of them; 4,000 at least."""
+    return max(4000, last // 12)
+
+
 def from_hosts(c: DataFrame, p: DataFrame) -> DataFrame:
     """Frames of the enabled hosts after their stored cursors, by two runs of a stream that keeps each host's offset."""
     spark, path = c.sparkSession, shared_folder(c.sparkSession)
@@ -410,7 +415,7 @@ def from_hosts(c: DataFrame, p: DataFrame) -> DataFrame:
     middle = c.agg(F.max("seq")).first()[0] // 2
     for part in (made.filter(F.col("seq") <= middle), made.filter(F.col("seq") > middle)):
         hosts.write_frames(part, f"{path}/in", per_file=500)
-        q = hosts.frame_stream(spark, f"{path}/in", p, f"{path}/positions.json", limit=4000).writeStream.format("parquet").option("checkpointLocation", f"{path}/state").start(f"{path}/out")
+        q = hosts.frame_stream(spark, f"{path}/in", p, f"{path}/positions.json", limit=host_limit(middle)).writeStream.format("parquet").option("checkpointLocation", f"{path}/state").start(f"{path}/out")
         try:
             q.processAllAvailable()
         finally:
