@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -173,3 +174,21 @@ def test_links_of_no_rows_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b"), (1, "a b"), (2, "A b"), (3, "")], "doc_id long, text string")
     assert sorted(((r.doc_id or 0, r.n_links) for r in jaccard.linked_documents(df).collect())) == [(0, 0), (1, 1), (2, 1), (3, 0)]
     assert jaccard.linked_documents(df.limit(0)).count() == jaccard.linked_texts(df.limit(0)).count() == 0
+
+
+def test_no_file_holds_signatures(spark, monkeypatch):
+    """They are several times the text: what is stored for each row stays below the text's bytes."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(10**5)}" for _ in range(300))) for i in range(200)]
+    stored = {}
+
+    def cut(df, name="cut", **options):
+        out = real(df, name, **options)
+        stored[name] = stored.get(name, 0) + sum(Path(f.removeprefix("file://")).stat().st_size for f in out.inputFiles())
+        return out
+
+    real = jaccard.cut
+    monkeypatch.setattr(jaccard, "cut", cut)
+    got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    assert got.count() == len(rows)
+    assert sum(stored.values()) < sum(len(text) for _, text in rows)

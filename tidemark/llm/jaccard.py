@@ -16,6 +16,9 @@ fewer signatures, as ``k`` changes could spoil one each: their number grows
 with the length of the text.
 
 Equal sets share a 64-bit fingerprint (their class) and sign once in a task.
+Signatures are several times the size of the texts, so they go from the task
+that makes them into the shuffle and are in no file; what a row has besides
+them is made and stored before, from the same texts.
 Candidates meet in three rounds:
 
 * each member of a bucket against the bucket's first class;
@@ -100,7 +103,8 @@ def shingles(text: bytes, n: int, known: WordHashes) -> np.ndarray:
     out = np.full(len(h) - width + 1, width, U)
     for i in range(width):
         out = mix(out * ODD[1] + h[i : len(h) - width + 1 + i])
-    return np.unique(out)
+    out.sort()  # np.unique takes ten times as long
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def bands(limit: int = 1 << 40) -> list[int]:
@@ -189,29 +193,35 @@ def least_different(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((d != 0) * (2 - (d & 1))).sum(axis=-1)
 
 
-def _sign(n: int, threshold: int):
+def _described(n: int, threshold: int):
     def run(batches):
         known, seen = WordHashes(), set()
         for batch in batches:
-            size, cls, sigs, cells = [], [], [], []
+            size, cls, cells = [], [], []
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 f = shingles(text.as_py() or b"", n, known)
                 size.append(len(f))
-                c = s = k = None
-                if len(f) and doc_id.is_valid:
-                    c = class_of(f)
-                    if c not in seen:
-                        if len(seen) > MEMORY:
-                            seen.clear()
-                        seen.add(c)
-                        s, k = signatures(f, threshold).view(np.int64), sketch(f, threshold)
+                c = class_of(f) if len(f) and doc_id.is_valid else None
                 cls.append(c)
-                sigs.append(s)
-                cells.append(k)
-            lens = [0 if s is None else len(s) for s in sigs]
-            flat = np.concatenate([s for s in sigs if s is not None and len(s)] or [np.empty(0, np.int64)])
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), lists, pa.array(cells, pa.binary())], names=["doc_id", "n_shingles", "cls", "sigs", "sketch"])
+                cells.append(sketch(f, threshold) if c is not None and first_seen(c, seen) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), pa.array(cells, pa.binary())], names=["doc_id", "n_shingles", "cls", "sketch"])
+
+    return run
+
+
+def _sign(n: int, threshold: int):
+    def run(batches):
+        known, seen = WordHashes(), set()
+        for batch in batches:
+            cls, sigs = [], []
+            for text in batch.column(0):
+                f = shingles(text.as_py(), n, known)
+                if len(f) and first_seen(c := class_of(f), seen):
+                    cls.append(c)
+                    sigs.append(signatures(f, threshold).view(np.int64))
+            flat = np.concatenate([np.empty(0, np.int64), *sigs])
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32()), pa.array(flat, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), lists], names=["cls", "sigs"])
 
     return run
 
@@ -294,6 +304,16 @@ def class_of(features: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(features.tobytes()) - (1 << 63)
 
 
+def first_seen(cls: int, seen: set[int]) -> bool:
+    """Whether a task meets a class for the first time, as far as it remembers."""
+    if cls in seen:
+        return False
+    if len(seen) > MEMORY:
+        seen.clear()
+    seen.add(cls)
+    return True
+
+
 def _classed(n: int):
     def run(batches):
         known = WordHashes()
@@ -384,9 +404,10 @@ class Joined:
 
 def _join(docs: DataFrame, n: int, threshold: int, id_col: str, text_col: str) -> Joined:
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_bytes(text_col).alias("text"))
-    signed = cut(chosen.mapInArrow(_sign(n, threshold), "doc_id long, n_shingles long, cls long, sigs array<long>, sketch binary"), "signed")
+    signed = cut(chosen.mapInArrow(_described(n, threshold), "doc_id long, n_shingles long, cls long, sketch binary"), "signed")
 
-    by_sig = signed.select(F.explode("sigs").alias("sig"), "cls").repartition("sig").sortWithinPartitions("sig", "cls")
+    sigs = chosen.filter("doc_id is not null and text is not null").select("text").mapInArrow(_sign(n, threshold), "cls long, sigs array<long>")
+    by_sig = sigs.select(F.explode("sigs").alias("sig"), "cls").repartition("sig").sortWithinPartitions("sig", "cls")
     shared = cut(by_sig.mapInArrow(_shared, "sig long, cls long, first long"), "shared")
     classes = shared.select("cls").distinct()
     first_ids = signed.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
