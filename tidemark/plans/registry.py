@@ -277,12 +277,20 @@ def moved_parts(r: DataFrame) -> DataFrame:
 
 
 def in_order(df: DataFrame, col: str, path: str, rows: int = 1_000_000) -> None:
-    """Appends the rows of ``df`` to a folder in steps of ``col``, a file of about so many rows each and three at least, so that a stream takes them in order."""
-    low, high, n = df.agg(F.min(col), F.max(col), F.count("*")).first()
+    """Appends the rows of ``df`` to a folder in steps of ``col``, a file of about so many rows each and three at least, so that a stream takes them in order.
+
+    ``df`` is worked out once, by all tasks, and a step reads its own rows only.
+    """
+    spark, made = df.sparkSession, shared_folder(df.sparkSession)
+    df.write.parquet(f"{made}/rows")
+    df = spark.read.schema(df.schema).parquet(f"{made}/rows")
+    low, high, n = df.agg(F.coalesce(F.min(col), F.lit(0)), F.coalesce(F.max(col), F.lit(0)), F.count("*")).first()
     steps = max(3, n // rows)
+    dealt = df.withColumn("_step", F.expr(f"cast(least({steps - 1}, ({col} - {low}) * {steps} div {max(1, high - low)}) as int)"))
+    dealt.write.partitionBy("_step").parquet(f"{made}/steps")
+    by_step = spark.read.schema(dealt.schema).parquet(f"{made}/steps")
     for k in range(steps):
-        last = high + 1 if k == steps - 1 else low + (high - low) * (k + 1) // steps
-        df.filter((F.col(col) >= low + (high - low) * k // steps) & (F.col(col) < last)).coalesce(1).write.mode("append").parquet(path)
+        by_step.filter(F.col("_step") == k).drop("_step").coalesce(1).write.mode("append").parquet(path)
 
 
 def streamed(df: DataFrame, build: Callable[[DataFrame], DataFrame], after: Callable[[SparkSession, str], DataFrame] | None = None, files: int = 1000) -> DataFrame:
