@@ -230,3 +230,21 @@ def test_tree_and_record_runs_decode_archives_once_in_small_pieces(spark, tmp_pa
     finally:
         registry.archives = made
     assert count.value == 2
+
+
+def test_steps_work_their_rows_out_once(spark, tmp_path):
+    from tidemark.plans.registry import in_order
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5, 1005, numPartitions=4).withColumnRenamed("id", "seq").mapInArrow(count, "seq long")
+    in_order(df, "seq", str(tmp_path / "in"), rows=250)
+    assert made.value == 1000
+    files = sorted((tmp_path / "in").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    seqs = [[r.seq for r in spark.read.parquet(str(f)).collect()] for f in files]
+    assert len(files) == 4 and [sorted(s) for s in seqs] == [list(range(5 + 250 * k, 255 + 250 * k)) for k in range(4)]
