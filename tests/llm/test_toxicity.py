@@ -149,3 +149,28 @@ def test_blocks_below_the_threshold_are_not_read(monkeypatch):
         other, expected = whole.nearest(*whole.vector(e.counts))
         assert index.ids[near].tolist() == whole.ids[other].tolist() and cosines.tolist() == expected.tolist()
     assert 0 < read[0] < read[1]
+
+
+def test_few_postings_are_read_for_real_texts(spark, monkeypatch):
+    """Reading most of them in rounds cost more CPU time than all in one pass; the neighbours are those of all cosines."""
+    docs, labels = load(spark, "sf0.01")
+    index = toxicity.fit(docs, labels).index
+    read, held, scores = [], [], toxicity.Index._scores
+
+    def counted(self, cells, per_cell, use):
+        sizes = self.cell_start[cells + 1] - self.cell_start[cells]
+        read.append(int(sizes[use].sum()))
+        return scores(self, cells, per_cell, use)
+
+    monkeypatch.setattr(toxicity.Index, "_scores", counted)
+    for text in [r.text for r in docs.select("text").limit(300).collect()]:
+        terms, weights = index.vector(Counter(toxicity.words(text)))
+        if not len(terms):
+            continue
+        at = [np.arange(index.cell_start[a], index.cell_start[b]) for a, b in zip(index.term_cells[terms], index.term_cells[terms + 1], strict=True)]
+        cosines = np.bincount(index.rows[np.concatenate(at)], np.repeat(weights, [len(x) for x in at]) * index.weights[np.concatenate(at)], len(index.ids))
+        held.append(sum(map(len, at)))
+        near, found = index.nearest(terms, weights)
+        want = np.sort(cosines[cosines > 0])[::-1][: toxicity.NEIGHBOURS]
+        assert len(near) == len(want) and np.allclose(found, want, atol=2e-9) and np.allclose(cosines[near], found, atol=2e-9)
+    assert 0 < sum(read) < 0.7 * sum(held)

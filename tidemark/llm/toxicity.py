@@ -6,14 +6,14 @@ frequencies are counted over all documents, and rf is the relevance frequency
 of supervised term weighting (Lan et al. 2009), log2(2 + a / max(1, c)) for a
 toxic and c other examples that hold the word. No feature is dropped.
 
-The examples' unit vectors lie in a block-max inverted index: postings by word,
-cut into blocks of example numbers, with the largest weight of every block.
-``score`` finds the nearest examples of each text: the blocks of the highest
-bounds give a cosine to beat, then blocks whose bounds reach it are scored in
-rounds, the highest first, each of which may raise it; blocks below it are never
-read, so the neighbours are exact. Votes weigh by cosine. A logistic curve
-from vote to rate, fitted to votes that cross-validation over the examples
-gives, makes them calibrated scores.
+The examples' unit vectors lie in an inverted index: postings by word, cut into
+blocks of example numbers. ``score`` finds the nearest examples of each text:
+sums in single precision (a dense table for words of many examples, postings
+for the others) are within a known margin of every example's cosine; they give
+a cosine to beat and the largest that a block can hold. Blocks that can reach it
+are scored in double precision, the others never, so the neighbours are exact.
+Votes weigh by cosine. A logistic curve from vote to rate, fitted to votes that
+cross-validation over the examples gives, makes them calibrated scores.
 
 Bound (documented parameter): ``MAX_EXAMPLES`` labelled rows, chosen by a hash
 of their id, at most half of them toxic. Where labelled rows are left out, the
@@ -39,6 +39,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,8 @@ MAX_EXAMPLES = 1024
 NEIGHBOURS = 25
 #: Examples in a block of the index.
 BLOCK = 8
-#: Blocks that are scored first, to know which others may hold a nearer example; each later round takes twice as many.
-GROUP = 16
+#: Words of so many examples have a row of single-precision weights for all examples, so the table is at most 16 times as long as the postings.
+DENSE = 64
 #: Weight of the base rate among the votes.
 PRIOR_WEIGHT = 0.05
 FOLDS = 5
@@ -91,7 +92,7 @@ def term_factors(examples: list[Example], vocabulary: dict[bytes, int], idf: np.
 
 
 class Index:
-    """Block-max inverted index over the unit vectors of examples."""
+    """Inverted index in blocks over the unit vectors of examples."""
 
     def __init__(self, examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray):
         self.vocabulary, self.factors = vocabulary, term_factors(examples, vocabulary, idf)
@@ -101,7 +102,7 @@ class Index:
         self.ids = np.array([e.doc_id for e, _, _ in vectors], np.int64)
         self.toxic = np.array([e.toxic for e, _, _ in vectors], np.float64)
         self.marks = np.array([e.mark for e, _, _ in vectors], np.int64)
-        self.n_blocks = -(-len(vectors) // BLOCK)
+        self.n_blocks, self.block_of = -(-len(vectors) // BLOCK), np.arange(len(vectors)) // BLOCK
         self.base = (sum(e.weight for e in examples if e.toxic) + 0.5) / (sum(e.weight for e in examples) + 1)
         term, weight, row = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
         if vectors:
@@ -112,51 +113,57 @@ class Index:
         cell = term * max(1, self.n_blocks) + self.rows // BLOCK  # a word's postings in a block
         first = np.flatnonzero(np.diff(cell, prepend=-1))
         self.cell_start = np.append(first, len(cell))
-        self.cell_block = self.rows[first] // BLOCK
-        self.cell_max = np.maximum.reduceat(self.weights, first) if len(first) else np.empty(0)
+        self.cell_block = (self.rows[first] // BLOCK).astype(np.int32)
         self.term_cells = np.searchsorted(term[first], np.arange(len(vocabulary) + 1))
+        self.term_start = np.searchsorted(term, np.arange(len(vocabulary) + 1))
+        frequent = np.flatnonzero(np.diff(self.term_start) >= DENSE)
+        self.dense_row = np.full(len(vocabulary), -1, np.int32)
+        self.dense_row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), len(vectors)), np.float32)
+        held = self.dense_row[term] >= 0
+        self.dense[self.dense_row[term[held]], self.rows[held]] = self.weights[held]
 
     def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """Words of the vocabulary as (numbers, weights) of length 1."""
-        known = list(self.vocabulary.keys() & counts.keys())
-        terms = np.fromiter(map(self.vocabulary.__getitem__, known), np.int64, len(known))
-        tf = np.fromiter(map(counts.__getitem__, known), np.float64, len(known))
+        terms = np.fromiter(map(self.vocabulary.get, counts.keys(), repeat(-1)), np.int64, len(counts))
+        tf = np.fromiter(counts.values(), np.float64, len(counts))
         order = np.argsort(terms)  # sums run in one order everywhere
+        order = order[np.searchsorted(terms[order], 0) :]
         terms = terms[order]
         w = (1 + np.log(tf[order])) * self.factors[terms]
         return terms, w / max(np.sqrt((w * w).sum()), 1e-300)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k examples of largest cosine above 0."""
+        about, margin = self._about(terms, weights)
+        enough = np.partition(about, -k)[-k] - margin if len(about) >= k else 0.0  # k examples have this cosine or more
+        reach = np.zeros(self.n_blocks, bool)
+        reach[self.block_of[about + margin >= enough]] = True
         a, b = self.term_cells[terms], self.term_cells[terms + 1]
-        held = b > a
-        a, b, weights = a[held], b[held], weights[held]
-        cells, of_term = _ranges(a, b)
-        per_cell = weights[of_term]
-        blocks = self.cell_block[cells]
-        bounds = np.bincount(blocks, per_cell * self.cell_max[cells], self.n_blocks)
-        scores, left, group, enough = np.zeros(len(self.ids)), bounds > 0, GROUP, 1e-300
-        while left.any():
-            open_blocks = np.flatnonzero(left)
-            if len(open_blocks) > group:
-                open_blocks = open_blocks[np.argpartition(-bounds[open_blocks], group)[:group]]
-            chosen = np.zeros(self.n_blocks, bool)
-            chosen[open_blocks] = True
-            scores += self._scores(cells, per_cell, chosen[blocks])
-            if len(scores) >= k:
-                enough = max(np.partition(scores, -k)[-k] - 1e-9, 1e-300)
-            left &= ~chosen & (bounds >= enough)
-            group *= 2
-        hit = np.flatnonzero(scores >= enough)
+        cells = _ranges(a, b)
+        use = np.flatnonzero(reach[self.cell_block[cells]])
+        scores = self._scores(cells, np.repeat(weights, b - a), use)
+        hit = np.flatnonzero(scores >= max(enough - 2e-9, 1e-300))  # cosines that are equal when rounded stay together
         cosines = np.round(scores[hit], 9)
         first = np.lexsort((self.ids[hit], self.toxic[hit], self.marks[hit], -cosines))[:k]
         return hit[first], cosines[first]
 
+    def _about(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
+        """All cosines, and how far they can be off: both vectors are of length 1, so each of n terms adds a rounding at most."""
+        at = self.dense_row[terms]
+        some = at >= 0
+        others, at = ~some, at[some]
+        a, b, w = self.term_start[terms[others]], self.term_start[terms[others] + 1], weights[others]
+        lists = _ranges(a, b)
+        rare = np.bincount(self.rows[lists], np.repeat(w, b - a) * self.weights[lists], len(self.ids))
+        return rare + weights[some].astype(np.float32) @ self.dense[at], (len(at) + 8) * 2.0**-22 + 2e-9
+
     def _scores(self, cells: np.ndarray, per_cell: np.ndarray, use: np.ndarray) -> np.ndarray:
         """Cosines by the cells in use."""
         cells = cells[use]
-        at, of_cell = _ranges(self.cell_start[cells], self.cell_start[cells + 1])
-        return np.bincount(self.rows[at], per_cell[use][of_cell] * self.weights[at], len(self.ids))
+        begin, end = self.cell_start[cells], self.cell_start[cells + 1]
+        at = _ranges(begin, end)
+        return np.bincount(self.rows[at], np.repeat(per_cell[use], end - begin) * self.weights[at], len(self.ids))
 
     def vote(self, counts: dict[bytes, int]) -> tuple[float, np.ndarray, np.ndarray]:
         """The weighted share of toxic neighbours, and the neighbours."""
@@ -167,11 +174,12 @@ class Index:
         return float(((cosines * self.toxic[near]).sum() + PRIOR_WEIGHT * self.base) / (cosines.sum() + PRIOR_WEIGHT)), near, cosines
 
 
-def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the ranges one after another, and which range each is of."""
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges one after another."""
     n = end - begin
-    which = np.repeat(np.arange(len(n)), n)
-    return np.arange(len(which)) + np.repeat(begin - (np.cumsum(n) - n), n), which
+    numbers = np.repeat(begin - (np.cumsum(n) - n), n)
+    numbers += np.arange(len(numbers))
+    return numbers
 
 
 def logistic(votes: np.ndarray, toxic: np.ndarray, weights: np.ndarray, steps: int = 30) -> tuple[float, float]:
@@ -221,11 +229,13 @@ def build(examples: list[Example], vocabulary: dict[bytes, int], idf: np.ndarray
 def _document_frequencies(shared):
     def run(batches):
         vocabulary = shared.value
-        names, df, n = vocabulary.keys(), np.zeros(len(vocabulary), np.int64), 0
+        df, n = np.zeros(len(vocabulary) + 1, np.int64), 0  # the last for words that no example holds
         for batch in batches:
             for text in batch.column(0):
                 n += 1
-                df[[vocabulary[w] for w in names & set(words(text.as_py()))]] += 1
+                held = set(words(text.as_py()))
+                df[np.fromiter(map(vocabulary.get, held, repeat(-1)), np.int64, len(held))] += 1
+        df = df[:-1]
         found = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"term": np.append(found, -1), "df": np.append(df[found], n)})  # -1: all documents
 
@@ -252,7 +262,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weights = {t: max(1.0, n / max(1, bounds[t])) for t, n in rows.items()}
     examples = [Example(r["doc_id"], r["toxic"], dict(zip(map(bytes, r["words"]), r["tf"], strict=True)), weights[r["toxic"]]) for r in found.toLocalIterator()]
     examples.sort(key=lambda e: (e.mark, e.toxic, e.doc_id))
-    vocabulary = {w: i for i, w in enumerate(sorted({w for e in examples for w in e.counts}))}
+    held = Counter(w for e in examples for w in e.counts)
+    vocabulary = {w: i for i, w in enumerate(sorted(held, key=lambda w: (-held[w], w)))}  # frequent words lie together in memory
 
     df, n = np.zeros(len(vocabulary), np.int64), 0
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
