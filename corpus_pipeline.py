@@ -18,6 +18,9 @@ from tidemark.llm import jaccard, mixing, quality, toxicity
 from tidemark.llm.common import apart, cut, table
 from tidemark.llm.queries import encode_and_digest
 
+#: Characters in a block of the last stage, a quarter of op4's: by then the executors' heaps are full, and their Python workers have what is left.
+BLOCK_CHARS = 4_000_000
+
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the labelled neighbours judge toxic go. Equal texts go or stay together; an empty text stays."""
@@ -48,7 +51,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the mixed texts, as digests, and what they decode to: a row for each row, so one for each pass of a document."""
-    return encode_and_digest(docs)
+    return encode_and_digest(docs, block_chars=BLOCK_CHARS)
 
 
 STAGES = [("toxicity", not_toxic), ("quality_rules", good_quality), ("ngram_jaccard", distinct_documents), ("mixing", mixed), ("byte_bpe", encoded)]

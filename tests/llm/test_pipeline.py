@@ -3,11 +3,13 @@
 import hashlib
 import re
 
+import pyarrow as pa
+
 import corpus_pipeline
 from tests.llm.test_jaccard import brute
 from tests.llm.test_quality_url import brute as counts
 from tests.llm.test_tokens import library
-from tidemark.llm import mixing, toxicity
+from tidemark.llm import bpe, jaccard, mixing, pretokens, toxicity
 from tidemark.llm.common import cut
 
 SF = "/root/testdata/sf0.001"
@@ -74,3 +76,21 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
             assert {r.doc_id for r in out.collect()} == {1, 3, None}
         else:
             assert out.count() == 0
+
+
+def test_workers_hold_few_rows_and_small_blocks_at_once(monkeypatch):
+    """Signatures leave a worker after some hundred texts, not after an Arrow batch of thousands, and the last stage asks for blocks below op4's size."""
+    texts = [f"a b c d e f{i} g h i j k{i % 7}".encode() for i in range(1_200)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.binary())})
+    out = list(jaccard._sign(5, 80)([batch]))
+    assert max(b.num_rows for b in out) <= jaccard.SIGNED_AT_ONCE < 1_200
+    alone = [jaccard.shingles(t, 5, jaccard.WordHashes()) for t in texts]
+    assert [c for b in out for c in b.column(0).to_pylist()] == [jaccard.class_of(f) for f in alone]
+    assert [s for b in out for s in b.column(1).to_pylist()] == [jaccard.signatures(f, 80).view("i8").tolist() for f in alone]
+
+    asked = []
+    monkeypatch.setattr(bpe, "encode", lambda *a, block_chars=pretokens.BLOCK_CHARS, **b: asked.append(block_chars))
+    monkeypatch.setattr(bpe, "decode", lambda *a: None)
+    monkeypatch.setattr(bpe, "digests", lambda *a: None)
+    corpus_pipeline.encoded(None, None, "")
+    assert asked and 4 * asked[0] <= pretokens.BLOCK_CHARS

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -46,3 +48,10 @@ def apart(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
     """
     names = {c: c if c in needed else f"column_{i}_of_docs" for i, c in enumerate(docs.columns)}
     return docs.toDF(*names.values()), [F.col(n).alias(c) for c, n in names.items()]
+
+
+def in_parts(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches of a task in parts of at most so many rows, so that what it makes of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -59,7 +59,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import apart, cut
+from .common import apart, cut, in_parts
 
 U = np.uint64
 #: Subpartitions of a partition; subsets leave one of them out.
@@ -75,6 +75,8 @@ BUCKET_BLOCK = 1500
 LARGE_BUCKET = 32
 #: Features of a component's block, all of whose links to another block one task finds.
 LINK_BLOCK = 250_000
+#: Texts whose signatures, several times their size, a task holds at once.
+SIGNED_AT_ONCE = 500
 #: Words and classes that a task remembers.
 MEMORY = 300_000
 
@@ -212,7 +214,7 @@ def _described(n: int, threshold: int):
 def _sign(n: int, threshold: int):
     def run(batches):
         known, seen = WordHashes(), set()
-        for batch in batches:
+        for batch in in_parts(batches, SIGNED_AT_ONCE):
             cls, sigs = [], []
             for text in batch.column(0):
                 f = shingles(text.as_py(), n, known)

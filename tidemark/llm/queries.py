@@ -41,9 +41,9 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encode_and_digest(docs: DataFrame) -> DataFrame:
+def encode_and_digest(docs: DataFrame, block_chars: int = bpe.BLOCK_CHARS) -> DataFrame:
     ranks = bpe.read_ranks(_tokenizer("byte_bpe_multi_50k.tiktoken"))
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks, _pattern()), ranks))
+    return bpe.digests(bpe.decode(bpe.encode(docs, ranks, _pattern(), block_chars=block_chars), ranks))
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
