@@ -192,3 +192,22 @@ def test_no_file_holds_signatures(spark, monkeypatch):
     got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
     assert got.count() == len(rows)
     assert sum(stored.values()) < sum(len(text) for _, text in rows)
+
+
+def test_further_links_search_only_the_components_they_join(spark, monkeypatch):
+    """One search over all links, and none for rounds that find no further link; what these find gives the labels of all links together."""
+    asked, search = [], jaccard.connected_components
+    monkeypatch.setattr(jaccard, "connected_components", lambda edges: asked.append(edges.count()) or search(edges))
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base[: 60 - i % 3])) for i in range(9)] + [(20 + i, f"other text number {i}") for i in range(5)]
+    check(spark, rows)
+    assert len(asked) == 1
+
+    rng = random.Random(3)
+    frame = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    first, more = ([(rng.randrange(200), rng.randrange(200)) for _ in range(n)] for n in (90, 25))
+    labels = search(frame(first))
+    got = {tuple(r) for r in jaccard.with_links(labels, frame([p for p in more if p[0] != p[1]])).collect()}
+    assert got == {tuple(r) for r in search(frame(first + more)).collect()}
+    assert asked[1:] == [sum(a != b for a, b in more)]
+    assert jaccard.with_links(labels, frame([])) is labels

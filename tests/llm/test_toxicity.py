@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import toxicity
@@ -174,3 +175,13 @@ def test_few_postings_are_read_for_real_texts(spark, monkeypatch):
         want = np.sort(cosines[cosines > 0])[::-1][: toxicity.NEIGHBOURS]
         assert len(near) == len(want) and np.allclose(found, want, atol=2e-9) and np.allclose(cosines[near], found, atol=2e-9)
     assert 0 < sum(read) < 0.7 * sum(held)
+
+
+def test_examples_reach_the_driver_as_two_values_each():
+    """The words and their counts are one value each; rows of arrays took several times as much of the driver's heap."""
+    texts = ["a b a\u00a0c", "", None, "Stra\u00dfe \x85 x y x"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "toxic": pa.array([0, 1, 0, 1], pa.int32()), "text": texts})
+    (out,) = toxicity._example_words([batch])
+    assert out.column("words").type == out.column("tf").type == pa.binary()
+    found = [dict(zip(w.split(), np.frombuffer(n, "<i4").tolist(), strict=True)) for w, n in zip(out.column("words").to_pylist(), out.column("tf").to_pylist(), strict=True)]
+    assert found == [Counter(toxicity.words(t)) for t in texts]

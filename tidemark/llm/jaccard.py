@@ -354,17 +354,31 @@ def connected_components(edges: DataFrame) -> DataFrame:
     was, mark = None, state(now)
     while mark["n"] and mark != was:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(star(both), "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).filter("u <> v").distinct()
+        large = both.join(star(both), "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).filter("u <> v")  # a row for each edge at most
         small = large.join(star(large), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
         now = cut(small, "edges")
         was, mark = mark, state(now)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+    return cut(now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots), "labels")
+
+
+def with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels of ``connected_components`` once links (a, b) are added to its edges: only the components that these join are searched again."""
+    if links.isEmpty():
+        return labels
+    ends = links
+    for c in ("a", "b"):
+        ends = ends.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"of_{c}")), c, "left")
+    joined = connected_components(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    renamed = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("low")), "label", "left").select("node", F.coalesce("low", "label").alias("label"))
+    return cut(renamed.unionByName(joined.join(labels.select("node"), "node", "left_anti")), "labels")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets are similar enough. Only texts of these classes are shuffled."""
     pairs = cut(pairs, "pairs")  # from files, so that Spark knows the size and plans the semi-join by it
+    if pairs.isEmpty():
+        return pairs
     needed = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("cls")), "cls", "left_semi")
     side = lambda c: needed.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_linked(n, threshold), "a long, b long")
@@ -421,12 +435,9 @@ def _join(docs: DataFrame, n: int, threshold: int, id_col: str, text_col: str) -
     side = lambda c, k: known.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(k))
     to_first = shared.filter("cls <> first").select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct()
     near = to_first.join(side("a", "ka"), "a").join(side("b", "kb"), "b").mapInArrow(_near(threshold), "a long, b long")
-    links = cut(_verified(near, texts, n, threshold), "links")
-    labels = connected_components(links)
-
+    labels = connected_components(cut(_verified(near, texts, n, threshold), "links"))
     for forest in (True, False):
-        links = links.unionByName(cut(_verified(_still_apart(shared, labels, known, threshold, forest), texts, n, threshold), "links"))
-        labels = connected_components(links)
+        labels = with_links(labels, cut(_verified(_still_apart(shared, labels, known, threshold, forest), texts, n, threshold), "links"))
     return Joined(signed, first_ids, known, texts, labels)
 
 

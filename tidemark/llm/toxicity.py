@@ -243,9 +243,11 @@ def _document_frequencies(shared):
 
 
 def _example_words(batches):
+    """A row for each example: its words with a space between, and their counts as bytes, so that the driver gets two values and not two for each word."""
     for batch in batches:
         counts = [Counter(words(t.as_py())) for t in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([list(c) for c in counts], pa.list_(pa.binary())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], names=["doc_id", "toxic", "words", "tf"])
+        packed = [np.fromiter(c.values(), "<i4", len(c)).tobytes() for c in counts]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b" ".join(c) for c in counts], pa.binary()), pa.array(packed, pa.binary())], names=["doc_id", "toxic", "words", "tf"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = MAX_EXAMPLES) -> Model:
@@ -258,9 +260,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = some(1).unionByName(some(0))  # the bounded sample
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    found = cut(one.mapInArrow(_example_words, "doc_id long, toxic int, words array<binary>, tf array<int>"), "examples")
+    found = cut(one.mapInArrow(_example_words, "doc_id long, toxic int, words binary, tf binary"), "examples").toArrow()
     weights = {t: max(1.0, n / max(1, bounds[t])) for t, n in rows.items()}
-    examples = [Example(r["doc_id"], r["toxic"], dict(zip(map(bytes, r["words"]), r["tf"], strict=True)), weights[r["toxic"]]) for r in found.toLocalIterator()]
+    of_words = (dict(zip(w.as_py().split(), np.frombuffer(n.as_py(), "<i4").tolist(), strict=True)) for w, n in zip(found.column("words"), found.column("tf"), strict=True))
+    examples = [Example(i, t, c, weights[t]) for i, t, c in zip(found.column("doc_id").to_pylist(), found.column("toxic").to_pylist(), of_words, strict=True)]
     examples.sort(key=lambda e: (e.mark, e.toxic, e.doc_id))
     held = Counter(w for e in examples for w in e.counts)
     vocabulary = {w: i for i, w in enumerate(sorted(held, key=lambda w: (-held[w], w)))}  # frequent words lie together in memory
