@@ -1,6 +1,8 @@
 """Literal cases, streams against batches, sinks read back, and archives."""
 
 import hashlib
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from tidemark import archive_format as fmt
 from tidemark.functions import text
 from tidemark.operators import archive, edges, state, store
 from tidemark.plans import registry
-from tidemark.plans.fixtures import view
+from tidemark.plans.fixtures import archives, view
 from tidemark.sources import export, snapshots
 from tidemark.sources.merge_table import MergeTable
 from tidemark.streaming import events as stream, stateful
@@ -306,3 +308,58 @@ def test_archives(spark):
     assert fmt.text_cid(Link(one).cid.hex()).startswith("bafy")
     content = fmt.dag_json(fmt.cbor(cbor({"b": b"\x01\x02", "ref": Link(one), "s": "ä"})))
     assert content == '{"b":{"/":{"bytes":"AQI"}},"ref":{"/":"%s"},"s":"ä"}' % fmt.text_cid(Link(one).cid.hex())
+
+
+def test_archives_take_little_disk(spark):
+    def held():
+        shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+        files = sum(os.path.getsize(f"{folder}/{f}") for folder, _, names in os.walk(shared) for f in names)
+        return files + spark.sparkContext._jsc.sc().statusStore().executorList(False).head().totalShuffleWrite()
+
+    rows = view(spark, "/root/testdata/sf0.01", "records").localCheckpoint()
+    made = archives(rows).localCheckpoint()
+    size = made.agg(F.sum(F.length("bytes"))).first()[0]
+    before = held()
+    records, _ = archive.archive_records(made)
+    assert records.count() == rows.filter("repo % 10 <> 0").count()
+    took = held() - before
+    assert took < size, (took, size)
+
+
+def test_numbers_stand_for_ids(spark):
+    one, two = cbor({"$type": "c.post", "text": "a"}), cbor({"$type": "c.post", "text": "b"})
+    commit = lambda tree, rev: cbor({"did": "did:x", "version": 3, "data": Link(tree), "rev": rev, "prev": None, "sig": b"s"})
+    entry = lambda p, k, v, t=None: {"p": p, "k": k, "v": Link(v), "t": t}
+    nowhere = b"nowhere"
+    first = cbor({"l": None, "e": [entry(0, b"c.post/m", one), entry(7, b"n", two)]})
+    again = cbor({"l": Link(first), "e": [entry(0, b"c.post/x", two, Link(first)), entry(7, b"y", nowhere, Link(nowhere))]})
+    huge = cbor({"l": Link(first), "e": [entry(0, b"c.post/x", one), {"p": 60_000, "k": b"y", "v": Link(one), "t": Link(nowhere)}]})
+    broken = b"\xff"
+    of_broken = cbor({"l": None, "e": [entry(0, b"c.post/m", broken)]})
+    rows = [
+        ("other", car(Link(commit(first, "1")), [commit(first, "1"), first, one, two])),  # the same blocks in other archives
+        ("twice", car(Link(commit(again, "2")), [two, one, first, first, again, one, commit(again, "2"), commit(again, "2")])),
+        ("spoiled first", car(Link(commit(first, "3")), [first, first, one, two, commit(first, "3")], spoil=(0,))),
+        ("lacks its tree", car(Link(commit(first, "4")), [commit(first, "4"), one])),
+        ("spoiled root", car(Link(commit(first, "5")), [commit(first, "5"), first, one, two], spoil=(0,))),
+        ("no commit", car(Link(first), [first, one, two])),
+        ("long prefix", car(Link(commit(huge, "6")), [commit(huge, "6"), huge, first, one, two])),
+        ("bad record", car(Link(commit(of_broken, "7")), [commit(of_broken, "7"), of_broken, broken])),
+        ("same row", same := car(Link(commit(first, "8")), [commit(first, "8"), first, one, two])),
+        ("same row", same),
+        ("null", None),
+    ]
+    frame = spark.createDataFrame([(k, v and bytearray(v)) for k, v in rows], "archive string, bytes binary")
+    records, errors = archive.archive_records(frame)
+    got = sorted((r.archive, r.rkey, r.rev, json.loads(r.content)["text"]) for r in records.collect())
+    whole = lambda name, rev: [(name, "m", rev, "a"), (name, "n", rev, "b")]
+    assert got == sorted([*whole("other", "1"), *whole("twice", "2"), ("twice", "x", "2", "b"), *whole("spoiled first", "3"), *whole("same row", "8")])
+    said = {r.archive: r.error for r in errors.collect()}
+    assert set(said) == {"spoiled root", "no commit", "long prefix", "bad record", "null"}
+    assert "root" in said["spoiled root"] and "root" in said["no commit"] and "prefix" in said["long prefix"]
+    for keep in (True, False):
+        found = archive.read_archives(frame, records=keep)
+        keys, _ = archive.tree_records(found, found.filter("root").dropDuplicates(["archive"]))
+        assert sorted(r.key for r in keys.filter("archive = 'twice'").collect()) == ["c.post/m", "c.post/n", "c.post/x", "c.post/y"]
+        assert [r.key for r in keys.filter("archive = 'long prefix'").collect()] == ["c.post/m", "c.post/n"]
+        assert found.filter("cid >= 0").count() == found.filter("cid >= 0").select("cid").distinct().count()

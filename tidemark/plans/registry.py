@@ -252,8 +252,8 @@ add("archive_errors", "records", lambda r: archive.archive_records(archives(r))[
 
 
 def reached(r: DataFrame) -> DataFrame:
-    read, found = archive.read_archives(archives(r))
-    return archive.tree_records(found, read.filter("root"))[0].select("archive", "rev", "key")
+    found = archive.read_archives(archives(r), records=False)
+    return archive.tree_records(found, found.filter("root"))[0].select("archive", "rev", "key")
 
 
 add("tree_records", "records", reached, f"select cast(repo as varchar) as archive, max(at_rev) over (partition by repo) as rev, collection || '/' || rkey as key from records {WHOLE_ARCHIVE}")
