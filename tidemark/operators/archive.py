@@ -23,9 +23,9 @@ NODE = "archive string, cid string, kind string, rev string, data string, l stri
 NUMBERED = "archive string, cid long, root boolean, kind string, rev string, data long, l long, e array<struct<p:int,k:binary,v:long,t:long>>, content string, error string"
 
 
-def kept(df: DataFrame, path: str) -> DataFrame:
-    """``df`` from files at ``path``: made once, where a checkpoint makes it twice and packs nothing."""
-    df.write.option("compression", "zstd").parquet(path)
+def kept(df: DataFrame, path: str, packing: str = "zstd") -> DataFrame:
+    """``df`` from files at ``path``: made once, where a checkpoint makes it twice and packs nothing. Joins with what may be large take the hint merge, as packed files look small enough to broadcast."""
+    df.write.option("compression", packing).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -175,7 +175,7 @@ def tree_records(found: DataFrame, roots: DataFrame, max_depth: int = 128) -> tu
             errors = errors.unionByName(frontier.select("archive", F.lit(f"the tree is deeper than {max_depth}").alias("error")))
             break
         levels.append(frontier)
-        below = frontier.join(links, ["archive", "cid"]).select("archive", "rev", F.col("child").alias("cid"))
+        below = frontier.join(links.hint("merge"), ["archive", "cid"]).select("archive", "rev", F.col("child").alias("cid"))
         frontier = kept(below.distinct(), f"{path}/level{len(levels)}")
     empty = frontier.limit(0).select("archive", "rev", F.lit("").alias("key"), "cid")
     if not levels:
@@ -185,7 +185,7 @@ def tree_records(found: DataFrame, roots: DataFrame, max_depth: int = 128) -> tu
     faults = tree.filter("not sound").select("archive", "cid", said.alias("error"))
     errors = errors.unionByName(reached.join(faults, ["archive", "cid"]).select("archive", "error"))
     once = tree.filter("sound").select("archive", "cid", "e").dropDuplicates(["archive", "cid"])
-    read = with_keys(reached.distinct().join(once, ["archive", "cid"]).select("archive", "rev", "e"))
+    read = with_keys(reached.repartition("archive", "cid").distinct().join(once.hint("merge"), ["archive", "cid"]).select("archive", "rev", "e"))
     return read.select("archive", "rev", F.explode("keys").alias("x")).select("archive", "rev", F.col("x.key").cast("string").alias("key"), F.col("x.v").alias("cid")), errors.distinct()
 
 
@@ -255,14 +255,18 @@ def read_archives(archives: DataFrame, records: bool = True) -> DataFrame:
 def archive_records(archives: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records (archive, collection, rkey, rev, content), and archives with their error; an archive with an error gives no records.
 
-    Archives are read once; of rows of the same name one is walked, by its own blocks.
+    Archives are read once. Of rows of the same name one is walked, by its own blocks, and an error of any of them counts.
     """
-    found = read_archives(archives)
-    walked, broken = tree_records(found, found.filter("root").dropDuplicates(["archive"]))
-    reached = kept(walked, f"{shared_folder(archives.sparkSession)}/reached")
-    of_kind = lambda kind, col: found.filter(F.col("kind") == kind).select("archive", "cid", col)
-    faults = broken.unionByName(reached.join(of_kind("bad", "error"), ["archive", "cid"]).select("archive", "error"))
-    errors = found.filter("kind = 'unread'").select("archive", "error").unionByName(faults).groupBy("archive").agg(F.min("error").alias("error"))
-    part = F.split("key", "/", 2)
-    whole = reached.filter(F.size(part) == 2).join(errors, "archive", "left_anti").join(of_kind("record", "content"), ["archive", "cid"])
+    found, path = read_archives(archives), shared_folder(archives.sparkSession)
+    unread = found.filter("kind = 'unread'").select("archive", "error")
+    roots = found.filter("root").select("archive", "cid").dropDuplicates(["archive"]).join(unread.hint("merge"), "archive", "left_anti")
+    walked, broken = tree_records(found, roots)
+    reached = kept(walked, f"{path}/reached")
+    # what is rare lies apart and not packed: Spark sees from its size that what was reached need not be shuffled to meet it
+    bad = kept(found.filter("kind = 'bad'").select("archive", "cid", "error"), f"{path}/bad", "none")
+    wrong = broken.unionByName(reached.join(bad, ["archive", "cid"]).select("archive", "error"))
+    faults = kept(wrong.groupBy("archive").agg(F.min("error").alias("error")), f"{path}/faults", "none")
+    errors = unread.unionByName(faults).groupBy("archive").agg(F.min("error").alias("error"))
+    part, contents = F.split("key", "/", 2), found.filter("kind = 'record'").select("archive", "cid", "content")
+    whole = reached.filter(F.size(part) == 2).join(faults, "archive", "left_anti").join(contents.hint("merge"), ["archive", "cid"])
     return whole.select("archive", part[0].alias("collection"), part[1].alias("rkey"), "rev", "content"), errors
